@@ -2,8 +2,8 @@
 
 
 def all_sql() -> dict[str, str]:
-    from sectionmap.oracle import search
+    from sectionmap.oracle import codecs, parser, search
     out: dict[str, str] = {}
-    for mod in (search,):
+    for mod in (codecs, parser, search):
         out.update(mod.SQL)
     return out
