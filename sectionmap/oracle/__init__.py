@@ -2,8 +2,8 @@
 
 
 def all_sql() -> dict[str, str]:
-    from sectionmap.oracle import codecs, parser, search
+    from sectionmap.oracle import codecs, index, parser, search
     out: dict[str, str] = {}
-    for mod in (codecs, parser, search):
+    for mod in (codecs, index, parser, search):
         out.update(mod.SQL)
     return out

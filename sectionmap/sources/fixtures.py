@@ -141,7 +141,7 @@ FROM {{f_map}} WHERE abbrev IN ('PM', 'RM', 'RS') AND id % 2 = 0
     "f_cc_file": """
 SELECT 'map/cc/' || CAST(year(recdate) AS STRING) || CASE WHEN src_id % 4 = 0 THEN '-or-' ELSE '-doc-' END
   || lpad(CAST(src_id AS STRING), 6, '0') || '-' || lpad(CAST(p AS STRING), 3, '0') || '.jpg' AS path
-FROM (SELECT *, explode(sequence(1, npages + CASE WHEN src_id % 7 = 0 THEN 1 ELSE 0 END)) AS p FROM {f_cc}) x
+FROM (SELECT *, explode(sequence(1, npages + CASE WHEN src_id % 5 = 0 THEN 1 ELSE 0 END)) AS p FROM {f_cc}) x
 WHERE src_id % 9 <> 0
 """,
     # Surveyor workbook: alias (legacy name) -> surveyor; second aliases,
