@@ -11,14 +11,15 @@ from sectionmap.functions._util import col, group
 def _grid_number(s, prefix: str, pos: str, neg: str) -> Column:
     # Whole-string match, any case, optional prefix letter.  ``\z`` is the
     # true end of the text (Java's ``$`` would also accept a trailing newline).
-    pattern = rf"^{prefix}?(\d+)([{pos}{neg}])\z"
+    # One regex test; the digits are the text without its letters, the
+    # hemisphere its last character -- small code inside whole-stage codegen.
     up = F.upper(col(s))
-    num = group(up, pattern, 1).try_cast("int")
-    hemi = group(up, pattern, 2)
-    return (F.when(num == 0, F.lit(None).cast("int"))
+    valid = up.rlike(rf"^{prefix}?\d+[{pos}{neg}]\z")
+    num = F.regexp_replace(up, r"[^0-9]", "").try_cast("int")
+    hemi = F.substring(up, -1, 1)
+    return (F.when(~valid | (num == 0), F.lit(None).cast("int"))
             .when(hemi == pos, num - 1)
-            .when(hemi == neg, -num)
-            .otherwise(F.lit(None).cast("int")))
+            .otherwise(-num))
 
 
 def township_number(s) -> Column:

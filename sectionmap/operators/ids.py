@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from sectionmap.session import scratch_dir
+from sectionmap.session import ensure_checkpoint_dir
 
 
 def sequential_ids(df: DataFrame, order_by: list, start: Column, name: str = "id") -> DataFrame:
@@ -18,8 +18,7 @@ def sequential_ids(df: DataFrame, order_by: list, start: Column, name: str = "id
     checkpoint folder so the partition numbers stay fixed.
     """
     spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(scratch_dir(spark, "ids"))
+    ensure_checkpoint_dir(spark)
     ordered = df.orderBy(*order_by).withColumn("_part", F.spark_partition_id())
     ordered = ordered.withColumn(
         "_pos", F.row_number().over(Window.partitionBy("_part").orderBy(*order_by))).checkpoint(eager=True)

@@ -16,5 +16,5 @@ def query(fn: QueryFn) -> QueryFn:
 
 
 def all_queries() -> dict[str, QueryFn]:
-    from sectionmap.queries import codecs, index, parser, search  # noqa: F401
+    from sectionmap.queries import codecs, index, parser, search, trs  # noqa: F401
     return dict(REGISTRY)

@@ -49,3 +49,10 @@ def scratch_dir(spark: SparkSession, name: str = "work") -> str:
         spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Make ``DataFrame.checkpoint()`` usable: keep the cluster's folder, or
+    (only when none is configured, as in tests) pick one."""
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(scratch_dir(spark, "checkpoints"))
