@@ -65,3 +65,56 @@ def symmetric_difference(a: DataFrame, b: DataFrame, key: str = "map_id",
     only_a = a.join(b, key, "left_anti").withColumn("side", F.lit(names[0]))
     only_b = b.join(a, key, "left_anti").withColumn("side", F.lit(names[1]))
     return only_a.unionByName(only_b)
+
+
+# ---- batch searches from path specs (C14) --------------------------------------
+
+SEC_LIST = r"^(\d+[NS]\.\d+[EW]\.)\[((?:(?:\d+-)?\d+,)*(?:(?:\d+-)?\d+))\]\z"
+CELL_LIST = r"^(\d+[NS]\.\d+[EW]\.\d+\.)\[((?:(?:[A-P]-)?[A-P],)*(?:(?:[A-P]-)?[A-P]))\]\z"
+CELL_RUN = r"^(\d+[NS]\.\d+[EW]\.\d+\.)([A-P]+)\z"
+
+
+def _ranges(items, root, to_int, to_text):
+    """Expand 'a' / 'a-b' items (either order) below ``root``."""
+    def one(it):
+        ends = F.split(it, "-")
+        lo, hi = to_int(ends[0]), to_int(F.element_at(ends, -1))
+        run = F.transform(F.sequence(F.least(lo, hi), F.greatest(lo, hi)), lambda n: F.concat(root, to_text(n)))
+        return F.when(it.contains("-"), run).otherwise(F.array(F.concat(root, it)))
+    return F.flatten(F.transform(items, one))
+
+
+def expand_specs(specs: DataFrame, spec_col: str = "spec") -> DataFrame:
+    """C14: path specs -> one row per expanded path.
+
+    A spec is blank-separated elements: a simple path ``4N.1W.7``, a section
+    list ``4N.1W.[1-3,11]``, a cell list ``4N.1W.11.[A-F,I]`` or a cell run
+    ``4N.1W.11.ABCD``; ranges may be given high to low.  Every path is checked
+    by ``validate_path``; one bad path makes the whole spec bad
+    (``spec_ok`` False) instead of raising.
+    Output: spec, elem, path, valid, spec_ok.
+    """
+    from sectionmap.functions.geo import validate_path
+    el = specs.select(spec_col, F.posexplode(F.split(F.trim(F.col(spec_col)), r"\s+")).alias("elem_pos", "elem"))
+    e = F.col("elem")
+    sec_root, sec_items = F.regexp_extract(e, SEC_LIST, 1), F.split(F.regexp_extract(e, SEC_LIST, 2), ",")
+    cell_root, cell_items = F.regexp_extract(e, CELL_LIST, 1), F.split(F.regexp_extract(e, CELL_LIST, 2), ",")
+    run_root, run_cells = F.regexp_extract(e, CELL_RUN, 1), F.regexp_extract_all(e, F.lit("[A-P]"), 0)
+    paths = (F.when(validate_path(e), F.array(e))
+             .when(e.rlike(SEC_LIST), _ranges(sec_items, sec_root, lambda x: x.try_cast("int"),
+                                              lambda n: n.cast("string")))
+             .when(e.rlike(CELL_LIST), _ranges(cell_items, cell_root, F.ascii, F.char))
+             .when(e.rlike(CELL_RUN), F.transform(F.regexp_extract_all(F.regexp_extract(e, CELL_RUN, 2), F.lit("[A-P]"), 0),
+                                                  lambda c: F.concat(run_root, c)))
+             .otherwise(F.array(F.lit(None).cast("string"))))
+    out = el.select(spec_col, "elem", F.explode(paths).alias("path"))
+    out = out.withColumn("valid", F.coalesce(validate_path(F.col("path")), F.lit(False)) & F.col("path").isNotNull())
+    ok = out.groupBy(spec_col).agg(F.bool_and("valid").alias("spec_ok"))
+    return out.join(ok, spec_col)
+
+
+def search_specs(index: DataFrame, specs: DataFrame, spec_col: str = "spec") -> DataFrame:
+    """Batch P9: (spec, map_id) for every valid spec and every map indexed
+    under one of its paths.  An equi join on the path (AQE splits a hot path)."""
+    ex = expand_specs(specs, spec_col).filter("spec_ok").select(spec_col, F.col("path").alias("trs_path")).distinct()
+    return ex.join(index.select("trs_path", "map_id"), "trs_path").select(spec_col, "map_id").distinct()

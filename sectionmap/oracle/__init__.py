@@ -2,8 +2,8 @@
 
 
 def all_sql() -> dict[str, str]:
-    from sectionmap.oracle import codecs, index, parser, search, trs
+    from sectionmap.oracle import codecs, index, parser, plans, search, trs
     out: dict[str, str] = {}
-    for mod in (codecs, index, parser, search, trs):
+    for mod in (codecs, index, parser, plans, search, trs):
         out.update(mod.SQL)
     return out

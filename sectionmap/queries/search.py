@@ -61,3 +61,39 @@ def search_equivalence(spark, sf_dir):
     by_bitmap = maps_in_boxes(inp.f_trs, SPAN)
     by_path = maps_on_paths(path_index(inp.f_trs), [p for b in SPAN for p in box_paths(*b)])
     return symmetric_difference(by_bitmap, by_path, names=("bitmap", "path"))
+
+
+def _specs(inp):
+    """One path spec per (township, range) present in the trs table, using every
+    spec form; some carry an impossible section and are rejected whole."""
+    from pyspark.sql import functions as F
+    from sectionmap.functions import range_str, township_str
+    pairs = inp.f_trs.select("tshp", "rng").distinct()
+    root = F.concat(township_str("tshp"), F.lit("."), range_str("rng"), F.lit("."))
+    spec = F.concat(root, F.lit("[1-3,11] "), root, F.lit("7.[A-C,P] "), root, F.lit("12.KLOP "), root,
+                    F.lit("20 "), root, F.lit("[36-34]"),
+                    F.when((F.col("tshp") + F.col("rng")) % 7 == 0, F.concat(F.lit(" "), root, F.lit("40")))
+                    .otherwise(F.lit("")))
+    return pairs.select(spec.alias("spec"))
+
+
+@query
+def expanded_specs(spark, sf_dir):
+    from sectionmap.operators.search import expand_specs
+    return expand_specs(_specs(Inputs(spark, sf_dir))).select("spec", "elem", "path", "valid", "spec_ok")
+
+
+@query
+def search_specs(spark, sf_dir):
+    from sectionmap.operators.search import search_specs as run
+    inp = Inputs(spark, sf_dir)
+    return run(path_index(inp.f_trs), _specs(inp))
+
+
+@query
+def path_validation(spark, sf_dir):
+    """C15 over every distinct indexed path."""
+    from pyspark.sql import functions as F
+    from sectionmap.functions import validate_path
+    idx = path_index(Inputs(spark, sf_dir).f_trs).select("trs_path").distinct()
+    return idx.groupBy(validate_path("trs_path").alias("valid")).agg(F.count(F.lit(1)).alias("n"))
