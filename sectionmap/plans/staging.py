@@ -15,6 +15,7 @@ from sectionmap.plans import files as FL
 from sectionmap.plans import maps as MP
 from sectionmap.plans import surveyors as SV
 from sectionmap.sources import constants as C
+from sectionmap.session import ensure_checkpoint_dir
 from sectionmap.sources.fixtures import Inputs
 
 
@@ -31,14 +32,21 @@ class Staging:
     def source(self) -> DataFrame:
         return C.source(self.spark)
 
+    def _materialize(self, df: DataFrame) -> DataFrame:
+        """Write a staging table once to the shared checkpoint folder: later
+        steps read it several times, and lineage is cut at the table, as the
+        database build commits each table."""
+        ensure_checkpoint_dir(self.spark)
+        return df.checkpoint(eager=True)
+
     @cached_property
     def maps(self) -> DataFrame:
         i = self.inp
-        return MP.build_maps(i.f_hollins_map, i.f_sheet, i.f_pm, i.f_tract, self.maptype)
+        return self._materialize(MP.build_maps(i.f_hollins_map, i.f_sheet, i.f_pm, i.f_tract, self.maptype))
 
     @cached_property
     def images(self) -> DataFrame:
-        return FL.link_files(self.inp.f_file, self.maps, self.maptype, "map")
+        return self._materialize(FL.link_files(self.inp.f_file, self.maps, self.maptype, "map"))
 
     @cached_property
     def scans(self) -> DataFrame:
