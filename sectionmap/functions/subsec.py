@@ -37,9 +37,38 @@ def _mask(table: dict, key: Column) -> Column:
     return F.create_map(*[x for k, v in table.items() for x in (F.lit(k), F.lit(v))])[key]
 
 
-_QQ4 = r"^(?:([NS][EW])/4\s+)?([NS][EW])/4\z"
-_QQ2 = r"^(?:([NSEW])/2\s+)?([NSEW])/2\z"
-_QQ24 = r"^([NSEW])/2\s+([NS][EW])/4\z"
+QUARTERS = ("NE", "SE", "SW", "NW")
+HALVES = ("N", "S", "E", "W")
+
+
+def algebra_domain() -> dict[str, int]:
+    """Every text the algebraic parser accepts (terms separated by one blank)
+    with its bitmap, generated from the masks:
+
+    * ``1/1`` -> the whole section;
+    * ``q/4`` and ``x/2``           -> outer(q);
+    * ``qq/4 q/4``, ``xx/2 x/2``    -> outer(right) & inner(left), except
+      perpendicular halves such as ``N/2 E/2``;
+    * ``x/2 q/4``                   -> outer(q) & inner(x).
+    """
+    o, i = K.OUTER_MASKS, K.INNER_MASKS
+    dom = {"1/1": 0xFFFF}
+    for q in QUARTERS:
+        dom[f"{q}/4"] = o[q]
+        for qq in QUARTERS:
+            dom[f"{qq}/4 {q}/4"] = o[q] & i[qq]
+        for x in HALVES:
+            dom[f"{x}/2 {q}/4"] = o[q] & i[x]
+    ns = ("N", "S")
+    for x in HALVES:
+        dom[f"{x}/2"] = o[x]
+        for xx in HALVES:
+            if (x in ns) == (xx in ns):
+                dom[f"{xx}/2 {x}/2"] = o[x] & i[xx]
+    return dom
+
+
+_DOMAIN = algebra_domain()
 
 
 def subsec_bits(s) -> Column:
@@ -48,23 +77,12 @@ def subsec_bits(s) -> Column:
     ``1/1`` is the whole section; ``[xx/4 ]xx/4``, ``[x/2 ]x/2`` and
     ``x/2 xx/4`` combine the right term's outer mask with the left term's
     inner mask.  Perpendicular halves (``N/2 E/2``) and anything else -> NULL.
+    The accepted language is finite (49 forms, terms separated by white
+    space), so the parser is one white-space fold and a lookup in a literal map
+    built from the masks -- no per-row regex groups.
     """
-    s = col(s)
-    q4, qq4 = group(s, _QQ4, 2), group(s, _QQ4, 1)
-    q2, qq2 = group(s, _QQ2, 2), group(s, _QQ2, 1)
-    q24, qq24 = group(s, _QQ24, 2), group(s, _QQ24, 1)
-    perpendicular = (q2.isin("N", "S") & qq2.isin("E", "W")) | (q2.isin("E", "W") & qq2.isin("N", "S"))
-
-    def combine(q, qq):
-        outer = _mask(K.OUTER_MASKS, q)
-        return F.when(qq.isNull(), outer).otherwise(outer.bitwiseAND(_mask(K.INNER_MASKS, qq)))
-
-    return (F.when(s == "1/1", F.lit(0xFFFF))
-            .when(s.rlike(_QQ4), combine(q4, qq4))
-            .when(s.rlike(_QQ2) & perpendicular, F.lit(None).cast("int"))
-            .when(s.rlike(_QQ2), combine(q2, qq2))
-            .when(s.rlike(_QQ24), combine(q24, qq24))
-            .otherwise(F.lit(None).cast("int")))
+    table = F.create_map(*[x for k, v in _DOMAIN.items() for x in (F.lit(k), F.lit(v))])
+    return table[F.regexp_replace(col(s), r"\s+", " ")]
 
 
 def subsec_bits_list(names) -> Column:

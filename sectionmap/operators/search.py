@@ -44,6 +44,43 @@ def maps_in_boxes(trs: DataFrame, boxes: Sequence[tuple[str, str, int, int]]) ->
     return trs.filter(cond).select("map_id").distinct()
 
 
+def _path_keys(paths: Sequence[str]) -> list[tuple[int, int, int | None]]:
+    """(tshp, rng, sec) of valid search paths ('5N.1W.25[.A]' or the subtree
+    root '5N.1W' with sec None), read on the driver from the literal list."""
+    def num(label, pos):
+        n, h = int(label[:-1]), label[-1]
+        return n - 1 if h == pos else -n
+    keys = []
+    for p in paths:
+        parts = p.split(".")
+        keys.append((num(parts[0], "N"), num(parts[1], "E"), int(parts[2]) if len(parts) > 2 else None))
+    return sorted(set(keys), key=str)
+
+
+def restrict_to_paths(trs: DataFrame, paths: Sequence[str]) -> DataFrame:
+    """Exact pre-filter of trs records for a search on valid paths.
+
+    A path 'T.R.S[.X]' can only come from records with those township, range
+    and section numbers (a record with an unnamed part yields a shorter path
+    that never equals a valid one), and all records of one (map, T, R, S) stay
+    together, so removing covered sections afterwards is unchanged.  On the
+    published table the filter prunes township partitions.
+    """
+    keys = _path_keys(paths)
+    conds = [(F.col("tshp") == t) & (F.col("rng") == r) & (F.lit(True) if s is None else F.col("sec") == s)
+             for t, r, s in keys]
+    return trs.filter(reduce(lambda a, b: a | b, conds))
+
+
+def restrict_to_path_table(trs: DataFrame, paths: DataFrame, col: str = "trs_path") -> DataFrame:
+    """The same pre-filter for a DataFrame of valid paths (a semi join on the
+    integer keys; the key set is as large as the query, not the data)."""
+    p = paths.select(F.split(F.col(col), r"\.").alias("_p"))
+    keys = p.select(township_number(F.element_at("_p", 1)).alias("tshp"), range_number(F.element_at("_p", 2)).alias("rng"),
+                    F.element_at("_p", 3).try_cast("int").alias("sec")).distinct()
+    return trs.join(keys, ["tshp", "rng", "sec"], "left_semi")
+
+
 def maps_on_paths(index: DataFrame, paths: Sequence[str]) -> DataFrame:
     """Distinct maps indexed under any of the given paths (``IN`` list)."""
     return index.filter(F.col("trs_path").isin(list(paths))).select("map_id").distinct()
@@ -118,3 +155,12 @@ def search_specs(index: DataFrame, specs: DataFrame, spec_col: str = "spec") ->
     under one of its paths.  An equi join on the path (AQE splits a hot path)."""
     ex = expand_specs(specs, spec_col).filter("spec_ok").select(spec_col, F.col("path").alias("trs_path")).distinct()
     return ex.join(index.select("trs_path", "map_id"), "trs_path").select(spec_col, "map_id").distinct()
+
+
+def search_specs_on_trs(trs: DataFrame, specs: DataFrame, spec_col: str = "spec") -> DataFrame:
+    """``search_specs`` that first restricts the trs records to the sections
+    named by the valid specs, then builds the index of those records only."""
+    from sectionmap.operators.paths import path_index
+    ex = expand_specs(specs, spec_col).filter("spec_ok").select(spec_col, F.col("path").alias("trs_path")).distinct()
+    idx = path_index(restrict_to_path_table(trs, ex))
+    return ex.join(idx.select("trs_path", "map_id"), "trs_path").select(spec_col, "map_id").distinct()

@@ -175,6 +175,12 @@ SELECT m.id AS map_id,
   count(sb.surveyor_id) AS n_signers
 FROM maps m LEFT JOIN signed_by sb ON sb.map_id = m.id LEFT JOIN disp d ON d.id = sb.surveyor_id
 GROUP BY m.id""",
+    "multi_signer_maps": WITH_SURV + """
+SELECT m.id AS map_id,
+  coalesce(string_agg(d.display, ' & ' ORDER BY d.lastname, d.firstname, d.display), 'UNKNOWN') AS surveyors,
+  count(sb.surveyor_id) AS n_signers
+FROM maps m LEFT JOIN signed_by sb ON sb.map_id = m.id LEFT JOIN disp d ON d.id = sb.surveyor_id
+GROUP BY m.id HAVING count(*) > 1""",
     "surveyor_display": WITH_SURV + "\nSELECT id, fullname, display, display_ws, n1, n2 FROM disp",
     "alias_conflicts": WITH_SURV + """
 SELECT 'duplicate_alias' AS kind, hollins_fullname AS name, count(*) AS n FROM f_alias GROUP BY hollins_fullname HAVING count(*) > 1

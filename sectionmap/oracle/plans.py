@@ -144,7 +144,8 @@ FROM pages""",
     "frame_plan": FRAMES + """
 SELECT src_file, frame, scan_dpi, (width_px * 100) // scan_dpi AS width_in_x100, (height_px * 100) // scan_dpi AS height_in_x100,
   is_cc, CASE WHEN is_cc THEN 'cc' ELSE maptype || '/' || book END AS dest_dir, dest_file,
-  CASE WHEN mode = 'P' THEN 'RGB' ELSE mode END AS mode FROM fp""",
+  CASE WHEN mode = 'P' THEN 'RGB' ELSE mode END AS mode,
+  regexp_replace(src_file, '^.*(\\d{3})(\\D{2})(\\d{3}).*$', '\\2\\1\\3') AS sort_key FROM fp""",
     "resize_plan": FRAMES + f"""
 SELECT dest_file, least({K.MAP_DPI}, scan_dpi) AS map_dpi,
   CAST(round_even(width_px * least({K.MAP_DPI}, scan_dpi) / scan_dpi, 0) AS INTEGER) AS width_out,

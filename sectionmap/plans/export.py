@@ -77,12 +77,17 @@ def write_maps_xml(records: DataFrame, path: str) -> None:
     records.write.mode("overwrite").format("xml").options(rowTag="map", **XML_OPTIONS).save(path)
 
 
-def read_maps_xml(spark, path: str) -> DataFrame:
+def read_maps_xml(spark, path: str, qq_columns: list[str] | None = None) -> DataFrame:
     """S1 + S2: fixed fields with a declared schema, the open-ended qq elements
-    discovered from the file and read as arrays of text."""
+    read as arrays of text.  When the section list is known the read is a
+    single pass; otherwise the element names are discovered from the file
+    first (one extra pass over the data)."""
     opts = {"rowTag": "map", **XML_OPTIONS}
-    inferred = spark.read.format("xml").options(**opts).load(path)
-    qq = [c for c in inferred.columns if c.lower() not in FIXED_TAGS]
+    if qq_columns is None:
+        inferred = spark.read.format("xml").options(**opts).load(path)
+        qq = [c for c in inferred.columns if c.lower() not in FIXED_TAGS]
+    else:
+        qq = list(qq_columns)
     fixed = [T.StructField("ID", T.IntegerType()), T.StructField("maptype", T.StringType()),
              T.StructField("BOOK", T.IntegerType()), T.StructField("FIRSTPAGE", T.IntegerType()),
              T.StructField("LASTPAGE", T.IntegerType()), T.StructField("RECDATE", T.StringType()),

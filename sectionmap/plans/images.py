@@ -33,6 +33,8 @@ def frame_plan(frames: DataFrame) -> DataFrame:
         is_cc.alias("is_cc"),
         F.when(is_cc, F.lit("cc")).otherwise(F.concat("maptype", F.lit("/"), "book")).alias("dest_dir"),
         dest.alias("dest_file"), F.when(F.col("mode") == "P", "RGB").otherwise(F.col("mode")).alias("mode"),
+        # O3: frames are processed in (type, book, page) order of their names.
+        F.regexp_replace("src_file", r"^.*(\d{3})(\D{2})(\d{3}).*$", "$2$1$3").alias("sort_key"),
         "width_px", "height_px")
 
 

@@ -170,6 +170,13 @@ def surveyor_lists(spark, sf_dir):
     return SV.surveyor_lists(st.maps, st.signed_by, st.surveyors)
 
 
+@query
+def multi_signer_maps(spark, sf_dir):
+    """Maps signed by more than one surveyor, with their list."""
+    st = Staging(spark, sf_dir)
+    return SV.surveyor_lists(st.maps, st.signed_by, st.surveyors).filter(F.col("n_signers") > 1)
+
+
 @query
 def surveyor_display(spark, sf_dir):
     return SV.display_names(Staging(spark, sf_dir).surveyors).drop("lastname", "firstname")

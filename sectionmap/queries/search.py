@@ -5,7 +5,7 @@ from __future__ import annotations
 from sectionmap.operators.paths import explode_paths, path_index
 from sectionmap.operators.search import (
     box_paths, maps_in_boxes, maps_in_mask, maps_in_sections, maps_in_subtree,
-    maps_on_paths, symmetric_difference,
+    maps_on_paths, restrict_to_paths, symmetric_difference,
 )
 from sectionmap.queries import query
 from sectionmap.sources.fixtures import Inputs
@@ -36,18 +36,20 @@ def search_mask(spark, sf_dir):
 
 @query
 def search_paths(spark, sf_dir):
-    return maps_on_paths(path_index(Inputs(spark, sf_dir).f_trs), box_paths("5N", "1W", 26, 0xFFFF))
+    paths = box_paths("5N", "1W", 26, 0xFFFF)
+    return maps_on_paths(path_index(restrict_to_paths(Inputs(spark, sf_dir).f_trs, paths)), paths)
 
 
 @query
 def search_section_paths(spark, sf_dir):
-    return maps_on_paths(path_index(Inputs(spark, sf_dir).f_trs),
-                         ["5N.1W.23", "5N.1W.24", "5N.1W.25", "5N.1W.26"])
+    paths = ["5N.1W.23", "5N.1W.24", "5N.1W.25", "5N.1W.26"]
+    return maps_on_paths(path_index(restrict_to_paths(Inputs(spark, sf_dir).f_trs, paths)), paths)
 
 
 @query
 def search_subtree(spark, sf_dir):
-    return maps_in_subtree(path_index(Inputs(spark, sf_dir).f_trs), "5N.1W")
+    trs = restrict_to_paths(Inputs(spark, sf_dir).f_trs, ["5N.1W"])
+    return maps_in_subtree(path_index(trs), "5N.1W")
 
 
 @query
@@ -59,7 +61,8 @@ def search_span(spark, sf_dir):
 def search_equivalence(spark, sf_dir):
     inp = Inputs(spark, sf_dir)
     by_bitmap = maps_in_boxes(inp.f_trs, SPAN)
-    by_path = maps_on_paths(path_index(inp.f_trs), [p for b in SPAN for p in box_paths(*b)])
+    paths = [p for b in SPAN for p in box_paths(*b)]
+    by_path = maps_on_paths(path_index(restrict_to_paths(inp.f_trs, paths)), paths)
     return symmetric_difference(by_bitmap, by_path, names=("bitmap", "path"))
 
 
@@ -85,9 +88,9 @@ def expanded_specs(spark, sf_dir):
 
 @query
 def search_specs(spark, sf_dir):
-    from sectionmap.operators.search import search_specs as run
+    from sectionmap.operators.search import search_specs_on_trs
     inp = Inputs(spark, sf_dir)
-    return run(path_index(inp.f_trs), _specs(inp))
+    return search_specs_on_trs(inp.f_trs, _specs(inp))
 
 
 @query

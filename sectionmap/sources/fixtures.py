@@ -25,6 +25,21 @@ _TYPENAME = ("CASE {a} WHEN 'CR' THEN 'Corner Record' WHEN 'HM' THEN 'Highway Ma
 _MAPNAME = "lpad(CAST({b} AS STRING), 3, '0') || lower({a}) || lpad(CAST({p} AS STRING), 3, '0')"
 
 
+# One pass over orders with the columns of f_map, f_signed (surveyor) and
+# f_desc (description): the same expressions as those fixtures, so the derived
+# inputs below need no self-joins of orders.
+_MAP_ROW = """SELECT CAST(o_orderkey AS INT) AS id, o_custkey AS custkey,
+  CASE CAST(o_orderkey % 7 AS INT) WHEN 0 THEN 'CR' WHEN 1 THEN 'HM' WHEN 2 THEN 'MM' WHEN 3 THEN 'PM' WHEN 4 THEN 'RM' WHEN 5 THEN 'RS' ELSE 'UR' END AS abbrev,
+  CAST(floor(floor(o_orderkey / 7) / 40) + 1 AS INT) AS book,
+  CAST(floor(o_orderkey / 7) % 40 * 4 + 1 AS INT) AS page,
+  CAST(o_custkey % 4 + 1 AS INT) AS npages,
+  CAST(o_orderdate AS DATE) AS recdate,
+  CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE 'CLIENT ' || CAST(o_custkey AS STRING) END AS client,
+  'L' || CAST(o_custkey AS STRING) || CASE WHEN o_orderkey % 4 = 0 THEN ' & L' || CAST((o_custkey + 1) AS STRING) WHEN o_orderkey % 9 = 0 THEN '&UNKNOWN' ELSE '' END AS surveyor,
+  CASE WHEN CAST(o_orderkey AS INT) % 7 = 0 THEN 'N/2 E/2 S5 & ' ELSE '' END || 'NE/4 S' || CAST(CAST(o_orderkey AS INT) % 36 + 1 AS STRING) || CASE WHEN CAST(o_orderkey AS INT) % 4 = 1 THEN ' & sw/4 S' ELSE ' & SW/4 S' END || CAST(CAST(o_orderkey AS INT) % 30 + 1 AS STRING) || CASE WHEN CAST(o_orderkey AS INT) % 3 = 0 THEN ' 1N,2E' ELSE '' END || CASE WHEN CAST(o_orderkey AS INT) % 5 = 0 THEN ' + E/2 SE/4 S31 2N, 2E  HWY 36' WHEN CAST(o_orderkey AS INT) % 5 = 1 THEN ' & se/4 s31 2n,2e' ELSE ' & N/2 N/2 S7' END AS description
+FROM {orders}"""
+
+
 def _ic(x: str) -> str:
     return f"upper(substr({x}, 1, 1)) || lower(substr({x}, 2))"
 
@@ -88,20 +103,20 @@ SELECT '/map/' || lower(abbrev) || '/' || lpad(CAST(book AS STRING),3,'0') || '/
 SELECT m.id AS id,
   CASE WHEN m.id % 997 = 0 THEN 'Misc Map' ELSE {_TYPENAME.format(a='m.abbrev')} END AS maptype,
   m.book AS book, m.page AS firstpage, m.page + m.npages - 1 AS lastpage, m.recdate AS recdate,
-  s.surveyor AS surveyor, m.client AS donefor,
-  CASE WHEN m.id % 50 = 0 THEN 'ALL S1,S2,S3,S4,S5,S6,S7,S8,S9,S10,S11,S12,S13,S14,S15,S16,S17,S18,S19,S20,S21,S22,S23,S24,S25,S26,S27,S28,S29,S30,S31,S32,S33,S34,S35,S36 ' || d.description ELSE d.description END AS descript,
+  m.surveyor AS surveyor, m.client AS donefor,
+  CASE WHEN m.id % 50 = 0 THEN 'ALL S1,S2,S3,S4,S5,S6,S7,S8,S9,S10,S11,S12,S13,S14,S15,S16,S17,S18,S19,S20,S21,S22,S23,S24,S25,S26,S27,S28,S29,S30,S31,S32,S33,S34,S35,S36 ' || m.description ELSE m.description END AS descript,
   CAST(NULL AS STRING) AS comment
-FROM {{f_map}} m JOIN {{f_signed}} s ON s.map_id = m.id JOIN {{f_desc}} d ON d.id = m.id
+FROM ({_MAP_ROW}) m
 WHERE m.id % 10 <> 9
 """,
     # Map workbook: maps entered outside the legacy system, with a free-text trs column.
     "f_sheet": f"""
 SELECT {_TYPENAME.format(a='m.abbrev')} AS maptype, m.book AS book, m.page AS page, m.npages AS npages,
-  m.recdate AS recdate, s.surveyor AS surveyor, m.client AS client, d.description AS description,
+  m.recdate AS recdate, m.surveyor AS surveyor, m.client AS client, m.description AS description,
   CASE WHEN m.id % 3 = 0 THEN 'NE/4 S' || CAST(m.id % 36 + 1 AS STRING) || ' T2N R3E, S' || CAST(m.id % 35 + 1 AS STRING) || ' 1N 1W'
        WHEN m.id % 3 = 1 THEN 'S/2 S' || CAST(m.id % 30 + 1 AS STRING) || ' 7N 1E,HWY 36' ELSE NULL END AS trs,
   CAST(NULL AS STRING) AS note
-FROM {{f_map}} m JOIN {{f_signed}} s ON s.map_id = m.id JOIN {{f_desc}} d ON d.id = m.id
+FROM ({_MAP_ROW}) m
 WHERE m.id % 10 = 9
 """,
     # Parcel-number workbook (some maps carry two numbers; seq is sheet order).
@@ -170,7 +185,7 @@ SELECT {_TYPENAME.format(a='m.abbrev')} AS maptype, m.book AS book, m.page AS pa
          || CASE WHEN m.id % 6 = 0 THEN ' (PLS ' || CAST(s.id AS STRING) || ')' ELSE '' END
        WHEN m.id % 3 = 1 THEN concat_ws(' ', s.firstname, substr(s.secondname, 1, 1), substr(s.thirdname, 1, 1), s.lastname, s.suffix)
        ELSE 'NOBODY ' || CAST(m.id AS STRING) END AS surveyors
-FROM {{f_map}} m JOIN {{orders}} o ON o.o_orderkey = m.id JOIN {{f_surveyor}} s ON s.id = o.o_custkey
+FROM ({_MAP_ROW}) m JOIN {{f_surveyor}} s ON s.id = m.custkey
 """,
     # Scanned-frame metadata (pixel size, dpi, colour mode) per part.
     "f_images": f"""

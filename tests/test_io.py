@@ -81,3 +81,11 @@ def test_publish(spark, tmp_path):
     # trs is partitioned by township: a township filter prunes partitions.
     pruned = trs.filter(F.col("tshp") == 4)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(tshp" in pruned
+
+
+def test_write_back(spark, tmp_path):
+    sheet = spark.createDataFrame([("Parcel Map", 1, 5), ("Survey", 2, 9)], "MAPTYPE string, BOOK int, PAGE int")
+    res = spark.createDataFrame([("Parcel Map", 1, 5, 77, 2)], "MAPTYPE string, BOOK int, PAGE int, MAP_ID int, MAP_IMAGES int")
+    out = io.write_back(sheet, res, ["MAPTYPE", "BOOK", "PAGE"], str(tmp_path / "sheet"))
+    back = io.read_sheet(spark, str(tmp_path / "sheet"), out.schema)
+    assert sorted(tuple(r) for r in back.collect()) == [("Parcel Map", 1, 5, 77, 2), ("Survey", 2, 9, None, None)]
