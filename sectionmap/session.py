@@ -33,26 +33,32 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
-def scratch_dir(spark: SparkSession, name: str = "work") -> str:
-    """A fresh folder under the cluster's shared checkpoint directory.
+def checkpoint_base(spark: SparkSession) -> str:
+    """The shared folder for checkpoints and scratch tables.
 
-    The folder named by ``spark.checkpoint.dir`` is shared by all executors, so
-    data written there survives the loss of an executor.  Only when the setting
-    is absent (local tests) do we pick a local temporary folder and record it in
-    the session so later calls agree.
+    ``spark.checkpoint.dir`` is a static setting: on a cluster it names storage
+    every executor can reach, and it is only read here.  When it is absent (a
+    local test session) a local folder is registered with the SparkContext
+    instead -- never on a cluster, where the setting is present.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = tempfile.mkdtemp(prefix="sectionmap-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    if base:
+        return base
+    ctx = spark.sparkContext.getCheckpointDir()
+    if ctx:
+        return ctx
+    base = tempfile.mkdtemp(prefix="sectionmap-ckpt-")
+    spark.sparkContext.setCheckpointDir(base)
+    return spark.sparkContext.getCheckpointDir() or base
+
+
+def scratch_dir(spark: SparkSession, name: str = "work") -> str:
+    """A fresh, uniquely named folder under the shared checkpoint folder."""
+    return os.path.join(checkpoint_base(spark), f"{name}-{uuid.uuid4().hex[:12]}")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint()`` usable: keep the cluster's folder, or
-    (only when none is configured, as in tests) pick one."""
+    """Make ``DataFrame.checkpoint()`` usable (the SparkContext picks up
+    ``spark.checkpoint.dir`` itself; otherwise see ``checkpoint_base``)."""
     if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(scratch_dir(spark, "checkpoints"))
+        checkpoint_base(spark)

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -13,13 +12,11 @@ SF01 = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from sectionmap.session import local_session
+    from sectionmap.session import checkpoint_base, local_session
     s = local_session("*", 8, app="sectionmap-tests")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        # Tests only: no cluster folder is configured, so use a local one.
-        d = tempfile.mkdtemp(prefix="sectionmap-tests-")
-        s.conf.set("spark.checkpoint.dir", d)
-        s.sparkContext.setCheckpointDir(d)
+    # The checkpoint folder comes from spark.checkpoint.dir when configured;
+    # otherwise (tests only) a local one is registered with the SparkContext.
+    checkpoint_base(s)
     yield s
 
 
