@@ -7,7 +7,7 @@ from __future__ import annotations
 from functools import reduce
 from typing import Iterable, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from sectionmap.functions.geo import path_in_subtree, range_number, township_number
 
@@ -146,8 +146,8 @@ def expand_specs(specs: DataFrame, spec_col: str = "spec") -> DataFrame:
              .otherwise(F.array(F.lit(None).cast("string"))))
     out = el.select(spec_col, "elem", F.explode(paths).alias("path"))
     out = out.withColumn("valid", F.coalesce(validate_path(F.col("path")), F.lit(False)) & F.col("path").isNotNull())
-    ok = out.groupBy(spec_col).agg(F.bool_and("valid").alias("spec_ok"))
-    return out.join(ok, spec_col)
+    # One exchange on the spec; the paths of one spec are bounded by the spec text.
+    return out.withColumn("spec_ok", F.min(F.col("valid").cast("int")).over(Window.partitionBy(spec_col)) == 1)
 
 
 def search_specs(index: DataFrame, specs: DataFrame, spec_col: str = "spec") -> DataFrame:
