@@ -71,7 +71,7 @@ hm AS (
 pages AS (SELECT lower(abbrev) || '/' || lpad(CAST(book AS VARCHAR), 3, '0') AS page_key,
             '<html><body>' || string_agg(block, chr(10) ORDER BY page) || '</body></html>' AS html
           FROM hm GROUP BY abbrev, book),
-bl AS (SELECT page_key, unnest(range(len(b))) AS pos, unnest(b) AS block FROM (
+bl AS (SELECT page_key, CAST(unnest(range(len(b))) AS INTEGER) AS pos, unnest(b) AS block FROM (
          SELECT page_key, regexp_extract_all(html, '(?s)<div class="hmps-map">(.*?)</div></div>', 1) AS b FROM pages)),
 b2 AS (SELECT *, {_UNESC("regexp_extract(block, '(?s)<h4>(.*?)</h4>', 1)")} AS heading,
          regexp_extract_all(block, '(?s)<p>(.*?)</p>', 1) AS paras FROM bl),
@@ -142,7 +142,8 @@ SELECT page_id, {_UNESC("regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)")} AS hea
   CASE WHEN regexp_matches({_UNESC("regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)")}, '{HEADING}') THEN 'ok' ELSE 'bad_heading' END AS status
 FROM pages""",
     "frame_plan": FRAMES + """
-SELECT src_file, frame, scan_dpi, (width_px * 100) // scan_dpi AS width_in_x100, (height_px * 100) // scan_dpi AS height_in_x100,
+SELECT src_file, frame, scan_dpi, CAST((width_px * 100) // scan_dpi AS BIGINT) AS width_in_x100,
+  CAST((height_px * 100) // scan_dpi AS BIGINT) AS height_in_x100,
   is_cc, CASE WHEN is_cc THEN 'cc' ELSE maptype || '/' || book END AS dest_dir, dest_file,
   CASE WHEN mode = 'P' THEN 'RGB' ELSE mode END AS mode,
   regexp_replace(src_file, '^.*(\\d{3})(\\D{2})(\\d{3}).*$', '\\2\\1\\3') AS sort_key FROM fp""",
@@ -154,7 +155,7 @@ SELECT dest_file, least({K.MAP_DPI}, scan_dpi) AS map_dpi,
   CASE WHEN is_cc THEN 'map/cc' ELSE 'map/' || maptype || '/' || book END || '/' || regexp_replace(dest_file, '\\.tif\\z', '.jpg') AS target,
   CASE WHEN is_cc AND NOT regexp_matches(dest_file, '^\\d{{4}}-(or|doc)-\\d{{6}}-\\d{{3}}\\.tif\\z') THEN 'bad_cc_name' ELSE 'convert' END AS status
 FROM fp""",
-    "pdf_manifest": MANIFEST + "\nSELECT map, row_number() OVER (PARTITION BY map ORDER BY part, doc DESC, file) AS seq, file FROM pg",
+    "pdf_manifest": MANIFEST + "\nSELECT map, CAST(row_number() OVER (PARTITION BY map ORDER BY part, doc DESC, file) AS INTEGER) AS seq, file FROM pg",
     "pdf_manifest_issues": MANIFEST + "\nSELECT map, doc, issue FROM d WHERE issue IS NOT NULL",
     "constraint_checks": CHECKS,
 }

@@ -103,7 +103,7 @@ SELECT count(*) AS n_groups, count(*) FILTER (WHERE s <> o) AS n_differ FROM g""
     "trs_build": TRS_BUILD,
     "trs_sheet_parse": _MAPS_WITH + ",\n" + SHEET + "\nSELECT * FROM s4",
     "trs_redundancy": _T + """
-SELECT nrecs, count(*) AS sec_refs, nrecs * count(*) AS trs_recs, sum(nrecs - 1) AS redundant
+SELECT nrecs, count(*) AS sec_refs, nrecs * count(*) AS trs_recs, CAST(sum(nrecs - 1) AS BIGINT) AS redundant
 FROM (SELECT count(*) AS nrecs FROM f_trs GROUP BY map_id, tshp, rng, sec) GROUP BY nrecs""",
     "trs_rollup": _T + f", r AS ({rollup('f_trs', '0, 1')})\nSELECT map_id, tshp, rng, sec FROM r",
     "trs_rollup_head": _T + f", r AS ({rollup('f_trs', '0, 1')})\nSELECT map_id, tshp, rng, sec FROM r ORDER BY map_id, _t, _r LIMIT 100",

@@ -8,6 +8,7 @@ import __spark_entry__ as E
 from sectionmap.sources.fixtures import BASE_TABLES
 from tests.conftest import SF001
 from tools.oracle_check import digest
+from tools.type_check import NORM
 
 QUERIES = E.queries()
 SQL = E.oracle_sql()
@@ -29,6 +30,10 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, con, name):
     df = QUERIES[name](spark, SF001)
     rows = [tuple(r) for r in df.collect()]
+    rel = con.sql(SQL[name])
+    otypes = dict(zip(rel.columns, (str(t) for t in rel.types)))
+    stypes = {f.name: NORM.get(f.dataType.simpleString(), f.dataType.simpleString().upper()) for f in df.schema.fields}
+    assert stypes == otypes
     cur = con.execute(SQL[name])
     ocols = [d[0] for d in cur.description]
     orows = cur.fetchall()
