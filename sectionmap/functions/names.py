@@ -73,9 +73,17 @@ def full_name(first, second, third, last, suffix) -> Column:
 
 
 def initcap_words(s) -> Column:
-    """Upper-case the first letter of each blank-separated word, lower-case the rest."""
-    return F.array_join(F.transform(F.split(col(s), " "),
-                                    lambda w: F.concat(F.upper(F.left(w, F.lit(1))), F.lower(F.substring(w, 2, 1 << 30)))), " ")
+    """Database-style initcap: a letter after a non-alphanumeric character (or
+    at the start) is upper-cased, every other letter lower-cased -- so
+    "O'HERN" becomes "O'Hern" (Spark's ``initcap`` only looks at blanks)."""
+    chars = F.split(col(s), "")
+
+    def one(c, i):
+        prev = F.try_element_at(chars, F.greatest(i, F.lit(1)))
+        starts = (i == 0) | ~prev.rlike(r"[\p{L}\p{N}]")
+        return F.when(starts, F.upper(c)).otherwise(F.lower(c))
+
+    return F.array_join(F.transform(chars, one), "")
 
 
 def full_township(description) -> Column:

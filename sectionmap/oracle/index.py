@@ -106,8 +106,9 @@ disp AS (
     firstname || coalesce(' ' || left(secondname, 1), '') || coalesce(' ' || left(thirdname, 1), '') || ' ' || lastname
       || coalesce(' ' || suffix, '') AS display,
     concat_ws(' ', firstname, left(secondname, 1), left(thirdname, 1), lastname, suffix) AS display_ws,
-    array_to_string(list_transform(string_split(concat_ws(' ', firstname, secondname, thirdname, lastname, suffix), ' '),
-      lambda w: upper(left(w, 1)) || lower(substr(w, 2))), ' ') AS n1,
+    array_to_string(list_transform(string_split(concat_ws(' ', firstname, secondname, thirdname, lastname, suffix), ''),
+      lambda c, i: CASE WHEN i = 1 OR NOT regexp_matches(string_split(concat_ws(' ', firstname, secondname, thirdname, lastname, suffix), '')[i - 1], '[\p{L}\p{N}]')
+                        THEN upper(c) ELSE lower(c) END), '') AS n1,
     concat_ws(' ', firstname, left(secondname, 1), left(thirdname, 1), lastname, suffix) AS n2
   FROM surveyor)"""
 

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from sectionmap.functions import surveyor_display, surveyor_display_ws
-from sectionmap.functions.names import full_name
+from sectionmap.functions.names import full_name, initcap_words
 from sectionmap.operators.ids import sequential_ids
 from sectionmap.plans.files import map_keys
 
@@ -56,7 +56,7 @@ def display_names(surveyors: DataFrame) -> DataFrame:
     return surveyors.select(
         "id", "fullname", "lastname", "firstname", surveyor_display(*cols).alias("display"),
         surveyor_display_ws(*cols).alias("display_ws"),
-        F.initcap(full_name(*cols)).alias("n1"), surveyor_display_ws(*cols).alias("n2"))
+        initcap_words(full_name(*cols)).alias("n1"), surveyor_display_ws(*cols).alias("n2"))
 
 
 def surveyor_lists(maps: DataFrame, signatures: DataFrame, surveyors: DataFrame) -> DataFrame:
