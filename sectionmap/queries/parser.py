@@ -62,6 +62,13 @@ def parsed_text(spark, sf_dir):
 
 @query
 def parsed_parts(spark, sf_dir):
+    """Q5: every part found in a description, with the map's trs list (its
+    distinct 'S6 1N 2E' entries in order -- bounded by the grid -- and the
+    number of records)."""
     maps, trs = _inputs(spark, sf_dir)
-    n_trs = trs.groupBy("map_id").agg(F.count(F.lit(1)).alias("n_trs"))
-    return P.tokenize(maps, trs).join(n_trs, "map_id").select("map_id", "pos", F.col("token").alias("part"), "n_trs")
+    entry = F.concat_ws(" ", F.concat(F.lit("S"), F.col("sec").cast("string")), township_str("tshp"), range_str("rng"))
+    lists = trs.select("map_id", entry.alias("e")).groupBy("map_id").agg(
+        F.count(F.lit(1)).alias("n_trs"),
+        F.array_join(F.array_sort(F.collect_set("e")), " | ").alias("trs_list"))
+    return P.tokenize(maps, trs).join(lists, "map_id").select(
+        "map_id", "pos", F.col("token").alias("part"), "n_trs", "trs_list")
