@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from sectionmap import constants as K
-from sectionmap.functions._util import col, group
+from sectionmap.functions._util import col
 
 
 def _grid_number(s, prefix: str, pos: str, neg: str) -> Column:

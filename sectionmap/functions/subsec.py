@@ -5,12 +5,10 @@ expressions, so Catalyst folds them and keeps them inside whole-stage codegen.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, functions as F
 
 from sectionmap import constants as K
-from sectionmap.functions._util import col, group
+from sectionmap.functions._util import col
 
 
 def _name_to_bits() -> Column:
@@ -144,6 +142,3 @@ def popcount16(bits) -> Column:
     """Number of set bits among the low 16 bits."""
     return F.bit_count(col(bits).bitwiseAND(F.lit(0xFFFF)))
 
-
-def or_all(cols) -> Column:
-    return reduce(lambda a, b: a | b, cols)
