@@ -15,7 +15,7 @@ def _sfx(sheet: str, kind: str, order: int) -> str:
 MAPS0 = f"""legacy AS (
   SELECT h.id, t.id AS maptype_id, h.book, h.firstpage AS page, h.lastpage - h.firstpage + 1 AS npages, h.recdate,
     h.donefor AS client, h.descript AS description, h.comment AS note
-  FROM f_hollins_map h LEFT JOIN maptype t ON t.maptype = h.maptype),
+  FROM f_legacy_map h LEFT JOIN maptype t ON t.maptype = h.maptype),
 sheetm AS (
   SELECT CAST((SELECT coalesce(max(id), 0) FROM legacy) + row_number() OVER (ORDER BY s.maptype, s.book, s.page) AS INTEGER) AS id,
     t.id AS maptype_id, s.book, s.page, s.npages, s.recdate, s.client, s.description, s.note
@@ -41,7 +41,7 @@ maps AS (
 mk AS (SELECT m.id AS map_id, t.abbrev, t.maptype AS maptype_name, m.book, m.page, m.npages, m.recdate
        FROM maps m JOIN maptype t ON t.id = m.maptype_id)"""
 
-BASE = duckdb_with("f_hollins_map", "f_sheet", "f_pm", "f_tract") + ",\n" + maptype_values() + ",\n" + MAPS
+BASE = duckdb_with("f_legacy_map", "f_sheet", "f_pm", "f_tract") + ",\n" + maptype_values() + ",\n" + MAPS
 
 
 def _link(listing: str, kind: str, with_page: bool = True) -> str:
@@ -61,7 +61,7 @@ run AS (
   SELECT a.map_id, CAST(CASE WHEN bool_or(a.page = 1) THEN min(CASE WHEN b.map_id IS NULL THEN a.page END) ELSE 0 END AS INTEGER) AS contiguous
   FROM rd a LEFT JOIN rd b ON b.map_id = a.map_id AND b.page = a.page + 1 GROUP BY a.map_id)"""
 
-WITH_FILES = duckdb_with("f_hollins_map", "f_sheet", "f_pm", "f_tract", "f_file", "f_scan", "f_pdf", "f_batch") + \
+WITH_FILES = duckdb_with("f_legacy_map", "f_sheet", "f_pm", "f_tract", "f_file", "f_scan", "f_pdf", "f_batch") + \
     ",\n" + maptype_values() + ",\n" + MAPS + ",\n" + FILES
 
 CC = r"""cc AS (
@@ -86,20 +86,20 @@ ccf AS (
     TRY_CAST(regexp_replace(parts[4], '^0+', '') AS INTEGER) AS page, '/' || path AS imagefile FROM ccf1),
 cc_image AS (SELECT cc.cc_id, ccf.page, ccf.imagefile FROM ccf LEFT JOIN cc ON cc.doc_number = ccf.doc_number)"""
 
-WITH_CC = duckdb_with("f_hollins_map", "f_sheet", "f_pm", "f_tract", "f_cc", "f_cc_file") + \
+WITH_CC = duckdb_with("f_legacy_map", "f_sheet", "f_pm", "f_tract", "f_cc", "f_cc_file") + \
     ",\n" + maptype_values() + ",\n" + MAPS + ",\n" + CC
 
 SURV = r"""sv0 AS (SELECT *, row_number() OVER (PARTITION BY fullname ORDER BY row_no) AS rn FROM f_alias),
 surveyor AS (
   SELECT fullname, firstname, secondname, thirdname, lastname, suffix, pls, rce,
     CAST(row_number() OVER (ORDER BY row_no) AS INTEGER) AS id FROM sv0 WHERE rn = 1),
-alias AS (SELECT DISTINCT hollins_fullname, fullname FROM f_alias),
+alias AS (SELECT DISTINCT legacy_name, fullname FROM f_alias),
 names AS (
-  SELECT id AS map_id, unnest(regexp_split_to_array(upper(surveyor), '\s*&\s*')) AS hollins_fullname FROM f_hollins_map
+  SELECT id AS map_id, unnest(regexp_split_to_array(upper(surveyor), '\s*&\s*')) AS legacy_name FROM f_legacy_map
   UNION ALL
   SELECT mk.map_id, unnest(regexp_split_to_array(upper(s.surveyor), '\s*&\s*')) FROM f_sheet s
     JOIN mk ON mk.maptype_name = s.maptype AND mk.book = s.book AND mk.page = s.page),
-signed_by AS (SELECT DISTINCT n.map_id, s.id AS surveyor_id FROM names n JOIN alias a USING (hollins_fullname)
+signed_by AS (SELECT DISTINCT n.map_id, s.id AS surveyor_id FROM names n JOIN alias a USING (legacy_name)
               JOIN surveyor s ON s.fullname = a.fullname),
 disp AS (
   SELECT id, fullname, lastname, firstname,
@@ -112,14 +112,14 @@ disp AS (
     concat_ws(' ', firstname, left(secondname, 1), left(thirdname, 1), lastname, suffix) AS n2
   FROM surveyor)"""
 
-WITH_SURV = duckdb_with("f_hollins_map", "f_sheet", "f_pm", "f_tract", "f_alias", "f_batch") + \
+WITH_SURV = duckdb_with("f_legacy_map", "f_sheet", "f_pm", "f_tract", "f_alias", "f_batch") + \
     ",\n" + maptype_values() + ",\n" + MAPS + ",\n" + SURV
 
 SQL = {
     "map_build": BASE + "\nSELECT * FROM maps",
-    "parcel_numbers": duckdb_with("f_hollins_map", "f_sheet", "f_pm") + ",\n" + maptype_values() + ",\n" + MAPS0
+    "parcel_numbers": duckdb_with("f_legacy_map", "f_sheet", "f_pm") + ",\n" + maptype_values() + ",\n" + MAPS0
     + ",\n" + sfx_cte("s", [("f_pm", "PM")]) + "\nSELECT map_id, suffix FROM s",
-    "tract_numbers": duckdb_with("f_hollins_map", "f_sheet", "f_tract") + ",\n" + maptype_values() + ",\n" + MAPS0
+    "tract_numbers": duckdb_with("f_legacy_map", "f_sheet", "f_tract") + ",\n" + maptype_values() + ",\n" + MAPS0
     + ",\n" + sfx_cte("s", [("f_tract", "TR")]) + "\nSELECT map_id, suffix FROM s",
     "number_reports": BASE + r"""
 SELECT 'PM' AS kind, mk.maptype_name AS maptype, mk.book, mk.page,
@@ -167,9 +167,9 @@ FROM cc JOIN mk ON mk.map_id = cc.map_id
 WHERE cc.cc_id NOT IN (SELECT cc_id FROM cc_image WHERE cc_id IS NOT NULL)""",
     "signed_by": WITH_SURV + "\nSELECT map_id, surveyor_id FROM signed_by",
     "unknown_surveyors": WITH_SURV + r"""
-SELECT DISTINCT n.hollins_fullname FROM (
-  SELECT unnest(regexp_split_to_array(upper(surveyor), '\s+&\s+')) AS hollins_fullname FROM f_hollins_map) n
-WHERE n.hollins_fullname NOT IN (SELECT hollins_fullname FROM alias)""",
+SELECT DISTINCT n.legacy_name FROM (
+  SELECT unnest(regexp_split_to_array(upper(surveyor), '\s+&\s+')) AS legacy_name FROM f_legacy_map) n
+WHERE n.legacy_name NOT IN (SELECT legacy_name FROM alias)""",
     "surveyor_lists": WITH_SURV + """
 SELECT m.id AS map_id,
   coalesce(string_agg(d.display, ' & ' ORDER BY d.lastname, d.firstname, d.display), 'UNKNOWN') AS surveyors,
@@ -184,7 +184,7 @@ FROM maps m LEFT JOIN signed_by sb ON sb.map_id = m.id LEFT JOIN disp d ON d.id
 GROUP BY m.id HAVING count(*) > 1""",
     "surveyor_display": WITH_SURV + "\nSELECT id, fullname, display, display_ws, n1, n2 FROM disp",
     "alias_conflicts": WITH_SURV + """
-SELECT 'duplicate_alias' AS kind, hollins_fullname AS name, count(*) AS n FROM f_alias GROUP BY hollins_fullname HAVING count(*) > 1
+SELECT 'duplicate_alias' AS kind, legacy_name AS name, count(*) AS n FROM f_alias GROUP BY legacy_name HAVING count(*) > 1
 UNION ALL
 SELECT 'conflicting_rows', fullname, count(*) FROM (SELECT DISTINCT fullname, firstname, secondname, thirdname, lastname, suffix, pls, rce FROM f_alias)
   GROUP BY fullname HAVING count(*) > 1

@@ -55,7 +55,7 @@ _ESC = lambda c: f"replace(replace(replace({c}, '&', '&amp;'), '<', '&lt;'), '>'
 _UNESC = lambda c: f"replace(replace(replace({c}, '&lt;', '<'), '&gt;', '>'), '&amp;', '&')"
 HEADING = r"^(\d+)\s+(.*)\s+(\d+)(?:\D(\d+))?"
 
-HTML = duckdb_with("f_hollins_map", "f_sheet", "f_pm", "f_tract", "f_file", "f_scan", "f_pdf") + ",\n" + maptype_values() \
+HTML = duckdb_with("f_legacy_map", "f_sheet", "f_pm", "f_tract", "f_file", "f_scan", "f_pdf") + ",\n" + maptype_values() \
     + ",\n" + MAPS + ",\n" + FILES + f""",
 hm AS (
   SELECT mk.abbrev, mk.book, mk.page,
@@ -66,7 +66,7 @@ hm AS (
     || coalesce(strftime(mk.recdate, '%Y-%m-%d'), '') || '</p><p>Client: ' || {_ESC("coalesce(m.client, '')")}
     || '</p><p>Description: ' || {_ESC("coalesce(m.description, '')")} || '</p><a role="button" href="'
     || coalesce(pd.pdf, '') || '">PDF</a></div></div>' AS block
-  FROM mk JOIN maps m ON m.id = mk.map_id LEFT JOIN f_hollins_map h ON h.id = mk.map_id
+  FROM mk JOIN maps m ON m.id = mk.map_id LEFT JOIN f_legacy_map h ON h.id = mk.map_id
   LEFT JOIN (SELECT map_id, max(path) AS pdf FROM pdfs WHERE map_id IS NOT NULL GROUP BY map_id) pd ON pd.map_id = mk.map_id),
 pages AS (SELECT lower(abbrev) || '/' || lpad(CAST(book AS VARCHAR), 3, '0') AS page_key,
             '<html><body>' || string_agg(block, chr(10) ORDER BY page) || '</body></html>' AS html
@@ -114,12 +114,12 @@ d AS (SELECT docs.*, n.n_images, CASE WHEN n.n_images IS NULL THEN 'missing_cc'
 pg AS (SELECT map, 0 AS part, CAST(NULL AS VARCHAR) AS doc, file FROM imgs WHERE map IS NOT NULL
        UNION ALL SELECT d.map, 1, d.doc, ccf.file FROM d JOIN ccf ON ccf.doc = d.doc WHERE d.issue IS NULL)"""
 
-CHECKS = duckdb_with("f_hollins_map", "f_sheet", "f_pm", "f_tract", "f_cc", "f_cc_file", "f_alias", "f_trs") + ",\n" \
+CHECKS = duckdb_with("f_legacy_map", "f_sheet", "f_pm", "f_tract", "f_cc", "f_cc_file", "f_alias", "f_trs") + ",\n" \
     + maptype_values() + ",\n" + MAPS + ",\n" + CC + ",\n" + SURV + """
-SELECT 'unknown_maptype' AS "check", count(*) AS violations FROM f_hollins_map WHERE maptype IS NOT NULL AND maptype NOT IN (SELECT maptype FROM maptype)
+SELECT 'unknown_maptype' AS "check", count(*) AS violations FROM f_legacy_map WHERE maptype IS NOT NULL AND maptype NOT IN (SELECT maptype FROM maptype)
 UNION ALL SELECT 'map_pk', count(*) FROM (SELECT id FROM maps GROUP BY id HAVING count(*) > 1)
 UNION ALL SELECT 'surveyor_fullname_unique', count(*) FROM (SELECT fullname FROM surveyor GROUP BY fullname HAVING count(*) > 1)
-UNION ALL SELECT 'alias_unique', count(*) FROM (SELECT hollins_fullname FROM f_alias GROUP BY hollins_fullname HAVING count(*) > 1)
+UNION ALL SELECT 'alias_unique', count(*) FROM (SELECT legacy_name FROM f_alias GROUP BY legacy_name HAVING count(*) > 1)
 UNION ALL SELECT 'alias_fk_surveyor', count(*) FROM f_alias WHERE fullname IS NOT NULL AND fullname NOT IN (SELECT fullname FROM surveyor)
 UNION ALL SELECT 'signed_by_pk', count(*) FROM (SELECT map_id, surveyor_id FROM signed_by GROUP BY ALL HAVING count(*) > 1)
 UNION ALL SELECT 'signed_by_fk_map', count(*) FROM signed_by WHERE map_id NOT IN (SELECT id FROM maps)

@@ -55,7 +55,7 @@ s4 AS (
 
 from sectionmap.oracle.common import subsec_names_values  # noqa: E402
 
-_MAPS_WITH = duckdb_with("f_hollins_map", "f_sheet", "f_pm", "f_tract", "f_qq", "f_trs") + ",\n" + maptype_values() \
+_MAPS_WITH = duckdb_with("f_legacy_map", "f_sheet", "f_pm", "f_tract", "f_qq", "f_trs") + ",\n" + maptype_values() \
     + ",\n" + subsec_names_values() + ",\n" + MAPS
 
 TRS_BUILD = _MAPS_WITH + ",\n" + QQ + ",\n" + SHEET + f""",
@@ -71,7 +71,7 @@ _TAGS = _qq_tags()
 _SEC_VALUES = "secl(tag, t, r, s) AS (VALUES " + ", ".join(f"('{a}', {b}, {c}, {d})" for a, b, c, d in _TAGS) + ")"
 _PIVOT = ", ".join(f"string_agg(qq, ';' ORDER BY qq) FILTER (WHERE tag = '{t}') AS \"{t}\"" for t, *_ in _TAGS)
 _PIVOT_COLS = ", ".join(f'w."{t}"' for t, *_ in _TAGS)
-EXPORT_MAPS = duckdb_with("f_hollins_map", "f_sheet", "f_pm", "f_tract", "f_qq", "f_alias", "f_pdf", "f_file", "f_scan") \
+EXPORT_MAPS = duckdb_with("f_legacy_map", "f_sheet", "f_pm", "f_tract", "f_qq", "f_alias", "f_pdf", "f_file", "f_scan") \
     + ",\n" + maptype_values() + ",\n" + MAPS + ",\n" + FILES + ",\n" + SURV + ",\n" + QQ + ",\n" + _SEC_VALUES + f""",
 qqe AS (SELECT q.map_id, l.tag, {legacy_list_sql('q.subsec')} AS qq FROM qq q JOIN secl l ON l.t = q.tshp AND l.r = q.rng AND l.s = q.sec),
 w AS (SELECT map_id, {_PIVOT} FROM qqe GROUP BY map_id),

@@ -11,7 +11,7 @@ from sectionmap.operators.ids import sequential_ids
 from sectionmap.plans.files import map_keys
 
 
-def load_cc(cc_sheet: DataFrame, maps: DataFrame, maptype: DataFrame) -> DataFrame:
+def link_cc_documents(cc_sheet: DataFrame, maps: DataFrame, maptype: DataFrame) -> DataFrame:
     """cc rows with the map matched on type name, book, page and record date
     (a NULL or different date leaves map_id NULL).  Ids follow doc_number."""
     mk = map_keys(maps, maptype).select("map_id", F.col("maptype_name").alias("_t"), F.col("book").alias("_b"),
@@ -41,7 +41,7 @@ def cc_image_files(listing: DataFrame) -> DataFrame:
                     page.try_cast("int").alias("page"), F.concat(F.lit("/"), p).alias("imagefile"))
 
 
-def load_cc_images(listing: DataFrame, cc: DataFrame) -> DataFrame:
+def link_cc_images(listing: DataFrame, cc: DataFrame) -> DataFrame:
     files = cc_image_files(listing)
     c = cc.select("cc_id", F.col("doc_number").alias("_doc"))
     return files.join(c, files["doc_number"] == c["_doc"], "left").select("cc_id", "page", "imagefile")

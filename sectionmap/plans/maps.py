@@ -11,10 +11,10 @@ from sectionmap.operators.ids import sequential_ids
 MAP_COLUMNS = ["id", "maptype_id", "book", "page", "npages", "recdate", "client", "description", "note"]
 
 
-def legacy_maps(hollins_map: DataFrame, maptype: DataFrame) -> DataFrame:
+def legacy_maps(legacy_map: DataFrame, maptype: DataFrame) -> DataFrame:
     """Legacy rows keep their ids; an unknown type leaves maptype_id NULL."""
     t = maptype.select(F.col("maptype").alias("_tname"), F.col("id").alias("maptype_id"))
-    m = hollins_map.join(t, hollins_map["maptype"] == t["_tname"], "left")
+    m = legacy_map.join(t, legacy_map["maptype"] == t["_tname"], "left")
     return m.select("id", "maptype_id", "book", F.col("firstpage").alias("page"),
                     (F.col("lastpage") - F.col("firstpage") + 1).alias("npages"), "recdate",
                     F.col("donefor").alias("client"), F.col("descript").alias("description"),
@@ -47,10 +47,10 @@ def number_suffixes(maps: DataFrame, maptype: DataFrame, sheets: list[tuple[Data
         F.expr("listagg(suffix, '') WITHIN GROUP (ORDER BY sheet, seq)").alias("suffix"))
 
 
-def build_maps(hollins_map: DataFrame, sheet: DataFrame, pm: DataFrame, tract: DataFrame,
+def build_maps(legacy_map: DataFrame, sheet: DataFrame, pm: DataFrame, tract: DataFrame,
                maptype: DataFrame) -> DataFrame:
     """The map table of the index."""
-    legacy = legacy_maps(hollins_map, maptype)
+    legacy = legacy_maps(legacy_map, maptype)
     maps = legacy.unionByName(sheet_maps(sheet, maptype, legacy))
     suffix = number_suffixes(maps, maptype, [(pm, "PM"), (tract, "TR")])
     maps = maps.join(suffix, maps["id"] == suffix["map_id"], "left")

@@ -42,7 +42,7 @@ class Staging:
     @cached_property
     def maps(self) -> DataFrame:
         i = self.inp
-        return self._materialize(MP.build_maps(i.f_hollins_map, i.f_sheet, i.f_pm, i.f_tract, self.maptype))
+        return self._materialize(MP.build_maps(i.f_legacy_map, i.f_sheet, i.f_pm, i.f_tract, self.maptype))
 
     @cached_property
     def images(self) -> DataFrame:
@@ -63,12 +63,12 @@ class Staging:
     @cached_property
     def signed_by(self) -> DataFrame:
         i = self.inp
-        return SV.signed_by(i.f_hollins_map, i.f_sheet, self.maps, self.maptype, i.f_alias, self.surveyors)
+        return SV.signed_by(i.f_legacy_map, i.f_sheet, self.maps, self.maptype, i.f_alias, self.surveyors)
 
     @cached_property
     def cc(self) -> DataFrame:
-        return CC.load_cc(self.inp.f_cc, self.maps, self.maptype)
+        return CC.link_cc_documents(self.inp.f_cc, self.maps, self.maptype)
 
     @cached_property
     def cc_images(self) -> DataFrame:
-        return CC.load_cc_images(self.inp.f_cc_file, self.cc)
+        return CC.link_cc_images(self.inp.f_cc_file, self.cc)

@@ -24,31 +24,31 @@ def build_surveyors(alias_sheet: DataFrame) -> DataFrame:
 
 def alias_table(alias_sheet: DataFrame) -> DataFrame:
     """Legacy name -> full name (distinct pairs)."""
-    return alias_sheet.select("hollins_fullname", "fullname").distinct()
+    return alias_sheet.select("legacy_name", "fullname").distinct()
 
 
 def split_names(df: DataFrame, text: str, sep: str = r"\s*&\s*") -> DataFrame:
-    return df.withColumn("hollins_fullname", F.explode(F.split(F.upper(F.col(text)), sep)))
+    return df.withColumn("legacy_name", F.explode(F.split(F.upper(F.col(text)), sep)))
 
 
-def signed_by(hollins_map: DataFrame, sheet: DataFrame, maps: DataFrame, maptype: DataFrame,
+def signed_by(legacy_map: DataFrame, sheet: DataFrame, maps: DataFrame, maptype: DataFrame,
               alias_sheet: DataFrame, surveyors: DataFrame) -> DataFrame:
     """(map_id, surveyor_id): legacy signatures plus workbook signatures; names
     without an alias give no row."""
-    legacy = split_names(hollins_map.select(F.col("id").alias("map_id"), "surveyor"), "surveyor")
+    legacy = split_names(legacy_map.select(F.col("id").alias("map_id"), "surveyor"), "surveyor")
     mk = map_keys(maps, maptype)
     sh = sheet.join(mk, (sheet["maptype"] == mk["maptype_name"]) & (sheet["book"] == mk["book"])
                     & (sheet["page"] == mk["page"])).select("map_id", "surveyor")
     names = legacy.unionByName(split_names(sh, "surveyor"))
     s = surveyors.select(F.col("id").alias("surveyor_id"), "fullname")
-    return (names.join(alias_table(alias_sheet), "hollins_fullname").join(s, "fullname")
+    return (names.join(alias_table(alias_sheet), "legacy_name").join(s, "fullname")
             .select("map_id", "surveyor_id").distinct())
 
 
-def unknown_names(hollins_map: DataFrame, alias_sheet: DataFrame) -> DataFrame:
+def unknown_names(legacy_map: DataFrame, alias_sheet: DataFrame) -> DataFrame:
     """Q15: legacy names (split on blank-padded '&') with no alias."""
-    names = split_names(hollins_map, "surveyor", r"\s+&\s+").select("hollins_fullname")
-    return names.join(alias_table(alias_sheet), "hollins_fullname", "left_anti").distinct()
+    names = split_names(legacy_map, "surveyor", r"\s+&\s+").select("legacy_name")
+    return names.join(alias_table(alias_sheet), "legacy_name", "left_anti").distinct()
 
 
 def display_names(surveyors: DataFrame) -> DataFrame:
@@ -72,9 +72,9 @@ def surveyor_lists(maps: DataFrame, signatures: DataFrame, surveyors: DataFrame)
 
 def name_conflicts(alias_sheet: DataFrame, surveyors: DataFrame) -> DataFrame:
     """Q13, Q14, Q17: (kind, name, n) of the workbook's errors."""
-    dup_alias = (alias_sheet.groupBy("hollins_fullname").agg(F.count(F.lit(1)).alias("n"))
+    dup_alias = (alias_sheet.groupBy("legacy_name").agg(F.count(F.lit(1)).alias("n"))
                  .filter(F.col("n") > 1).select(F.lit("duplicate_alias").alias("kind"),
-                                                F.col("hollins_fullname").alias("name"), "n"))
+                                                F.col("legacy_name").alias("name"), "n"))
     conflict = (alias_sheet.select("fullname", *PARTS).distinct().groupBy("fullname")
                 .agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
                 .select(F.lit("conflicting_rows").alias("kind"), F.col("fullname").alias("name"), "n"))

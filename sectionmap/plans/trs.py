@@ -73,10 +73,10 @@ def rollup_sections(trs: DataFrame, sources: list[int], unknown: str | None = No
                     F.col("rng").alias("_r"))
 
 
-def legacy_sections(hollins_trs: DataFrame) -> DataFrame:
+def legacy_sections(legacy_trs: DataFrame) -> DataFrame:
     """Source 0: legacy (map, township, range, ',1,2,3,') rows -> one row per section."""
     secs = F.explode(F.split(F.trim(F.col("section"), F.lit(",")), ","))
-    return hollins_trs.select(
+    return legacy_trs.select(
         "map_id", township_number("township").alias("tshp"), range_number("range").alias("rng"),
         secs.alias("_s")).select(
         "map_id", "tshp", "rng", F.col("_s").try_cast("int").alias("sec"),
@@ -100,10 +100,10 @@ def sheet_records(sheet: DataFrame, maps: DataFrame, maptype: DataFrame) -> Data
     return j.select("map_id", "tshp", "rng", "sec", "subsec", F.lit(K.SOURCE_SHEET).alias("source_id"))
 
 
-def build_trs(hollins_trs: DataFrame, qq_wide: DataFrame, sheet: DataFrame, maps: DataFrame,
+def build_trs(legacy_trs: DataFrame, qq_wide: DataFrame, sheet: DataFrame, maps: DataFrame,
               maptype: DataFrame) -> DataFrame:
     """All four feeds appended (unionByName), one DataFrame, one write."""
-    s0 = legacy_sections(hollins_trs)
+    s0 = legacy_sections(legacy_trs)
     s1 = unpivot_qq(qq_wide).withColumn("source_id", F.lit(K.SOURCE_LEGACY_SUBSECTION))
     s4 = sheet_records(sheet, maps, maptype)
     base = s0.unionByName(s1.select(*TRS_COLUMNS)).unionByName(s4)

@@ -37,7 +37,7 @@ def map_build(spark, sf_dir):
 
 
 def _maps_before_numbers(st: Staging) -> DataFrame:
-    legacy = MP.legacy_maps(st.inp.f_hollins_map, st.maptype)
+    legacy = MP.legacy_maps(st.inp.f_legacy_map, st.maptype)
     return legacy.unionByName(MP.sheet_maps(st.inp.f_sheet, st.maptype, legacy))
 
 
@@ -161,7 +161,7 @@ def signed_by(spark, sf_dir):
 @query
 def unknown_surveyors(spark, sf_dir):
     st = Staging(spark, sf_dir)
-    return SV.unknown_names(st.inp.f_hollins_map, st.inp.f_alias)
+    return SV.unknown_names(st.inp.f_legacy_map, st.inp.f_alias)
 
 
 @query

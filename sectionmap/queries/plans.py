@@ -15,7 +15,7 @@ from sectionmap.queries import query
 @query
 def html_records(spark, sf_dir):
     st = Staging(spark, sf_dir)
-    signed = st.inp.f_hollins_map.select(F.col("id").alias("map_id"), "surveyor")
+    signed = st.inp.f_legacy_map.select(F.col("id").alias("map_id"), "surveyor")
     return H.parse_records(H.listing_pages(st.maps, st.maptype, signed, st.pdfs))
 
 
@@ -49,5 +49,5 @@ def pdf_manifest_issues(spark, sf_dir):
 @query
 def constraint_checks(spark, sf_dir):
     st = Staging(spark, sf_dir)
-    return CK.constraint_checks(st.inp.f_hollins_map, st.maptype, st.maps, st.surveyors, st.inp.f_alias,
+    return CK.constraint_checks(st.inp.f_legacy_map, st.maptype, st.maps, st.surveyors, st.inp.f_alias,
                                 st.signed_by, st.inp.f_trs, st.cc, st.cc_images)

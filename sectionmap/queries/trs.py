@@ -12,14 +12,14 @@ from sectionmap.queries import query
 from sectionmap.session import scratch_dir
 
 
-def hollins_trs(st: Staging):
+def legacy_trs(st: Staging):
     """Legacy TRS extract: the section source rolled up to ',1,2,3,' rows."""
     r = TR.rollup_sections(st.inp.f_trs, [0])
     return r.select("map_id", F.col("tshp").alias("township"), F.col("rng").alias("range"), F.col("sec").alias("section"))
 
 
 def built_trs(st: Staging):
-    return TR.build_trs(hollins_trs(st), st.inp.f_qq, st.inp.f_sheet, st.maps, st.maptype)
+    return TR.build_trs(legacy_trs(st), st.inp.f_qq, st.inp.f_sheet, st.maps, st.maptype)
 
 
 @query

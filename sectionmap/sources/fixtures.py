@@ -99,7 +99,7 @@ SELECT '/map/' || lower(abbrev) || '/' || lpad(CAST(book AS STRING),3,'0') || '/
     # ---- further derived inputs (this repository) -------------------------
     # Legacy map extract: type names (one unknown type), first/last page,
     # surveyor text, description (some with the full-township section list).
-    "f_hollins_map": f"""
+    "f_legacy_map": f"""
 SELECT m.id AS id,
   CASE WHEN m.id % 997 = 0 THEN 'Misc Map' ELSE {_TYPENAME.format(a='m.abbrev')} END AS maptype,
   m.book AS book, m.page AS firstpage, m.page + m.npages - 1 AS lastpage, m.recdate AS recdate,
@@ -162,7 +162,7 @@ WHERE src_id % 9 <> 0
     # Surveyor workbook: alias (legacy name) -> surveyor; second aliases,
     # a conflicting duplicate and some full names that disagree with their parts.
     "f_alias": """
-SELECT lastname AS hollins_fullname,
+SELECT lastname AS legacy_name,
   CASE WHEN id % 40 = 0 THEN concat_ws(' ', firstname, lastname) ELSE concat_ws(' ', firstname, secondname, thirdname, lastname, suffix) END AS fullname,
   firstname, secondname, thirdname, lastname, suffix,
   CASE WHEN id % 2 = 0 THEN 'PLS ' || CAST(id AS STRING) ELSE NULL END AS pls, CAST(NULL AS STRING) AS rce, id * 10 AS row_no
