@@ -7,6 +7,13 @@ else in the library imports this package.
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel to the executors by value, so these need no copy of it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def all_queries() -> dict:
     from sectionmap.llm.queries import QUERIES
