@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sectionmap.llm import chat, line_dedup, mixing, quality_rules, sharding
+from sectionmap.llm import (chat, decontaminate, jaccard_join, language, line_dedup, mixing, quality_classifier,
+                            quality_rules, sharding, suffix_dedup)
 from sectionmap.llm.common import table
 
 CONTROL_CONVERSATION = "</s>[INST] ok [/INST]"
@@ -44,4 +45,43 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality_rules, op4_chat_format, op5_sharding, op7_line_dedup)}
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10)
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["words"])
+    ids = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+    return (found.withColumn("n_hit", hit)
+            .select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                    F.sha2(ids, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated")))
+
+
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup_substrings(table(spark, sf_dir, "documents"), width=50)
+
+
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"), threshold=0.8)
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = language.held_out(F.col("doc_id"))
+    names, prototypes = language.learn(docs.where(~held))
+    return language.identify(docs.select("doc_id", "text", held.alias("held_out")), names, prototypes).select(
+        "doc_id", "held_out", "lang_pred", "score")
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality_classifier.learn(docs, labels.where(~language.held_out(F.col("doc_id"))))
+    return quality_classifier.score(docs, model).select(
+        "doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_mixing, op2_quality_rules, op3_decontaminate, op4_chat_format, op5_sharding, op6_suffix_dedup, op7_line_dedup,
+    op8_jaccard_join, op9_language, op10_quality_classifier, pipeline)}
