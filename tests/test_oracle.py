@@ -5,13 +5,15 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from sectionmap.oracle import all_sql
+from sectionmap.queries import all_queries
 from sectionmap.sources.fixtures import BASE_TABLES
 from tests.conftest import SF001
 from tools.oracle_check import digest
 from tools.type_check import NORM
 
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+QUERIES = all_queries()
+SQL = all_sql()
 
 
 @pytest.fixture(scope="module")
