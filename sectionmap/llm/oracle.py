@@ -38,8 +38,10 @@ SELECT conv_id, count(*) AS n_turns,
 FROM marks GROUP BY conv_id""",
     "op6_suffix_dedup": r"""
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-s AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS g
-      FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS i FROM d WHERE len(h) >= 100)),
+p AS (SELECT doc_id, j, substr(h, 2 * j + 1, 2 * (250 + 49)) AS h
+      FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 49, 250)) AS j FROM d WHERE len(h) >= 100)),
+s AS (SELECT doc_id, j + i AS i, substr(h, 2 * i + 1, 100) AS g
+      FROM (SELECT doc_id, j, h, unnest(range(0, len(h) // 2 - 49)) AS i FROM p)),
 f AS (SELECT g, min(doc_id) AS first FROM s GROUP BY 1 HAVING min(doc_id) < max(doc_id)),
 r AS (SELECT doc_id, i FROM s JOIN f USING (g) WHERE first < doc_id),
 m AS (SELECT doc_id, i, sum(CASE WHEN i <= p + 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS k
