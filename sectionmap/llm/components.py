@@ -16,21 +16,22 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 4
     number of rounds grows with the logarithm of the component size.
     """
     spark = edges.sparkSession
-    links = stage(spark, edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u != v")
-                  .select(F.least("u", "v").alias("v"), F.greatest("u", "v").alias("u")).dropDuplicates(), "links")
-    seen = None
-    for _ in range(max_rounds):
+    links = stage(spark, edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v").dropDuplicates(), "links")
+
+    def state(df: DataFrame):
+        return df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+
+    seen = state(links)
+    for _ in range(max_rounds if seen[0] else 0):
         # Large star: neighbours above a node point to the smallest of its neighbourhood.
         both = links.select("u", "v").unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = (both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .where("u != v").dropDuplicates())
+        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).dropDuplicates()
         # Small star: a node and its smaller neighbours point to the smallest of them.
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(low, "u")
-        links = stage(spark, joined.select("u", F.col("m").alias("v")).unionByName(joined.select(F.col("v").alias("u"), F.col("m").alias("v")))
-                      .where("u != v").dropDuplicates(), "links")
-        mark = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        moved = large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        links = stage(spark, low.select("u", F.col("m").alias("v")).unionByName(moved).dropDuplicates(), "links")
+        mark = state(links)
         if mark == seen:
             break
         seen = mark

@@ -123,6 +123,12 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         root = low
 
 
+def _similar(s: np.ndarray, i: int) -> np.ndarray:
+    """Members after ``i`` with a similar sketch; a quarter of it rules most out."""
+    j = np.flatnonzero((s[i + 1:, :SKETCH // 4] == s[i, :SKETCH // 4]).sum(1) >= SKETCH // 16) + i + 1
+    return j[(s[j] == s[i]).sum(1) >= SIMILAR * SKETCH]
+
+
 def _bucket_links(batches):
     """Star links (a, b) of the members of a bucket whose sketches agree."""
     for t in _groups(batches, ["path", "i", "j"]):
@@ -133,7 +139,7 @@ def _bucket_links(batches):
         out_a, out_b = [], []
         for lo, hi in zip(cut, np.append(cut[1:], len(nodes))):
             s = sketches[lo:hi]
-            pairs = [np.flatnonzero((s[i + 1:] == s[i]).sum(1) >= SIMILAR * SKETCH) + i + 1 for i in range(hi - lo - 1)]
+            pairs = [_similar(s, i) for i in range(hi - lo - 1)]
             if not pairs or not sum(map(len, pairs)):
                 continue
             root = _roots(hi - lo, np.repeat(np.arange(len(pairs)), [len(p) for p in pairs]), np.concatenate(pairs))
@@ -143,7 +149,7 @@ def _bucket_links(batches):
         yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.binary()), pa.array(out_b, pa.binary())], ["a", "b"])
 
 
-def candidate_links(nodes: DataFrame, small: int = 200, depth: int = 3, slice_size: int = 2048) -> DataFrame:
+def candidate_links(nodes: DataFrame, small: int = 800, depth: int = 3, slice_size: int = 2048) -> DataFrame:
     """(a, b): star links between nodes that may be near duplicates.
 
     nodes: (node, n, tokens, sketch), one row per distinct set.
@@ -165,12 +171,13 @@ def candidate_links(nodes: DataFrame, small: int = 200, depth: int = 3, slice_si
             dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
             ready = ready.unionByName(dealt.select("path", F.least("slice", "other").alias("i"), F.greatest("slice", "other").alias("j"),
                                                    "node", "n", "sketch"))
-        links.append(stage(spark, ready.repartition(width, "path", "i", "j").sortWithinPartitions("path", "i", "j")
+        links.append(stage(spark, ready.repartition(width, "path", "i", "j").sortWithinPartitions("path", "i", "j", "node")
                            .mapInArrow(_bucket_links, "a binary, b binary").dropDuplicates(), "links"))
         if not more or level == depth:
             break
         # Large buckets: a few members per bucket are pivots; what is close to one leaves.
-        salt = F.pmod(F.xxhash64("node", "path"), F.lit(PIVOTS))
+        # The choice depends on the nodes alone, so buckets of one group share their pivots.
+        salt = F.pmod(F.xxhash64("node"), F.lit(PIVOTS))
         pivots = (large.groupBy("path", salt.alias("salt")).agg(F.min(F.struct(F.xxhash64("node"), "node", "n", "sketch")).alias("p"))
                   .groupBy("path").agg(F.collect_list(F.struct("p.node", "p.n", "p.sketch")).alias("pivots")))
         compared = stage(spark, large.join(pivots, "path").select("path", "node", "n", "sketch", "pivots")
@@ -268,7 +275,7 @@ def _pairs(sets, nodes, copies, mine, i, j, threshold):
     return [(nodes[k], nodes[root[k]], int(links[k])) for k in range(n)]
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, recall: float = 0.999999, small: int = 200,
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, recall: float = 0.999999, small: int = 800,
                     block: int = 1536) -> DataFrame:
     """One row per document: doc_id, class_id (smallest id it is linked to,
     directly or through others), n_links (documents at or above the threshold)."""
