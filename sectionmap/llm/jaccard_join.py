@@ -41,7 +41,7 @@ SLICE = 2 << 20
 BRANCH = 6  # tokens a set samples in a run
 STEPS = 3  # tokens that extend a path in a large bucket
 PIVOTS = 8
-SIMILAR, CLOSE = 0.5, 0.9  # shares of equal minhashes; 64 of them err by 0.06
+SIMILAR, CLOSE, SIMILAR_PIVOTS = 0.45, 0.75, 0.25  # shares of equal minhashes; 64 of them err by 0.06
 _rng = np.random.default_rng(77)
 ODD = _rng.integers(1, 2**63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SIGNATURE = [("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.binary()), ("tokens", pa.list_(pa.int64())), ("sketch", pa.binary())]
@@ -181,9 +181,9 @@ def candidate_links(nodes: DataFrame, small: int = 800, depth: int = 3, slice_si
         pivots = (large.groupBy("path", salt.alias("salt")).agg(F.min(F.struct(F.xxhash64("node"), "node", "n", "sketch")).alias("p"))
                   .groupBy("path").agg(F.collect_list(F.struct("p.node", "p.n", "p.sketch")).alias("pivots")))
         compared = stage(spark, large.join(pivots, "path").select("path", "node", "n", "sketch", "pivots")
-                         .mapInArrow(_pivot_links, "node binary, link binary, child bigint"), "pivots")
-        links.append(compared.where("link is not null").select(F.col("link").alias("a"), F.col("node").alias("b")).dropDuplicates())
-        members = compared.where("child is not null").select("node", F.col("child").alias("path"))
+                         .mapInArrow(_pivot_links, "node binary, links array<binary>, children array<bigint>"), "pivots")
+        links.append(compared.select(F.explode("links").alias("a"), F.col("node").alias("b")).dropDuplicates())
+        members = compared.select("node", F.explode("children").alias("path"))
     out = links[0]
     for more_links in links[1:]:
         out = out.unionByName(more_links)
@@ -194,8 +194,9 @@ def _pivot_links(batches):
     """Members against their bucket's pivots: a link to each pivot whose sketch is
     similar; members that are not very close to any pivot extend the path.
 
-    A member at distance below 0.15 of a pivot may leave: whatever is within 0.2
-    of it is within 0.35 of the pivot, so it is linked to the same pivot."""
+    A member within 0.25 of a pivot may leave: what is within 0.2 of it is within
+    0.45 of that pivot, so it is linked to the pivot, or leaves for one that is
+    within 0.7 of it and so linked to it."""
     for batch in batches:
         nodes = np.array(batch.column("node").to_pylist(), object)
         path = batch.column("path").to_numpy().view(np.uint64)
@@ -209,20 +210,25 @@ def _pivot_links(batches):
         score = np.zeros(len(owner))
         for lo in range(0, len(owner), 100_000):
             score[lo:lo + 100_000] = (sketch[owner[lo:lo + 100_000]] == pivot_sketch[lo:lo + 100_000]).mean(1)
-        near = np.flatnonzero(score >= SIMILAR)
-        close = np.zeros(len(nodes), bool)
-        close[owner[score >= CLOSE]] = True
+        first = np.cumsum(counts) - counts
+        best = np.maximum.reduceat(score, first) if len(score) else score
+        close = best >= CLOSE
+        is_pivot = np.zeros(len(nodes), bool)
+        is_pivot[owner[pivot_nodes == nodes[owner]]] = True
+        # Pivots link among themselves; a member that leaves links to its best pivot, others to all similar ones.
+        wanted = np.where(is_pivot, SIMILAR_PIVOTS, np.where(close, best, SIMILAR))
+        near = np.flatnonzero((score >= wanted[owner]) & (pivot_nodes != nodes[owner]))
         go = np.flatnonzero(~close)
         # The places tried next are those whose hash under the path is smallest, the same for all members.
         order = mix64(path[go][:, None] ^ (np.arange(SKETCH, dtype=np.uint64) * np.uint64(7919))[None, :])
         place = np.argpartition(order, STEPS, axis=1)[:, :STEPS] if len(go) else np.zeros((0, STEPS), np.int64)
         value = np.take_along_axis(sketch[go], place, 1).astype(np.uint64)
         child = mix64(path[go][:, None] + mix64(value + place.astype(np.uint64) * np.uint64(1 << 20)))
+        link_ends = np.append(0, np.cumsum(np.bincount(owner[near], minlength=len(nodes)))).astype(np.int32)
+        child_ends = np.append(0, np.cumsum(np.where(close, 0, STEPS))).astype(np.int32)
         yield pa.RecordBatch.from_arrays([
-            pa.array(np.concatenate([nodes[owner[near]], np.repeat(nodes[go], STEPS)]), pa.binary()),
-            pa.array(np.concatenate([pivot_nodes[near], np.full(len(go) * STEPS, None, object)]), pa.binary()),
-            pa.array(np.concatenate([np.zeros(len(near), np.int64), child.reshape(-1).view(np.int64)]),
-                     mask=np.arange(len(near) + len(go) * STEPS) < len(near))], ["node", "link", "child"])
+            pa.array(nodes, pa.binary()), pa.ListArray.from_arrays(pa.array(link_ends), pa.array(pivot_nodes[near], pa.binary())),
+            pa.ListArray.from_arrays(pa.array(child_ends), pa.array(child.reshape(-1).view(np.int64)))], ["node", "links", "children"])
 
 
 def _exact(threshold: float):
