@@ -39,7 +39,7 @@ WIDTH = 5
 SKETCH = 64
 SLICE = 2 << 20
 BRANCH = 6  # tokens a set samples in a run
-STEPS = 3  # tokens that extend a path in a large bucket
+STEPS = 2  # tokens that extend a path in a large bucket
 PIVOTS = 8
 SIMILAR, CLOSE, SIMILAR_PIVOTS = 0.45, 0.75, 0.25  # shares of equal minhashes; 64 of them err by 0.06
 _rng = np.random.default_rng(77)
