@@ -17,8 +17,8 @@ from sectionmap.llm.common import stage, table
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a recognised language; those without a letter go."""
     names, prototypes = language.learn(docs)
-    return (language.identify(docs, names, prototypes).where(F.col("lang_pred") != language.UNKNOWN)
-            .select(*docs.columns))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    return (language.identify(rows, names, prototypes).where(F.col("lang_pred") != language.UNKNOWN).select("row.*"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,9 +37,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as many times as the mix takes it (none, once or twice)."""
-    copies = mixing.mix(docs).where("copies > 0").select(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), "copies")
-    same = F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s"))
-    return docs.join(copies, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*docs.columns)
+    copies = mixing.mix(docs).where("copies > 0").select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("copies").alias("__copies"))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source"))
+    return docs.join(copies, same).withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).select(*docs.columns)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -196,6 +196,6 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, width: int = 10, block_b
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:
     """The documents without any match, all columns kept."""
     hit = (find_matches(docs, benchmark, width).where(F.size("spans") > 0)
-           .select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t")).dropDuplicates())
-    keep = docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_t")), "left_anti")
-    return keep
+           .select(F.col("doc_id").alias("__hit_id"), F.col("text_hash").alias("__hit_text")).dropDuplicates())
+    same = docs["doc_id"].eqNullSafe(F.col("__hit_id")) & (F.xxhash64(docs["text"]) == F.col("__hit_text"))
+    return docs.join(hit, same, "left_anti")
