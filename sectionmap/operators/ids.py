@@ -12,8 +12,7 @@ def sequential_ids(df: DataFrame, order_by: list, start: Column, name: str = "id
     """Add ``name`` = start + 1, start + 2, ... following ``order_by`` (a total order).
 
     The rows are range-partitioned by the sort; each partition counts its rows,
-    the per-partition counts (one row per partition: bounded by the partition
-    count, so broadcast) give offsets, and each row adds its position inside
+    the per-partition counts (one row per partition) give offsets, and each row adds its position inside
     its partition.  The sorted, numbered frame is checkpointed to the shared
     checkpoint folder so the partition numbers stay fixed.
     """
@@ -26,5 +25,5 @@ def sequential_ids(df: DataFrame, order_by: list, start: Column, name: str = "id
     offsets = counts.select("_part", F.coalesce(
         F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0)).alias("_off"))
-    out = ordered.join(F.broadcast(offsets), "_part")
+    out = ordered.join(offsets, "_part")
     return out.withColumn(name, (start + F.col("_off") + F.col("_pos")).cast("int")).drop("_part", "_pos", "_off")

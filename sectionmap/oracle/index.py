@@ -172,13 +172,13 @@ SELECT DISTINCT n.legacy_name FROM (
 WHERE n.legacy_name NOT IN (SELECT legacy_name FROM alias)""",
     "surveyor_lists": WITH_SURV + """
 SELECT m.id AS map_id,
-  coalesce(string_agg(d.display, ' & ' ORDER BY d.lastname, d.firstname, d.display), 'UNKNOWN') AS surveyors,
+  coalesce(string_agg(d.display, ' & ' ORDER BY concat_ws(' ', d.lastname, d.display)), 'UNKNOWN') AS surveyors,
   count(sb.surveyor_id) AS n_signers
 FROM maps m LEFT JOIN signed_by sb ON sb.map_id = m.id LEFT JOIN disp d ON d.id = sb.surveyor_id
 GROUP BY m.id""",
     "multi_signer_maps": WITH_SURV + """
 SELECT m.id AS map_id,
-  coalesce(string_agg(d.display, ' & ' ORDER BY d.lastname, d.firstname, d.display), 'UNKNOWN') AS surveyors,
+  coalesce(string_agg(d.display, ' & ' ORDER BY concat_ws(' ', d.lastname, d.display)), 'UNKNOWN') AS surveyors,
   count(sb.surveyor_id) AS n_signers
 FROM maps m LEFT JOIN signed_by sb ON sb.map_id = m.id LEFT JOIN disp d ON d.id = sb.surveyor_id
 GROUP BY m.id HAVING count(*) > 1""",

@@ -75,7 +75,7 @@ EXPORT_MAPS = duckdb_with("f_legacy_map", "f_sheet", "f_pm", "f_tract", "f_qq",
     + ",\n" + maptype_values() + ",\n" + MAPS + ",\n" + FILES + ",\n" + SURV + ",\n" + QQ + ",\n" + _SEC_VALUES + f""",
 qqe AS (SELECT q.map_id, l.tag, {legacy_list_sql('q.subsec')} AS qq FROM qq q JOIN secl l ON l.t = q.tshp AND l.r = q.rng AND l.s = q.sec),
 w AS (SELECT map_id, {_PIVOT} FROM qqe GROUP BY map_id),
-sl AS (SELECT m.id AS map_id, coalesce(string_agg(d.display, ' & ' ORDER BY d.lastname, d.firstname, d.display), 'UNKNOWN') AS surveyors
+sl AS (SELECT m.id AS map_id, coalesce(string_agg(d.display, ' & ' ORDER BY concat_ws(' ', d.lastname, d.display)), 'UNKNOWN') AS surveyors
        FROM maps m LEFT JOIN signed_by sb ON sb.map_id = m.id LEFT JOIN disp d ON d.id = sb.surveyor_id GROUP BY m.id),
 pd AS (SELECT map_id, max(path) AS pdffile FROM pdfs WHERE map_id IS NOT NULL GROUP BY map_id)
 SELECT m.id AS "ID", mk.maptype_name AS maptype, m.book AS "BOOK", m.page AS "FIRSTPAGE", m.page + m.npages - 1 AS "LASTPAGE",
@@ -118,7 +118,7 @@ UNION ALL SELECT 'single_rec_per_sec', count(*) FILTER (WHERE n > 1) FROM (SELEC
 SELECT map_id AS "ID", tshp AS "TOWNSHIP", rng AS "RANGE", sec AS "SECTION" FROM r""",
     "export_diff": _T + f""", a AS ({rollup('f_trs', '0', True)}), b AS ({rollup('f_trs', '0, 1', True)})
 SELECT coalesce(a.map_id, b.map_id) AS "ID", coalesce(a.tshp, b.tshp) AS "TOWNSHIP", coalesce(a.rng, b.rng) AS "RANGE",
-  CASE WHEN a.map_id IS NULL THEN 'missing' WHEN b.map_id IS NULL THEN 'extra' WHEN a.sec = b.sec THEN 'same' ELSE 'changed' END AS status,
+  CASE WHEN a.map_id IS NULL THEN 'missing' WHEN b.map_id IS NULL THEN 'extra' WHEN a.sec IS NOT DISTINCT FROM b.sec THEN 'same' ELSE 'changed' END AS status,
   a.sec AS export_value, b.sec AS check_value
-FROM a FULL OUTER JOIN b ON a.map_id = b.map_id AND a.tshp = b.tshp AND a.rng = b.rng""",
+FROM a FULL OUTER JOIN b ON a.map_id IS NOT DISTINCT FROM b.map_id AND a.tshp IS NOT DISTINCT FROM b.tshp AND a.rng IS NOT DISTINCT FROM b.rng""",
 }

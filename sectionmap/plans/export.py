@@ -37,9 +37,9 @@ def qq_elements(trs: DataFrame, sections: list[str]) -> DataFrame:
     section; one join to the section list instead of one query per section."""
     spark = trs.sparkSession
     sec = spark.createDataFrame([(c, section_tag(c)) for c in sections], "code STRING, tag STRING")
-    sec = F.broadcast(sec.select(
+    sec = sec.select(
         "tag", township_number(F.substring("code", 1, 3)).alias("_t"),
-        range_number(F.substring("code", 4, 2)).alias("_r"), F.substring("code", 6, 2).try_cast("int").alias("_s")))
+        range_number(F.substring("code", 4, 2)).alias("_r"), F.substring("code", 6, 2).try_cast("int").alias("_s"))
     q = trs.filter(F.col("source_id") == K.SOURCE_LEGACY_SUBSECTION)
     j = q.join(sec, (q["tshp"] == sec["_t"]) & (q["rng"] == sec["_r"]) & (q["sec"] == sec["_s"]))
     return j.select("map_id", "tag", legacy_qq_list("subsec").alias("qq"))
@@ -107,10 +107,11 @@ def export_trs(trs: DataFrame) -> DataFrame:
 
 def diff_records(exported: DataFrame, check: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Compare two record sets by key: 'missing' (only in check),
-    'extra' (only exported), 'changed' or 'same'."""
-    a = exported.select(*keys, F.col(value).alias("export_value"), F.lit(True).alias("_a"))
-    b = check.select(*keys, F.col(value).alias("check_value"), F.lit(True).alias("_b"))
-    j = a.join(b, keys, "full_outer")
+    'extra' (only exported), 'changed' or 'same'.  NULL equals NULL, in keys and
+    in values."""
+    a = exported.select(*[F.col(k).alias(f"_a_{k}") for k in keys], F.col(value).alias("export_value"), F.lit(True).alias("_a"))
+    b = check.select(*[F.col(k).alias(f"_b_{k}") for k in keys], F.col(value).alias("check_value"), F.lit(True).alias("_b"))
+    j = a.join(b, [F.col(f"_a_{k}").eqNullSafe(F.col(f"_b_{k}")) for k in keys], "full_outer")
     status = (F.when(F.col("_a").isNull(), "missing").when(F.col("_b").isNull(), "extra")
-              .when(F.col("export_value") == F.col("check_value"), "same").otherwise("changed"))
-    return j.select(*keys, status.alias("status"), "export_value", "check_value")
+              .when(F.col("export_value").eqNullSafe(F.col("check_value")), "same").otherwise("changed"))
+    return j.select(*[F.coalesce(f"_a_{k}", f"_b_{k}").alias(k) for k in keys], status.alias("status"), "export_value", "check_value")

@@ -60,12 +60,12 @@ def display_names(surveyors: DataFrame) -> DataFrame:
 
 
 def surveyor_lists(maps: DataFrame, signatures: DataFrame, surveyors: DataFrame) -> DataFrame:
-    """Q12: per map the signers' display names in (last name, first name)
-    order joined by ' & ', or 'UNKNOWN'."""
-    d = display_names(surveyors).select(F.col("id").alias("surveyor_id"), "display", "lastname", "firstname")
+    """Q12: per map the signers' display names, in the order of the text
+    "last name display name", joined by ' & ', or 'UNKNOWN'."""
+    d = display_names(surveyors).select(F.col("id").alias("surveyor_id"), "display", F.concat_ws(" ", "lastname", "display").alias("sort_key"))
     j = maps.select(F.col("id").alias("map_id")).join(signatures, "map_id", "left").join(d, "surveyor_id", "left")
     agg = j.groupBy("map_id").agg(
-        F.expr("listagg(display, ' & ') WITHIN GROUP (ORDER BY lastname, firstname, display)").alias("surveyors"),
+        F.expr("listagg(display, ' & ') WITHIN GROUP (ORDER BY sort_key)").alias("surveyors"),
         F.count("surveyor_id").alias("n_signers"))
     return agg.select("map_id", F.coalesce("surveyors", F.lit("UNKNOWN")).alias("surveyors"), "n_signers")
 

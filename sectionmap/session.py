@@ -41,7 +41,7 @@ def checkpoint_base(spark: SparkSession) -> str:
     ``spark.checkpoint.dir`` is a static setting: on a cluster it names storage
     every executor can reach, and it is only read here.  When it is absent (a
     local test session) a local folder is registered with the SparkContext
-    instead -- never on a cluster, where the setting is present.
+    instead; on any other master a missing setting is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
@@ -49,6 +49,8 @@ def checkpoint_base(spark: SparkSession) -> str:
     ctx = spark.sparkContext.getCheckpointDir()
     if ctx:
         return ctx
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     base = tempfile.mkdtemp(prefix="sectionmap-ckpt-")
     spark.sparkContext.setCheckpointDir(base)
     return spark.sparkContext.getCheckpointDir() or base
