@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sectionmap.llm.bytes import LOWER, NONBLANK, mix64, slices, word_hashes
+from sectionmap.llm.common import stage
 
 PASSAGE = 64
 SLICE = 1 << 20
@@ -160,6 +161,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 4000) -> Model:
     known = labels.where(F.col("quality").isin(0, 1)).select(F.col("doc_id").alias("_d"), "quality")
     n = known.count()
     drawn = known.where(F.pmod(F.xxhash64("_d", F.lit(11)), F.lit(1_000_000)) < max(1.0, 1e6 * sample / max(n, 1)))
+    drawn = stage(docs.sparkSession, drawn, "drawn")  # its size is known now, so a small one is broadcast
     rows = docs.select("doc_id", "text").join(drawn, F.col("doc_id") == F.col("_d")).select("doc_id", "text", "quality")
     # One task fits the sample, in a fixed order.
     got = rows.repartition(1).sortWithinPartitions("doc_id", "text", "quality").select("text", "quality").mapInArrow(_fit, "model binary").collect()
