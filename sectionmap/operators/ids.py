@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from sectionmap.session import ensure_checkpoint_dir
+from sectionmap.session import staged
 
 
 def sequential_ids(df: DataFrame, order_by: list, start: Column, name: str = "id") -> DataFrame:
@@ -13,14 +13,12 @@ def sequential_ids(df: DataFrame, order_by: list, start: Column, name: str = "id
 
     The rows are range-partitioned by the sort; each partition counts its rows,
     the per-partition counts (one row per partition) give offsets, and each row adds its position inside
-    its partition.  The sorted, numbered frame is checkpointed to the shared
-    checkpoint folder so the partition numbers stay fixed.
+    its partition.  The numbered rows are written once as Parquet in the shared
+    folder, so the numbers stay fixed and later readers prune columns.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     ordered = df.orderBy(*order_by).withColumn("_part", F.spark_partition_id())
-    ordered = ordered.withColumn(
-        "_pos", F.row_number().over(Window.partitionBy("_part").orderBy(*order_by))).checkpoint(eager=True)
+    ordered = staged(ordered.withColumn(
+        "_pos", F.row_number().over(Window.partitionBy("_part").orderBy(*order_by))), "numbered")
     counts = ordered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select("_part", F.coalesce(
         F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)),

@@ -59,7 +59,7 @@ _MAPS_WITH = duckdb_with("f_legacy_map", "f_sheet", "f_pm", "f_tract", "f_qq", "
     + ",\n" + subsec_names_values() + ",\n" + MAPS
 
 TRS_BUILD = _MAPS_WITH + ",\n" + QQ + ",\n" + SHEET + f""",
-ht AS ({rollup('f_trs', '0')}),
+ht AS ({rollup('f_trs', '0, 1, 2, 3, 4')}),
 s0 AS (SELECT map_id, {tnum('tshp')} AS tshp, {rnum('rng')} AS rng, TRY_CAST(s AS INTEGER) AS sec, CAST(NULL AS INTEGER) AS subsec, 0 AS source_id
        FROM (SELECT map_id, tshp, rng, unnest(string_split(trim(sec, ','), ',')) AS s FROM ht)),
 base AS (SELECT * FROM s0 UNION ALL SELECT map_id, tshp, rng, sec, subsec, 1 FROM qq UNION ALL SELECT * FROM s4),
@@ -106,7 +106,7 @@ SELECT count(*) AS n_groups, count(*) FILTER (WHERE s <> o) AS n_differ FROM g""
 SELECT nrecs, count(*) AS sec_refs, nrecs * count(*) AS trs_recs, CAST(sum(nrecs - 1) AS BIGINT) AS redundant
 FROM (SELECT count(*) AS nrecs FROM f_trs GROUP BY map_id, tshp, rng, sec) GROUP BY nrecs""",
     "trs_rollup": _T + f", r AS ({rollup('f_trs', '0, 1')})\nSELECT map_id, tshp, rng, sec FROM r",
-    "trs_rollup_head": _T + f", r AS ({rollup('f_trs', '0, 1')})\nSELECT map_id, tshp, rng, sec FROM r ORDER BY map_id, _t, _r LIMIT 100",
+    "trs_rollup_head": _T + f", r AS ({rollup('f_trs', '0, 1')})\nSELECT map_id, tshp, rng, sec, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY _t, _r ORDER BY map_id) AS INTEGER) AS rank FROM r) x WHERE rank <= 100",
     "trs_extent": _T + f"""
 SELECT {tstr('max(tshp)')} AS t_max, {tstr('min(tshp)')} AS t_min, {rstr('max(rng)')} AS r_max, {rstr('min(rng)')} AS r_min FROM f_trs""",
     "trs_range_checks": _T + f"""

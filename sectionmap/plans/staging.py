@@ -1,7 +1,7 @@
 """The staging tables of one build, derived lazily from the inputs.
 
 Each property is a DataFrame; nothing runs until an action (the sequential
-ids of workbook rows checkpoint their numbering when first built).
+ids of workbook rows write their numbering when first built).
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from sectionmap.plans import files as FL
 from sectionmap.plans import maps as MP
 from sectionmap.plans import surveyors as SV
 from sectionmap.sources import constants as C
-from sectionmap.session import ensure_checkpoint_dir
+from sectionmap.session import staged
 from sectionmap.sources.fixtures import Inputs
 
 
@@ -32,21 +32,14 @@ class Staging:
     def source(self) -> DataFrame:
         return C.source(self.spark)
 
-    def _materialize(self, df: DataFrame) -> DataFrame:
-        """Write a staging table once to the shared checkpoint folder: later
-        steps read it several times, and lineage is cut at the table, as the
-        database build commits each table."""
-        ensure_checkpoint_dir(self.spark)
-        return df.checkpoint(eager=True)
-
     @cached_property
     def maps(self) -> DataFrame:
         i = self.inp
-        return self._materialize(MP.build_maps(i.f_legacy_map, i.f_sheet, i.f_pm, i.f_tract, self.maptype))
+        return staged(MP.build_maps(i.f_legacy_map, i.f_sheet, i.f_pm, i.f_tract, self.maptype), "map")
 
     @cached_property
     def images(self) -> DataFrame:
-        return self._materialize(FL.link_files(self.inp.f_file, self.maps, self.maptype, "map"))
+        return staged(FL.link_files(self.inp.f_file, self.maps, self.maptype, "map"), "map_image")
 
     @cached_property
     def scans(self) -> DataFrame:

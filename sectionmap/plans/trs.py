@@ -3,7 +3,7 @@ parsed description records (C11, P7), plus its reports (Q3, Q9-Q11, Q18, A6)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from sectionmap import constants as K
 from sectionmap.functions import (
@@ -12,7 +12,7 @@ from sectionmap.functions import (
 from sectionmap.functions._util import group
 from sectionmap.plans import parser as P
 from sectionmap.plans.files import map_keys
-from sectionmap.session import ensure_checkpoint_dir
+from sectionmap.session import staged
 
 TRS_COLUMNS = ["map_id", "tshp", "rng", "sec", "subsec", "source_id"]
 # The 11 fixed child tags of a legacy map record (lower case).
@@ -108,13 +108,21 @@ def build_trs(legacy_trs: DataFrame, qq_wide: DataFrame, sheet: DataFrame, maps:
     s4 = sheet_records(sheet, maps, maptype)
     base = s0.unionByName(s1.select(*TRS_COLUMNS)).unionByName(s4)
     # The three feeds are read three times by the parser (eligible maps, section
-    # matches, the final union): write them once to the shared checkpoint folder.
-    ensure_checkpoint_dir(base.sparkSession)
-    base = base.checkpoint(eager=True)
+    # matches, the final union): write them once to the shared folder.
+    base = staged(base, "trs_feeds")
     s3 = P.parsed_records(maps.select("id", "description").filter(F.col("description").isNotNull()), base)
     return base.unionByName(s3.select(*TRS_COLUMNS))
 
 
+def rollup_top(trs: DataFrame, sources: list[int], n: int) -> DataFrame:
+    """O2 as a ranking: per township and range the ``n`` first maps of the
+    rollup.  Rows beyond rank n leave each task before the exchange, so a hot
+    township costs n rows a task."""
+    w = Window.partitionBy("_t", "_r").orderBy("map_id")
+    r = rollup_sections(trs, sources).withColumn("rank", F.row_number().over(w))
+    return r.filter(F.col("rank") <= n)
+
+
 def cells_by_source(trs: DataFrame, source: DataFrame) -> DataFrame:
     """Q3: records and set qq cells per source (NULL bitmaps excluded)."""
     g = trs.filter(F.col("subsec").isNotNull()).groupBy("source_id").agg(

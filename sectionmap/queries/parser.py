@@ -62,13 +62,16 @@ def parsed_text(spark, sf_dir):
 
 @query
 def parsed_parts(spark, sf_dir):
-    """Q5: every part found in a description, with the map's trs list (its
-    distinct 'S6 1N 2E' entries in order -- bounded by the grid -- and the
-    number of records)."""
+    """Q5: every part found in a description, with the description and the
+    map's trs list: its 'S6 1N 2E' entries in order, each with the number of
+    records that carry it, so repeats stay visible and the list is bounded by
+    the grid."""
     maps, trs = _inputs(spark, sf_dir)
     entry = F.concat_ws(" ", F.concat(F.lit("S"), F.col("sec").cast("string")), township_str("tshp"), range_str("rng"))
-    lists = trs.select("map_id", entry.alias("e")).groupBy("map_id").agg(
-        F.count(F.lit(1)).alias("n_trs"),
-        F.array_join(F.array_sort(F.collect_set("e")), " | ").alias("trs_list"))
-    return P.tokenize(maps, trs).join(lists, "map_id").select(
-        "map_id", "pos", F.col("token").alias("part"), "n_trs", "trs_list")
+    entries = trs.select("map_id", entry.alias("e")).groupBy("map_id", "e").agg(F.count(F.lit(1)).alias("n"))
+    counted = F.concat("e", F.lit(" x"), F.col("n").cast("string"))
+    lists = entries.groupBy("map_id").agg(F.sum("n").alias("n_trs"),
+                                          F.array_join(F.array_sort(F.collect_list(counted)), " | ").alias("trs_list"))
+    descriptions = maps.select(F.col("id").alias("map_id"), "description")
+    return P.tokenize(maps, trs).select("map_id", "pos", F.col("token").alias("part")).join(lists, "map_id").join(
+        descriptions, "map_id").select("map_id", "description", "pos", "part", "n_trs", "trs_list")

@@ -13,8 +13,8 @@ from sectionmap.session import scratch_dir
 
 
 def legacy_trs(st: Staging):
-    """Legacy TRS extract: the section source rolled up to ',1,2,3,' rows."""
-    r = TR.rollup_sections(st.inp.f_trs, [0])
+    """Legacy TRS extract: the sections of all sources rolled up to ',1,2,3,' rows."""
+    r = TR.rollup_sections(st.inp.f_trs, list(range(5)))
     return r.select("map_id", F.col("tshp").alias("township"), F.col("rng").alias("range"), F.col("sec").alias("section"))
 
 
@@ -61,9 +61,8 @@ def trs_rollup(spark, sf_dir):
 
 @query
 def trs_rollup_head(spark, sf_dir):
-    """O2: the first 100 rollup rows in (map, township, range) order."""
-    r = TR.rollup_sections(Staging(spark, sf_dir).inp.f_trs, [0, 1])
-    return r.orderBy("map_id", "_t", "_r").limit(100).drop("_t", "_r")
+    """O2: the first 100 maps of every township and range in the rollup."""
+    return TR.rollup_top(Staging(spark, sf_dir).inp.f_trs, [0, 1], n=100).drop("_t", "_r")
 
 
 @query

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -61,8 +61,12 @@ def scratch_dir(spark: SparkSession, name: str = "work") -> str:
     return os.path.join(checkpoint_base(spark), f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint()`` usable (the SparkContext picks up
-    ``spark.checkpoint.dir`` itself; otherwise see ``checkpoint_base``)."""
-    if not spark.sparkContext.getCheckpointDir():
-        checkpoint_base(spark)
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the shared folder and read it back.
+
+    Lineage ends at the table, and unlike a checkpoint of whole rows the later
+    readers scan only the columns they use, with filters pushed down and sizes
+    known to the optimizer."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -122,42 +122,41 @@ WHERE m.id % 10 = 9
     # Parcel-number workbook (some maps carry two numbers; seq is sheet order).
     "f_pm": """
 SELECT 'Parcel Map' AS maptype, book, page, CAST(id % 500 + 1 AS STRING) || CASE WHEN id % 4 = 0 THEN ' AMENDED' ELSE '' END AS pm,
-  CAST(NULL AS STRING) AS note, 1 AS seq FROM {f_map} WHERE abbrev = 'PM' AND id % 3 = 0
+  CAST(NULL AS STRING) AS note, 1 AS seq FROM {f_map} WHERE abbrev = 'PM'
 UNION ALL
-SELECT 'Parcel Map', book, page, 'UNIT ' || CAST(id % 7 + 1 AS STRING), CAST(NULL AS STRING), 2 FROM {f_map} WHERE abbrev = 'PM' AND id % 9 = 0
+SELECT 'Parcel Map', book, page + CASE WHEN id % 3 = 0 THEN 0 ELSE 500 END, 'UNIT ' || CAST(id % 7 + 1 AS STRING), CAST(NULL AS STRING), 2 FROM {f_map} WHERE abbrev = 'PM'
 """,
     # Tract-number workbook.
     "f_tract": """
-SELECT 'Record Map' AS maptype, book, page, CAST(id % 800 + 1 AS STRING) || CASE WHEN id % 8 = 0 THEN ' UNIT 1' ELSE '' END AS pm,
-  CAST(NULL AS STRING) AS note, 1 AS seq FROM {f_map} WHERE abbrev = 'RM' AND id % 4 = 0
+SELECT 'Record Map' AS maptype, book, page + CASE WHEN id % 4 = 0 THEN 0 ELSE 500 END AS page, CAST(id % 800 + 1 AS STRING) || CASE WHEN id % 8 = 0 THEN ' UNIT 1' ELSE '' END AS pm,
+  CAST(NULL AS STRING) AS note, 1 AS seq FROM {f_map} WHERE abbrev = 'RM'
 """,
-    # PDF listing: one file per map for two thirds of the maps.
+    # PDF listing: one file per order; a third carry a page that no map has.
     "f_pdf": f"""
-SELECT '/pdf/' || lower(abbrev) || '/' || lpad(CAST(book AS STRING), 3, '0') || '/' || {_MAPNAME.format(a='abbrev', b='book', p='page')} || '.pdf' AS path
-FROM {{f_map}} WHERE id % 3 <> 0
+SELECT '/pdf/' || lower(abbrev) || '/' || lpad(CAST(book AS STRING), 3, '0') || '/' || {_MAPNAME.format(a='abbrev', b='book', p='page + CASE WHEN id % 3 = 0 THEN 500 ELSE 0 END')} || '.pdf' AS path
+FROM {{f_map}}
 """,
-    # Scan listing: page scans of every fifth map.
+    # Scan listing: page scans of every order; four fifths carry a page that no map has.
     "f_scan": f"""
-SELECT '/scan/' || lower(abbrev) || '/' || lpad(CAST(book AS STRING), 3, '0') || '/' || {_MAPNAME.format(a='abbrev', b='book', p='page')} || '-' || lpad(CAST(p AS STRING), 3, '0') || '.tif' AS path
-FROM (SELECT *, explode(sequence(1, npages)) AS p FROM {{f_map}}) x WHERE id % 5 = 0
+SELECT '/scan/' || lower(abbrev) || '/' || lpad(CAST(book AS STRING), 3, '0') || '/' || {_MAPNAME.format(a='abbrev', b='book', p='page + CASE WHEN id % 5 = 0 THEN 0 ELSE 500 END')} || '-' || lpad(CAST(p AS STRING), 3, '0') || '.tif' AS path
+FROM (SELECT *, explode(sequence(1, npages)) AS p FROM {{f_map}}) x
 """,
-    # Certificate-of-correction workbook: one cc for a sixth of the recorded
-    # maps; old (yyyy OR n) and new (yyyy-n-pages) numbers; some record dates off by a day.
+    # Certificate-of-correction workbook: one cc for each of the
+    # recorded maps; old (yyyy OR n) and new (yyyy-n-pages) numbers; some record dates off by a day.
     "f_cc": f"""
 SELECT {_TYPENAME.format(a='abbrev')} AS maptype, book, page,
   CASE WHEN id % 15 = 0 THEN recdate + 1 ELSE recdate END AS recdate, CAST(NULL AS STRING) AS surveyor,
   CASE WHEN id % 4 = 0 THEN CAST(year(recdate) AS STRING) || ' OR ' || CAST(id AS STRING)
        ELSE CAST(year(recdate) AS STRING) || '-' || CAST(id AS STRING) || '-' || CAST(id % 3 + 1 AS STRING) END AS doc_number,
   CAST(id % 3 + 1 AS INT) AS npages, id AS src_id
-FROM {{f_map}} WHERE abbrev IN ('PM', 'RM', 'RS') AND id % 2 = 0
+FROM {{f_map}} WHERE abbrev IN ('PM', 'RM', 'RS')
 """,
-    # cc image listing (object keys without the leading '/'): none for some
-    # documents, one page too many for others.
+    # cc image listing (object keys without the leading '/'): a year that no
+    # document has for some, one page too many for others.
     "f_cc_file": """
-SELECT 'map/cc/' || CAST(year(recdate) AS STRING) || CASE WHEN src_id % 4 = 0 THEN '-or-' ELSE '-doc-' END
+SELECT 'map/cc/' || CAST(year(recdate) + CASE WHEN src_id % 9 = 0 THEN 100 ELSE 0 END AS STRING) || CASE WHEN src_id % 4 = 0 THEN '-or-' ELSE '-doc-' END
   || lpad(CAST(src_id AS STRING), 6, '0') || '-' || lpad(CAST(p AS STRING), 3, '0') || '.jpg' AS path
 FROM (SELECT *, explode(sequence(1, npages + CASE WHEN src_id % 5 = 0 THEN 1 ELSE 0 END)) AS p FROM {f_cc}) x
-WHERE src_id % 9 <> 0
 """,
     # Surveyor workbook: alias (legacy name) -> surveyor; second aliases,
     # a conflicting duplicate and some full names that disagree with their parts.
