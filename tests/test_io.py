@@ -74,6 +74,11 @@ def test_publish(spark, tmp_path):
     assert report["published"]
     trs = read_published(spark, str(tmp_path / "pub"), "trs")
     assert trs.count() > 0
+    # Rows of maps that the build does not have are set aside, not published.
+    maps = read_published(spark, str(tmp_path / "pub"), "map").select(F.col("id").alias("map_id"))
+    reject = read_published(spark, str(tmp_path / "pub"), "trs_reject")
+    assert report["checks"]["trs_fk_map"] == 0 and trs.join(maps, "map_id", "left_anti").count() == 0
+    assert reject.count() > 0 and reject.join(maps, "map_id", "left_semi").count() == 0
     q = search_published_subtree(spark, str(tmp_path / "pub"), "5N.1W")
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "StringStartsWith" in plan
