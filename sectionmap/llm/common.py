@@ -48,6 +48,19 @@ def count_chars(c: Column, char_class: str) -> Column:
     return (F.length(c) - F.length(F.regexp_replace(c, char_class, ""))).cast("long")
 
 
+def join_hot(rows: DataFrame, table_: DataFrame, key: str, count: Column, how: str = "inner", share: int = 1000) -> DataFrame:
+    """``rows`` joined with ``table_`` (one row a key; ``count``: its rows in ``rows``).
+
+    Keys that hold one row in ``share`` or more are at most ``share`` keys, so
+    their rows of ``table_`` are broadcast and no task gathers such a key; the
+    other keys are joined by a shuffle."""
+    total = table_.agg(F.sum(count)).first()[0] or 0
+    is_hot = count * share >= total
+    hot = F.broadcast(table_.where(is_hot))
+    rest = rows.join(hot.select(key), key, "left_anti").join(table_.where(~is_hot), key, how)
+    return rows.join(hot, key).unionByName(rest)
+
+
 def running_total(df: DataFrame, keys: Sequence[str], spread: Column, order: Sequence[Column],
                   value: Column, out: str, buckets: int) -> DataFrame:
     """Exclusive running total of ``value`` within ``keys`` without a task per key.

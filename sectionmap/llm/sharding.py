@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sectionmap.llm.common import running_total, shuffle_width, stage
+from sectionmap.llm.common import join_hot, running_total, shuffle_width, stage
 
 OVERHEAD = 8  # bytes counted for each document besides its text
 
@@ -79,9 +79,9 @@ def shard_documents(docs: DataFrame, shards: int = 24, law: str = "rows", rounds
     else:
         quota = [load / shards] * shards
     half = max(1.0, load / shards / 2)
-    groups = (base.where(F.col("link").isNotNull()).groupBy("link").agg(F.count("*").alias("_n"), F.sum(weight).alias("_load"))
-              .where(F.col("_n") > 1).select("link", F.ceil(F.col("_load") / half).cast("int").alias("parts")))
-    linked = stage(spark, base.join(groups, "link")
+    groups = stage(spark, base.where(F.col("link").isNotNull()).groupBy("link").agg(F.count("*").alias("_n"), F.sum(weight).alias("_load"))
+                   .where(F.col("_n") > 1).select("link", "_n", F.ceil(F.col("_load") / half).cast("int").alias("parts")), "groups")
+    linked = stage(spark, join_hot(base, groups, "link", F.col("_n"))
                    .select("row", "link", F.pmod(F.xxhash64("row"), F.col("parts")).cast("int").alias("part"),
                            F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(shards)).cast("int").alias("label"), weight.alias("load")), "linked")
     units = stage(spark, linked.groupBy("link", "part", "label").agg(F.count("*").alias("n"), F.sum("load").alias("load")), "votes")
