@@ -22,12 +22,13 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class stays: the one with the smallest id.
-    Copies that share that id are one row; a null id never is the smallest."""
+    """One document of each near-duplicate class stays: the one with the smallest
+    id (a null id is the largest; of equal ids the smallest text hash).  Rows
+    repeated with the same id and text are one row."""
     found = jaccard_join.near_duplicates(docs, threshold=0.8)
-    rest = found.where((F.col("n_links") > 0) & ~F.col("doc_id").eqNullSafe(F.col("class_id")))
-    gone = rest.where("doc_id is not null").select("doc_id").dropDuplicates()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns).dropDuplicates(["doc_id", "text"])
+    gone = found.where(~F.col("leads")).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).dropDuplicates()
+    same = docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__hash"))
+    return docs.join(gone, same, "left_anti").dropDuplicates(["doc_id", "text"])
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,9 +37,12 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as many times as the mix takes it (none, once or twice)."""
-    copies = mixing.mix(docs).where("copies > 0").select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("copies").alias("__copies"))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source"))
+    """Every document as many times as the mix takes it (none, once or twice);
+    rows that share an id are told apart by their texts."""
+    by_text = docs.select(F.struct("doc_id", F.xxhash64("text").alias("hash")).alias("doc_id"), "source", "text")
+    copies = mixing.mix(by_text).where("copies > 0").select(
+        F.col("doc_id.doc_id").alias("__id"), F.col("doc_id.hash").alias("__hash"), F.col("source").alias("__source"), F.col("copies").alias("__copies"))
+    same = (F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash")) & F.col("source").eqNullSafe(F.col("__source")))
     return docs.join(copies, same).withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).select(*docs.columns)
 
 

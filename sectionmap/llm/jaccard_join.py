@@ -17,7 +17,8 @@ an unbounded group.
 
 Defined results: a null or blank text has no shingles, no links and a class of
 its own; a text of one to four words is one shingle; a null id sorts after all
-others; repeated rows are linked like copies; an empty table gives an empty
+others, as the largest id; repeated rows are linked like copies, and rows that
+share an id but not the text are told apart by the text; an empty table gives an empty
 result; other columns are ignored.
 """
 
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sectionmap.llm.bytes import LOWER, NONBLANK, mix64, slices, window_hashes, word_hashes
-from sectionmap.llm.common import shuffle_width, stage
+from sectionmap.llm.common import join_hot, shuffle_width, stage
 from sectionmap.llm.components import components
 
 WIDTH = 5
@@ -44,7 +45,7 @@ PIVOTS = 8
 SIMILAR, CLOSE, SIMILAR_PIVOTS = 0.45, 0.75, 0.25  # shares of equal minhashes; 64 of them err by 0.06
 _rng = np.random.default_rng(77)
 ODD = _rng.integers(1, 2**63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-SIGNATURE = [("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.binary()), ("tokens", pa.list_(pa.int64())), ("sketch", pa.binary())]
+SIGNATURE = [("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n", pa.int64()), ("node", pa.binary()), ("tokens", pa.list_(pa.int64())), ("sketch", pa.binary())]
 
 
 def runs_for(recall: float, threshold: float) -> int:
@@ -86,7 +87,8 @@ def _signatures(runs: int):
                 both = both[:, np.argsort(both[0], kind="stable")]
                 ends = np.append(0, np.cumsum(np.bincount(both[0], minlength=hi - lo))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column("doc_id").slice(lo, hi - lo).cast(pa.int64()), pa.array(n.astype(np.int64)),
+                    batch.column("doc_id").slice(lo, hi - lo).cast(pa.int64()), batch.column("text_hash").slice(lo, hi - lo),
+                    pa.array(n.astype(np.int64)),
                     pa.array([x.tobytes() for x in node], pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(both[1])),
                     pa.array([s.tobytes() for s in sketch], pa.binary())], [c for c, _ in SIGNATURE])
     return sign
@@ -236,6 +238,9 @@ def _exact(threshold: float):
     (node, root, links): star links and each node's linked documents."""
     def verify(batches):
         for t in _groups(batches, ["label", "i", "j"]):
+            rows = list(zip(*(t.column(c).to_pylist() for c in ("label", "i", "j", "node"))))
+            # Repeated rows of a node's text: one of them is enough.
+            t = t.take([k for k in range(len(rows)) if not k or rows[k] != rows[k - 1]])
             labels = t.column("label").to_pylist()
             i_s, j_s, mine = (t.column(c).to_numpy() for c in ("i", "j", "block"))
             nodes, copies = t.column("node").to_pylist(), t.column("copies").to_numpy()
@@ -284,14 +289,17 @@ def _pairs(sets, nodes, copies, mine, i, j, threshold):
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, recall: float = 0.999999, small: int = 800,
                     block: int = 1536) -> DataFrame:
     """One row per document: doc_id, class_id (smallest id it is linked to,
-    directly or through others), n_links (documents at or above the threshold)."""
+    directly or through others), n_links (documents at or above the threshold),
+    text_hash and leads (true for the row of its class with the smallest id; of
+    rows with equal ids, the one with the smallest text hash)."""
     spark = docs.sparkSession
-    ddl = "doc_id bigint, n bigint, node binary, tokens array<bigint>, sketch binary"
-    signed = stage(spark, docs.select("doc_id", "text").mapInArrow(_signatures(runs_for(recall, threshold)), ddl), "signatures")
+    ddl = "doc_id bigint, text_hash bigint, n bigint, node binary, tokens array<bigint>, sketch binary"
+    signed = stage(spark, docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+                   .mapInArrow(_signatures(runs_for(recall, threshold)), ddl), "signatures")
     last = (1 << 63) - 1
-    signed_id = F.coalesce("doc_id", F.lit(last))
+    place = F.struct(F.coalesce("doc_id", F.lit(last)).alias("id"), "text_hash")
     nodes = stage(spark, signed.where("n > 0").groupBy("node").agg(
-        F.min(signed_id).alias("first"), F.count("*").alias("copies"), F.first("n").alias("n"),
+        F.min(place).alias("first"), F.count("*").alias("copies"), F.first("n").alias("n"),
         F.first("tokens").alias("tokens"), F.first("sketch").alias("sketch")), "nodes")
     candidates = candidate_links(nodes, small)
     groups = stage(spark, components(candidates), "groups")
@@ -300,8 +308,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, recall: float = 0.9
     blocks = F.ceil(F.col("members") / block).cast("int")
     placed = (groups.join(sizes, "label").join(nodes.select("node", "first", "copies"), "node")
               .withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))
-    text = docs.select(F.coalesce("doc_id", F.lit(last)).alias("first"), "text")
-    with_text = text.join(placed.select("label", "node", "first", "copies", "blocks", "block"), "first")
+    text = docs.select(F.coalesce("doc_id", F.lit(last)).alias("id"), F.xxhash64("text").alias("text_hash"), "text")
+    with_text = text.join(placed.select("label", "node", "first.*", "copies", "blocks", "block"), ["id", "text_hash"])
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     paired = (with_text.select("*", other).withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
               .repartition(2 * shuffle_width(spark), "label", "i", "j").sortWithinPartitions("label", "i", "j", "node"))
@@ -312,9 +320,11 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, recall: float = 0.9
     classes = components(found.where("node != root"), "node", "root")
     named = (nodes.select("node", "first", "copies").join(classes, "node", "left")
              .withColumn("label", F.coalesce("label", "node")))
-    lowest = named.groupBy("label").agg(F.min("first").alias("class_id"))
-    node_class = (named.join(lowest, "label").join(links, "node", "left")
-                  .select("node", "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
-    return (signed.select("doc_id", "n", "node").join(node_class, "node", "left")
-            .select("doc_id", F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
-                    F.when(F.col("n") > 0, F.col("n_links")).otherwise(0).cast("long").alias("n_links")))
+    lowest = named.groupBy("label").agg(F.min("first").alias("lead"))
+    node_class = stage(spark, named.join(lowest, "label").join(links, "node", "left")
+                       .select("node", "lead", "copies", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "classes")
+    some = F.col("n") > 0
+    return join_hot(signed.select("doc_id", "text_hash", "n", "node"), node_class, "node", F.col("copies"), "left").select(
+        "doc_id", F.when(some, F.col("lead.id")).otherwise(F.col("doc_id")).alias("class_id"),
+        F.when(some, F.col("n_links")).otherwise(0).cast("long").alias("n_links"), "text_hash",
+        F.when(some, place == F.col("lead")).otherwise(True).alias("leads"))

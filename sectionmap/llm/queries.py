@@ -59,7 +59,7 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"), threshold=0.8)
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"), threshold=0.8).select("doc_id", "class_id", "n_links")
 
 
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ import zlib
 
 import pytest
 
-from sectionmap.llm import (chat, decontaminate, jaccard_join, language, line_dedup, mixing, quality_classifier, quality_rules,
+from sectionmap.llm import (chat, common, decontaminate, jaccard_join, language, line_dedup, mixing, quality_classifier, quality_rules,
                             sharding, suffix_dedup)
 from pyspark.sql import functions as F
 
@@ -198,6 +198,31 @@ def test_near_duplicates(spark, edge_docs):
         assert got == want
 
 
+def test_near_duplicates_repeated_rows(spark):
+    base = [f"w{i}" for i in range(60)]
+    a, b, c = " ".join(base), " ".join(base[1:]), "something else with several words in it"
+    rows = [(5, a, "x"), (5, a, "x"), (5, c, "x"), (7, b, "x"), (None, b, "y"), (None, "only here and nowhere else at all", "y"), (None, a, None), (9, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = sorted((str(r["doc_id"]), r["n_links"], r["leads"]) for r in jaccard_join.near_duplicates(docs).collect())
+    assert got == sorted([("5", 4, True), ("5", 4, True), ("5", 0, True), ("7", 4, False), ("None", 4, False), ("None", 0, True),
+                          ("None", 4, False), ("9", 0, True)])
+    import corpus_pipeline as p
+    kept = p.drop_near_duplicates(spark, docs, "")
+    assert sorted((r["doc_id"] or -1, r["text"] or "") for r in kept.collect()) == sorted(
+        [(5, a), (5, c), (-1, "only here and nowhere else at all"), (9, "")])
+    mixed = collections.Counter((r["doc_id"], r["text"]) for r in p.mix_sources(spark, kept, "").collect())
+    assert mixed and max(mixed.values()) <= 2
+
+
+def test_join_hot_equals_a_join(spark):
+    rows = spark.createDataFrame([(k, i) for k, n in (("a", 50), ("b", 3), (None, 2), ("c", 1)) for i in range(n)], "k string, i int")
+    sizes = spark.createDataFrame([("a", 50), ("b", 3), ("d", 1)], "k string, n int")
+    for how in ("inner", "left"):
+        for share in (1, 10, 1000):
+            got = common.join_hot(rows, sizes, "k", F.col("n"), how, share).collect()
+            assert sorted(map(str, got)) == sorted(map(str, rows.join(sizes, "k", how).collect()))
+
+
 def test_language_and_quality_held_out(spark):
     d = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
