@@ -61,7 +61,7 @@ run AS (
   SELECT a.map_id, CAST(CASE WHEN bool_or(a.page = 1) THEN min(CASE WHEN b.map_id IS NULL THEN a.page END) ELSE 0 END AS INTEGER) AS contiguous
   FROM rd a LEFT JOIN rd b ON b.map_id = a.map_id AND b.page = a.page + 1 GROUP BY a.map_id)"""
 
-WITH_FILES = duckdb_with("f_legacy_map", "f_sheet", "f_pm", "f_tract", "f_file", "f_scan", "f_pdf", "f_batch") + \
+WITH_FILES = duckdb_with("f_legacy_map", "f_sheet", "f_pm", "f_tract", "f_file", "f_scan", "f_pdf") + \
     ",\n" + maptype_values() + ",\n" + MAPS + ",\n" + FILES
 
 CC = r"""cc AS (
@@ -115,6 +115,28 @@ disp AS (
 WITH_SURV = duckdb_with("f_legacy_map", "f_sheet", "f_pm", "f_tract", "f_alias", "f_batch") + \
     ",\n" + maptype_values() + ",\n" + MAPS + ",\n" + SURV
 
+# Q19 in SQL: page p of a map counts if the names of pages 1..p are all in the store.
+COVER = duckdb_with("f_legacy_map", "f_sheet", "f_pm", "f_tract", "f_file", "f_scan", "f_pdf", "f_batch", "f_object", "f_alias") + \
+    ",\n" + maptype_values() + ",\n" + MAPS + ",\n" + FILES + r""",
+nm AS (SELECT map_id, printf('%s/%03d/%03d%s%03d', lower(abbrev), book, book, lower(abbrev), page) AS name FROM mk),
+own AS (SELECT nm.map_id, CAST(left(right(f_object.path, 7), 3) AS INTEGER) AS page, f_object.path FROM f_object
+        JOIN nm ON f_object.path LIKE '%.jpg' AND '/map/' || nm.name = left(f_object.path, length(f_object.path) - 8)),
+ranked AS (SELECT map_id, page, row_number() OVER (PARTITION BY map_id ORDER BY page) AS rn
+           FROM (SELECT DISTINCT map_id, page FROM own WHERE page > 0)),
+run AS (SELECT map_id, count(*) AS contiguous FROM ranked WHERE page = rn GROUP BY map_id),
+pdf_now AS (SELECT DISTINCT nm.map_id, path AS pdffile FROM f_object JOIN nm ON path = '/pdf/' || nm.name || '.pdf'),
+ni AS (SELECT map_id, count(DISTINCT path) AS n FROM images WHERE map_id IS NOT NULL GROUP BY map_id),
+np AS (SELECT map_id, count(DISTINCT path) AS n FROM pdfs WHERE map_id IS NOT NULL GROUP BY map_id),
+cover AS (
+  SELECT b.maptype, b.book, b.page, mk.map_id, coalesce(ni.n, 0) AS map_images, coalesce(np.n, 0) AS pdfs,
+    CAST(coalesce(run.contiguous, 0) AS INTEGER) AS contiguous, pdf_now.pdffile IS NOT NULL AS pdf_found,
+    CASE WHEN ni.n <> coalesce(run.contiguous, 0) THEN 'warning' WHEN ni.n IS NULL AND run.contiguous > 0 THEN 'missing_rows' ELSE 'ok' END AS status,
+    CASE WHEN ni.n IS NULL OR ni.n = coalesce(run.contiguous, 0) THEN CAST(coalesce(run.contiguous, 0) AS INTEGER) END AS sheet_images,
+    CASE WHEN pdf_now.pdffile IS NOT NULL THEN 1 END AS sheet_pdfs, pdf_now.pdffile
+  FROM f_batch b JOIN mk ON mk.maptype_name = b.maptype AND mk.book = b.book AND mk.page = b.page
+  LEFT JOIN ni USING (map_id) LEFT JOIN np USING (map_id) LEFT JOIN run USING (map_id) LEFT JOIN pdf_now USING (map_id))"""
+DISP = "\n" + SURV
+
 SQL = {
     "map_build": BASE + "\nSELECT * FROM maps",
     "parcel_numbers": duckdb_with("f_legacy_map", "f_sheet", "f_pm") + ",\n" + maptype_values() + ",\n" + MAPS0
@@ -144,16 +166,16 @@ GROUP BY p.path""",
 SELECT DISTINCT nullif(regexp_extract(path, '/map/(..)', 1), '') AS maptype, nullif(regexp_extract(path, '.*/(.*)-', 1), '') AS map
 FROM images WHERE map_id IS NULL""",
     "contiguous_pages": WITH_FILES + ",\n" + RUN + "\nSELECT map_id, contiguous FROM run",
-    "image_coverage": WITH_FILES + ",\n" + RUN + """,
-s AS (SELECT b.maptype, b.book, b.page, mk.map_id FROM f_batch b
-      JOIN mk ON mk.maptype_name = b.maptype AND mk.book = b.book AND mk.page = b.page),
-ni AS (SELECT map_id, count(DISTINCT path) AS n FROM images WHERE map_id IS NOT NULL GROUP BY map_id),
-np AS (SELECT map_id, count(DISTINCT path) AS n FROM pdfs WHERE map_id IS NOT NULL GROUP BY map_id)
-SELECT s.maptype, s.book, s.page, s.map_id, CAST(coalesce(ni.n, 0) AS BIGINT) AS map_images,
-  CAST(coalesce(np.n, 0) AS BIGINT) AS pdfs, CAST(coalesce(run.contiguous, 0) AS INTEGER) AS contiguous,
-  CASE WHEN coalesce(ni.n, 0) > 0 AND coalesce(ni.n, 0) <> coalesce(run.contiguous, 0) THEN 'warning'
-       WHEN coalesce(ni.n, 0) = 0 AND coalesce(run.contiguous, 0) > 0 THEN 'missing_rows' ELSE 'ok' END AS status
-FROM s LEFT JOIN ni USING (map_id) LEFT JOIN np USING (map_id) LEFT JOIN run USING (map_id)""",
+    "image_coverage": COVER + "\nSELECT * EXCLUDE (pdffile) FROM cover",
+    "missing_images": COVER + """
+SELECT DISTINCT c.map_id, o.page, o.path AS imagefile FROM cover c JOIN own o ON o.map_id = c.map_id
+WHERE c.map_images = 0 AND o.page <= c.contiguous AND o.page > 0""",
+    "missing_pdfs": COVER + "\nSELECT DISTINCT map_id, pdffile FROM cover WHERE pdf_found AND pdfs = 0",
+    "sheet_write_back": COVER + "," + DISP + r""",
+n1 AS (SELECT n1, max(n2) AS new_value FROM disp GROUP BY n1)
+SELECT b.maptype, b.book, b.page, coalesce(n1.new_value, b.surveyors) AS surveyors, c.map_id, c.sheet_images, c.sheet_pdfs
+FROM f_batch b LEFT JOIN n1 ON n1.n1 = regexp_replace(b.surveyors, '\s+\(.*', '')
+LEFT JOIN cover c ON c.maptype = b.maptype AND c.book = b.book AND c.page = b.page""",
     "cc_load": WITH_CC + "\nSELECT cc_id, map_id, doc_number, npages, doc_base FROM cc",
     "cc_images": WITH_CC + "\nSELECT cc_id, page, imagefile FROM cc_image",
     "cc_npages_mismatch": WITH_CC + """,

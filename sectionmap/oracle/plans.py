@@ -87,7 +87,7 @@ SELECT page_key, pos, CASE WHEN ok THEN nullif(regexp_extract(heading, '{HEADING
   CASE WHEN ok THEN 'ok' ELSE 'bad_heading' END AS status
 FROM b3"""
 
-FRAMES = duckdb_with("f_images") + f""",
+FRAMES = duckdb_with("f_images", "f_cc_scan") + f""",
 fr AS (SELECT src_file, frame, width_px, height_px, mode, regexp_extract(src_file, '^(\\d+)(\\D+)', 1) AS book,
          regexp_extract(src_file, '^(\\d+)(\\D+)', 2) AS maptype,
          CASE WHEN dpi = 96 THEN {K.DEFAULT_SCAN_DPI} ELSE dpi END AS scan_dpi FROM f_images),
@@ -145,14 +145,16 @@ SELECT src_file, frame, scan_dpi, CAST((width_px * 100) // scan_dpi AS BIGINT) A
   is_cc, CASE WHEN is_cc THEN 'cc' ELSE maptype || '/' || book END AS dest_dir, dest_file,
   CASE WHEN mode = 'P' THEN 'RGB' ELSE mode END AS mode,
   regexp_replace(src_file, '^.*(\\d{3})(\\D{2})(\\d{3}).*$', '\\2\\1\\3') AS sort_key FROM fp""",
-    "resize_plan": FRAMES + f"""
+    "resize_plan": FRAMES + f""",
+al AS (SELECT dest_file, is_cc, scan_dpi, width_px, height_px, mode, maptype, book FROM fp
+  UNION ALL SELECT lower(src_file), true, dpi, width_px, height_px, mode, NULL, NULL FROM f_cc_scan)
 SELECT dest_file, least({K.MAP_DPI}, scan_dpi) AS map_dpi,
   CAST(round_even(width_px * least({K.MAP_DPI}, scan_dpi) / scan_dpi, 0) AS INTEGER) AS width_out,
   CAST(round_even(height_px * least({K.MAP_DPI}, scan_dpi) / scan_dpi, 0) AS INTEGER) AS height_out,
   CASE WHEN mode = 'P' THEN 'RGB' WHEN mode = '1' THEN 'L' ELSE mode END AS mode,
   CASE WHEN is_cc THEN 'map/cc' ELSE 'map/' || maptype || '/' || book END || '/' || regexp_replace(dest_file, '\\.tif\\z', '.jpg') AS target,
   CASE WHEN is_cc AND NOT regexp_matches(dest_file, '^\\d{{4}}-(or|doc)-\\d{{6}}-\\d{{3}}\\.tif\\z') THEN 'bad_cc_name' ELSE 'convert' END AS status
-FROM fp""",
+FROM al""",
     "pdf_manifest": MANIFEST + "\nSELECT map, CAST(row_number() OVER (PARTITION BY map ORDER BY part, doc DESC, file) AS INTEGER) AS seq, file FROM pg",
     "pdf_manifest_issues": MANIFEST + "\nSELECT map, doc, issue FROM d WHERE issue IS NOT NULL",
     "constraint_checks": CHECKS,

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from sectionmap.functions import map_name
 from sectionmap.functions._util import group
 
 # Name parts, read as the legacy loader reads them (greedy '.*/' = last folder).
@@ -64,13 +65,29 @@ def contiguous_pages(pages: DataFrame) -> DataFrame:
         .select("map_id", F.when(F.col("_has1"), F.col("_end")).otherwise(F.lit(0)).cast("int").alias("contiguous")))
 
 
-def coverage(sheet: DataFrame, maps: DataFrame, maptype: DataFrame, images: DataFrame,
-             pdfs: DataFrame, listing_pages: DataFrame) -> DataFrame:
-    """Q19: per workbook row, the map's id, its image and PDF counts in the
-    tables and the contiguous run of images present in the listing.
-
+def probe_objects(mk: DataFrame, objects: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The store's keys that carry the names built from the maps ``mk``:
+    (map_id, page, imagefile) of page images and (map_id, pdffile) of PDFs."""
+    name = F.concat(F.lower("abbrev"), F.lit("/"), F.lpad(F.col("book").cast("string"), 3, "0"), F.lit("/"), map_name("book", "abbrev", "page"))
+    names = mk.select("map_id", F.concat(F.lit("/map/"), name).alias("_base"), F.concat(F.lit("/pdf/"), name, F.lit(".pdf")).alias("pdffile"))
+    keys = objects.select("path", group("path", r"^(.*)-\d{3}\.jpg\z", 1).alias("_base"),
+                          group("path", r"-(\d{3})\.jpg\z", 1).try_cast("int").alias("page"))
+    pages = names.join(keys, "_base").select("map_id", "page", F.col("path").alias("imagefile"))
+    pdfs = names.join(objects.select(F.col("path").alias("pdffile")), "pdffile").select("map_id", "pdffile").distinct()
+    return pages, pdfs
+
+
+def coverage(sheet: DataFrame, maps: DataFrame, maptype: DataFrame, images: DataFrame, pdfs: DataFrame,
+             objects: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Q19: (coverage, missing_images, missing_pdfs) of the workbook's maps.
+
+    coverage: the map's id, its image and PDF counts in the tables, the run of
+    page images 1, 2, ... found in the store under the map's own name, whether
+    its PDF is there, and a status: 'warning' (the table has another count),
+    'missing_rows' (no table rows, but images in the store) or 'ok'.
+    ``sheet_images`` and ``sheet_pdfs`` are what the workbook gets (K8); NULL
+    leaves the cell as it is.  The missing rows are those to add to the tables.
     Each side is aggregated to one row per map before joining (no fan-out).
-    ``listing_pages``(map_id, page) are the files found for the map's own name.
     """
     mk = map_keys(maps, maptype)
     s = sheet.join(mk, (sheet["maptype"] == mk["maptype_name"]) & (sheet["book"] == mk["book"])
@@ -78,12 +95,20 @@ def coverage(sheet: DataFrame, maps: DataFrame, maptype: DataFrame, images: Data
     n_img = images.filter(F.col("map_id").isNotNull()).groupBy("map_id").agg(
         F.count_distinct("path").alias("map_images"))
     n_pdf = pdfs.filter(F.col("map_id").isNotNull()).groupBy("map_id").agg(F.count_distinct("path").alias("pdfs"))
-    run = contiguous_pages(listing_pages)
-    out = s.join(n_img, "map_id", "left").join(n_pdf, "map_id", "left").join(run, "map_id", "left")
+    found_pages, found_pdfs = probe_objects(mk, objects)
+    run = contiguous_pages(found_pages.select("map_id", "page"))
+    out = (s.join(n_img, "map_id", "left").join(n_pdf, "map_id", "left").join(run, "map_id", "left")
+           .join(found_pdfs, "map_id", "left"))
     img = F.coalesce(F.col("map_images"), F.lit(0))
+    n_pdfs = F.coalesce(F.col("pdfs"), F.lit(0))
     cont = F.coalesce(F.col("contiguous"), F.lit(0))
-    status = (F.when((img > 0) & (img != cont), "warning")
-              .when((img == 0) & (cont > 0), "missing_rows").otherwise("ok"))
-    return out.select("maptype", "book", "page", "map_id", img.cast("bigint").alias("map_images"),
-                      F.coalesce(F.col("pdfs"), F.lit(0)).cast("bigint").alias("pdfs"),
-                      cont.alias("contiguous"), status.alias("status"))
+    warning = (img > 0) & (img != cont)
+    status = F.when(warning, "warning").when((img == 0) & (cont > 0), "missing_rows").otherwise("ok")
+    cover = out.select("maptype", "book", "page", "map_id", img.cast("bigint").alias("map_images"), n_pdfs.cast("bigint").alias("pdfs"),
+                       cont.alias("contiguous"), F.col("pdffile").isNotNull().alias("pdf_found"), status.alias("status"),
+                       F.when(~warning, cont).alias("sheet_images"), F.when(F.col("pdffile").isNotNull(), 1).alias("sheet_pdfs"))
+    absent = cover.filter("status = 'missing_rows'").select(F.col("map_id").alias("_map"), "contiguous")
+    missing_images = (found_pages.join(absent, (found_pages["map_id"] == absent["_map"]) & F.col("page").between(1, F.col("contiguous")))
+                      .select("map_id", "page", "imagefile").distinct())
+    missing_pdfs = out.filter(F.col("pdffile").isNotNull() & (n_pdfs == 0)).select("map_id", "pdffile").distinct()
+    return cover, missing_images, missing_pdfs

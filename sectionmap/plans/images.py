@@ -38,6 +38,12 @@ def frame_plan(frames: DataFrame) -> DataFrame:
         "width_px", "height_px")
 
 
+def cc_scans(scans: DataFrame) -> DataFrame:
+    """Scanned certificate pages as plan rows: kept under their own (lower case) names."""
+    return scans.select(F.lower("src_file").alias("dest_file"), F.lit(True).alias("is_cc"), F.lit("cc").alias("dest_dir"),
+                        F.col("dpi").alias("scan_dpi"), "width_px", "height_px", "mode")
+
+
 def resize_plan(plan: DataFrame) -> DataFrame:
     """Map images are written at min(160, scan dpi) with sizes rounded half
     to even; 8-bit palette -> RGB, 1-bit -> grey.  Certificates are converted

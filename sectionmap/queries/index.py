@@ -15,6 +15,8 @@ from sectionmap.plans import maps as MP
 from sectionmap.plans import surveyors as SV
 from sectionmap.plans.staging import Staging
 from sectionmap.queries import query
+from sectionmap.session import scratch_dir
+from sectionmap.sources import io as IO
 
 
 def _labelled(rows: list[tuple[str, DataFrame]], label: str, value: str) -> DataFrame:
@@ -122,9 +124,33 @@ def contiguous_pages(spark, sf_dir):
 
 @query
 def image_coverage(spark, sf_dir):
+    return _coverage(Staging(spark, sf_dir))[0]
+
+
+def _coverage(st):
+    return FL.coverage(st.inp.f_batch, st.maps, st.maptype, st.images, st.pdfs, st.inp.f_object)
+
+
+@query
+def missing_images(spark, sf_dir):
+    return _coverage(Staging(spark, sf_dir))[1]
+
+
+@query
+def missing_pdfs(spark, sf_dir):
+    return _coverage(Staging(spark, sf_dir))[2]
+
+
+@query
+def sheet_write_back(spark, sf_dir):
+    """K8: cleaned surveyor, map id, image and PDF counts written into the
+    workbook sheet, which is then read back (S3)."""
     st = Staging(spark, sf_dir)
-    linked = st.images.filter(F.col("map_id").isNotNull()).select("map_id", "page")
-    return FL.coverage(st.inp.f_batch, st.maps, st.maptype, st.images, st.pdfs, linked)
+    sheet = SV.name_cleanup(st.inp.f_batch, st.surveyors).select("maptype", "book", "page", F.col("new_value").alias("surveyors"))
+    found = _coverage(st)[0].select("maptype", "book", "page", "map_id", "sheet_images", "sheet_pdfs")
+    path = scratch_dir(spark, "sheet")
+    out = IO.write_back(sheet, found, ["maptype", "book", "page"], path)
+    return IO.read_sheet(spark, path, out.schema)
 
 
 # ---- certificates of correction ----------------------------------------------

@@ -31,7 +31,9 @@ def frame_plan(spark, sf_dir):
 
 @query
 def resize_plan(spark, sf_dir):
-    return IM.resize_plan(IM.frame_plan(Staging(spark, sf_dir).inp.f_images))
+    inp = Staging(spark, sf_dir).inp
+    certificates = IM.cc_scans(inp.f_cc_scan)
+    return IM.resize_plan(IM.frame_plan(inp.f_images).select(*certificates.columns).unionByName(certificates))
 
 
 @query

@@ -157,6 +157,25 @@ FROM {{f_map}} WHERE abbrev IN ('PM', 'RM', 'RS')
 SELECT 'map/cc/' || CAST(year(recdate) + CASE WHEN src_id % 9 = 0 THEN 100 ELSE 0 END AS STRING) || CASE WHEN src_id % 4 = 0 THEN '-or-' ELSE '-doc-' END
   || lpad(CAST(src_id AS STRING), 6, '0') || '-' || lpad(CAST(p AS STRING), 3, '0') || '.jpg' AS path
 FROM (SELECT *, explode(sequence(1, npages + CASE WHEN src_id % 5 = 0 THEN 1 ELSE 0 END)) AS p FROM {f_cc}) x
+""",
+    # Object store as it is now, read against the loaded tables: page images and
+    # one PDF of every map under its own name; some first pages are numbered
+    # wrongly (no run) and some PDFs carry a page that no map has.
+    "f_object": f"""
+SELECT '/map/' || lower(abbrev) || '/' || lpad(CAST(book AS STRING), 3, '0') || '/' || {_MAPNAME.format(a='abbrev', b='book', p='page')} || '-' || lpad(CAST(p + CASE WHEN id % 17 = 0 AND p = 1 THEN 900 ELSE 0 END AS STRING), 3, '0') || '.jpg' AS path
+FROM (SELECT *, explode(sequence(1, npages)) AS p FROM {{f_map}}) x
+UNION ALL
+SELECT '/pdf/' || lower(abbrev) || '/' || lpad(CAST(book AS STRING), 3, '0') || '/' || {_MAPNAME.format(a='abbrev', b='book', p='page + CASE WHEN id % 5 = 0 THEN 500 ELSE 0 END')} || '.pdf'
+FROM {{f_map}}
+""",
+    # Scanned certificate pages: named after their document, some not.
+    "f_cc_scan": """
+SELECT CASE WHEN src_id % 6 = 0 THEN 'scan ' ELSE '' END || CAST(year(recdate) AS STRING) || CASE WHEN src_id % 4 = 0 THEN '-OR-' ELSE '-doc-' END
+  || lpad(CAST(src_id AS STRING), 6, '0') || '-' || lpad(CAST(p AS STRING), 3, '0') || '.tif' AS src_file,
+  CAST(1000 + (src_id % 1000) * 31 % 900 + p * 7 AS INT) AS width_px, CAST(1500 + src_id % 1700 AS INT) AS height_px,
+  CASE CAST(src_id % 3 AS INT) WHEN 0 THEN 200 WHEN 1 THEN 150 ELSE 300 END AS dpi,
+  CASE CAST(src_id % 5 AS INT) WHEN 0 THEN '1' WHEN 1 THEN 'L' WHEN 2 THEN 'P' WHEN 3 THEN 'RGB' ELSE 'RGBA' END AS mode
+FROM (SELECT *, explode(sequence(1, npages)) AS p FROM {f_cc}) x
 """,
     # Surveyor workbook: alias (legacy name) -> surveyor; second aliases,
     # a conflicting duplicate and some full names that disagree with their parts.
