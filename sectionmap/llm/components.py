@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sectionmap.llm.common import stage
+from sectionmap.llm.common import join_hot, stage
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 40) -> DataFrame:
@@ -13,7 +13,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 4
 
     Alternating large-star and small-star steps: each joins every node's larger
     (then smaller) neighbours to its smallest one, until nothing changes; the
-    number of rounds grows with the logarithm of the component size.
+    number of rounds grows with the logarithm of the component size.  A node that
+    holds a large share of all links is joined by a broadcast of bounded size.
     """
     spark = edges.sparkSession
     links = stage(spark, edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v").dropDuplicates(), "links")
@@ -25,11 +26,12 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 4
     for _ in range(max_rounds if seen[0] else 0):
         # Large star: neighbours above a node point to the smallest of its neighbourhood.
         both = links.select("u", "v").unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).dropDuplicates()
+        low = stage(spark, both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n")), "low")
+        large = stage(spark, join_hot(both.where("v > u"), low, "u", F.col("n")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+                      .dropDuplicates(), "large")
         # Small star: a node and its smaller neighbours point to the smallest of them.
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        moved = large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        low = stage(spark, large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "low")
+        moved = join_hot(large, low, "u", F.col("n")).where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         links = stage(spark, low.select("u", F.col("m").alias("v")).unionByName(moved).dropDuplicates(), "links")
         mark = state(links)
         if mark == seen:
