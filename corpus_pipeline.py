@@ -26,9 +26,15 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     id (a null id is the largest; of equal ids the smallest text hash).  Rows
     repeated with the same id and text are one row."""
     found = jaccard_join.near_duplicates(docs, threshold=0.8)
-    gone = found.where(~F.col("leads")).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).dropDuplicates()
-    same = docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__hash"))
-    return docs.join(gone, same, "left_anti").dropDuplicates(["doc_id", "text"])
+
+    def place(df: DataFrame) -> DataFrame:
+        return df.withColumn("__id", F.coalesce("doc_id", F.lit((1 << 63) - 1)))
+
+    key = ["__id", "__hash"]
+    gone = place(found.where(~F.col("leads"))).select("__id", F.col("text_hash").alias("__hash")).dropDuplicates()
+    # One shuffle of the texts: the repeats are found in the partitions of the join.
+    rest = place(docs).withColumn("__hash", F.xxhash64("text")).join(gone, key, "left_anti")
+    return rest.dropDuplicates([*key, "text"]).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
