@@ -163,6 +163,31 @@ def test_substrings(edge_docs):
     assert got == brute_substrings(texts(edge_docs), 50)
 
 
+def test_substrings_of_a_hot_anchor_are_dealt(spark, monkeypatch):
+    """Texts that share a phrase and differ around it: right, and no bucket has most strings."""
+    import random
+    rng = random.Random(7)
+    own = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=60))
+    rows = [(i, own() + " one phrase that all of them have, of more than 50 bytes " + own()) for i in range(300)]
+    rows += [(400 + i, own()[:30] + "A PHRASE SHORTER THAN THE STRINGS" + own()[:30]) for i in range(300)]
+    rows += [(700 + i, rows[i * 11][1][5:]) for i in range(40)] + [(None, rows[3][1])]
+    staged = {}
+
+    def keep(spark, df, name, stage=suffix_dedup.stage):
+        staged[name] = stage(spark, df, name)
+        return staged[name]
+    monkeypatch.setattr(suffix_dedup, "stage", keep)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r[0]: tuple(r[1:]) for r in suffix_dedup.dedup_substrings(docs, hot=50).collect()}
+    last = suffix_dedup.LAST_ID
+    want = brute_substrings([(last if d is None else d, t) for d, t in rows], 50)
+    assert {last if d is None else d: v for d, v in got.items()} == want
+    per = collections.Counter()
+    for r in staged["minima"].select(F.explode("minima").alias("m")).select("m.*").collect():
+        per[r["bucket"]] += len(suffix_dedup._unpack(r["minima"], "int64"))
+    assert max(per.values()) < 0.2 * sum(per.values()), per
+
+
 def test_merge_sort_orders_suffixes():
     import numpy as np
     data = np.random.default_rng(1).integers(97, 99, 600).astype(np.uint8)
