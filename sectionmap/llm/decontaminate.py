@@ -7,12 +7,14 @@ the sort).  Every benchmark suffix of ``width`` words (a shorter item is one
 suffix) is found by binary search; the equal range gives all verbatim
 occurrences and their places, and overlapping occurrences merge into the longest
 matched spans.  Benchmark items are searched in blocks of bounded size, so the
-benchmark may grow: with more than one block, spans are merged per document.
+benchmark may grow: with more than one block, the rows are numbered in a written
+table, the driver reads one block at a time from another and each block's matches
+are written; spans are merged per row.  Each block reads the documents once.
 
 Defined results: a null or blank text has no words and is clean; an item without
-words matches nothing; repeated rows are separate rows with equal results (rows
-with the same id and text are one row when there are several blocks); an empty
-benchmark leaves every document clean; other columns are ignored.
+words matches nothing; repeated rows are separate rows with equal results,
+whatever the number of blocks; an empty benchmark leaves every document clean;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,10 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sectionmap.llm.bytes import ALNUM, LOWER, mix64, runs_of, slices, word_hashes
+from sectionmap.llm.common import stage
+from sectionmap.session import scratch_dir
 
 SHARD = 4 << 20
 SPAN = "array<struct<start:bigint,words:bigint>>"
-SCHEMA = f"doc_id bigint, text_hash bigint, n_words bigint, spans {SPAN}, items array<bigint>"
+FOUND = f"n_words bigint, spans {SPAN}, items array<bigint>"
 ARROW_SPAN = pa.list_(pa.struct([("start", pa.int64()), ("words", pa.int64())]))
 
 
@@ -146,13 +150,13 @@ def _matcher(tests: Tests):
                 per_span = np.append(0, np.cumsum(np.bincount(owner, minlength=len(counts)))).astype(np.int32)
                 per_item = np.append(0, np.cumsum(np.bincount(rows, minlength=len(counts)))).astype(np.int32)
                 spans = pa.StructArray.from_arrays([pa.array(begin - firsts[owner]), pa.array(stop - begin)], ["start", "words"])
+                names = [n for n in batch.schema.names if n != "text"]
                 yield pa.RecordBatch.from_arrays([
-                    batch.column("doc_id").slice(first, end - first).cast(pa.int64()),
-                    batch.column("text_hash").slice(first, end - first),
+                    *[batch.column(n).slice(first, end - first) for n in names],
                     pa.array(counts.astype(np.int64)),
                     pa.ListArray.from_arrays(pa.array(per_span), spans),
                     pa.ListArray.from_arrays(pa.array(per_item), pa.array(items)),
-                ], ["doc_id", "text_hash", "n_words", "spans", "items"])
+                ], [*names, "n_words", "spans", "items"])
     return match
 
 
@@ -174,23 +178,33 @@ def _merge_spans(spans):
 def find_matches(docs: DataFrame, benchmark: DataFrame, width: int = 10, block_bytes: int = 4 << 20) -> DataFrame:
     """One row per document: doc_id, text_hash, n_words, spans (matched words,
     merged), items (ids with a match)."""
+    spark = docs.sparkSession
     items = benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("text"))
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-size // block_bytes))
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    parts = []
-    for b in range(blocks):
-        # A block holds about block_bytes of benchmark text, whatever the benchmark's size.
-        got = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).collect()
-        parts.append(rows.mapInArrow(_matcher(Tests([r[0] for r in got], [r[1] for r in got], width)), SCHEMA))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+
+    def search(rows: DataFrame, block: DataFrame) -> DataFrame:
+        got = block.select("item_id", "text").collect()  # about block_bytes of text, whatever the benchmark's size
+        kept = ", ".join(f"{c} bigint" for c in rows.columns if c != "text")
+        return rows.mapInArrow(_matcher(Tests([r[0] for r in got], [r[1] for r in got], width)), f"{kept}, {FOUND}")
+
     if blocks == 1:
-        return parts[0]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.groupBy("doc_id", "text_hash").agg(
+        return search(rows, items)
+    dealt, matches = scratch_dir(spark, "blocks"), scratch_dir(spark, "matches")
+    (items.dropDuplicates().withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
+     .repartition("block").write.partitionBy("block").parquet(dealt))
+    dealt = spark.read.schema(items.schema.add("block", "long")).parquet(dealt)
+    # Written, so that a row has the same number whenever it is read.
+    rows = stage(spark, rows.withColumn("row", F.monotonically_increasing_id()), "rows")
+    for b in range(blocks):
+        found = search(rows, dealt.where(F.col("block") == b))
+        # Every row once, and after that only rows with a match.
+        found.where((F.size("spans") > 0) | F.lit(b == 0)).write.mode("append").parquet(matches)
+    return spark.read.schema(found.schema).parquet(matches).groupBy("row").agg(
+        F.first("doc_id").alias("doc_id"), F.first("text_hash").alias("text_hash"),
         F.max("n_words").alias("n_words"), _merge_spans(F.collect_list("spans")).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")).drop("row")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:

@@ -141,6 +141,16 @@ def test_matches(spark, edge_docs, block_bytes):
     assert kept == {d for d, v in want.items() if not v[1]}
 
 
+@pytest.mark.parametrize("block_bytes", [1 << 20, 12])
+def test_matches_keep_repeated_rows(spark, block_bytes):
+    rows = [(1, "a b c"), (1, "a b c"), (1, "x y"), (None, "a b c"), (None, "a b c"), (2, None), (2, None)]
+    bench = spark.createDataFrame([(7, "b c"), (8, "a b"), (9, "p q r"), (9, "p q r"), (10, "c")], "item_id long, text string")
+    got = decontaminate.find_matches(spark.createDataFrame(rows, "doc_id long, text string"), bench, block_bytes=block_bytes)
+    assert got.columns == ["doc_id", "text_hash", "n_words", "spans", "items"]
+    found = collections.Counter((r["doc_id"], r["n_words"], tuple(map(tuple, r["spans"])), tuple(sorted(r["items"]))) for r in got.collect())
+    assert found == {(1, 3, ((0, 3),), (7, 8, 10)): 2, (1, 2, (), ()): 1, (None, 3, ((0, 3),), (7, 8, 10)): 2, (2, 0, (), ()): 2}
+
+
 def brute_substrings(rows, w):
     first = {}
     for d, t in rows:
