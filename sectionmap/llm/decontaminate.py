@@ -13,8 +13,9 @@ are written; spans are merged per row.  Each block reads the documents once.
 
 Defined results: a null or blank text has no words and is clean; an item without
 words matches nothing; repeated rows are separate rows with equal results,
-whatever the number of blocks; an empty benchmark leaves every document clean;
-other columns are ignored.
+whatever the number of blocks; the items with a null id count as one item, null
+in the list (so in the SQL: counted, but no part of the ids' hash); an empty
+benchmark leaves every document clean; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,8 +40,11 @@ ARROW_SPAN = pa.list_(pa.struct([("start", pa.int64()), ("words", pa.int64())]))
 class Tests:
     """The benchmark's distinct suffixes, cut at ``width`` words."""
 
-    def __init__(self, item_ids: list[int], texts: list[str], width: int):
+    def __init__(self, item_ids: list[int | None], texts: list[str], width: int):
         self.width = width
+        # Owners are places in ``ids``, where a null id is the last one.
+        ids = sorted(set(item_ids), key=lambda i: (i is None, i or 0))
+        self.ids, place = pa.array(ids, pa.int64()), {i: at for at, i in enumerate(ids)}
         rows, lengths, owners = [], [], []
         for first, end, data, offsets in slices(pa.array(texts, pa.large_string()), 1 << 62):
             words, counts = word_hashes(LOWER[data], offsets, ALNUM)
@@ -54,7 +58,7 @@ class Tests:
                     row[:size] = w[j:j + size]
                     rows.append(row)
                     lengths.append(size)
-                    owners.append(item_ids[first + i])
+                    owners.append(place[item_ids[first + i]])
         self.suffixes = np.array(rows, np.uint64).reshape(-1, width)
         self.lengths = np.array(lengths, np.int64)
         self.owners = np.array(owners, np.int64)
@@ -118,7 +122,7 @@ def _search(keys: np.ndarray, tests: Tests, side: str) -> np.ndarray:
 
 
 def match_shard(words: np.ndarray, counts: np.ndarray, tests: Tests):
-    """(hit flag per word, document rows, item ids): every verbatim occurrence."""
+    """(hit flag per word, document rows, places of item ids): every verbatim occurrence."""
     row = np.repeat(np.arange(len(counts)), counts)
     starts, keys = suffix_array(words, row, tests)
     hit = np.zeros(len(words) + 1, np.int64)
@@ -155,7 +159,7 @@ def _matcher(tests: Tests):
                     *[batch.column(n).slice(first, end - first) for n in names],
                     pa.array(counts.astype(np.int64)),
                     pa.ListArray.from_arrays(pa.array(per_span), spans),
-                    pa.ListArray.from_arrays(pa.array(per_item), pa.array(items)),
+                    pa.ListArray.from_arrays(pa.array(per_item), tests.ids.take(pa.array(items))),
                 ], [*names, "n_words", "spans", "items"])
     return match
 

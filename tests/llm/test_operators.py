@@ -151,6 +151,16 @@ def test_matches_keep_repeated_rows(spark, block_bytes):
     assert found == {(1, 3, ((0, 3),), (7, 8, 10)): 2, (1, 2, (), ()): 1, (None, 3, ((0, 3),), (7, 8, 10)): 2, (2, 0, (), ()): 2}
 
 
+@pytest.mark.parametrize("block_bytes", [1 << 20, 12])
+def test_matches_of_items_without_an_id(spark, block_bytes):
+    docs = spark.createDataFrame([(1, "a b c"), (2, "x y"), (3, "p q"), (4, "m n p q")], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, "b c"), (None, "x y"), (5, "a b"), (None, "a b"), (-6, "m n")], "item_id long, text string")
+    got = {r["doc_id"]: (sum(s["words"] for s in r["spans"]), r["items"])
+           for r in decontaminate.find_matches(docs, bench, block_bytes=block_bytes).collect()}
+    assert got == {1: (3, [5, None]), 2: (2, [None]), 3: (0, []), 4: (2, [-6])}
+    assert [r["doc_id"] for r in decontaminate.decontaminate(docs, bench).collect()] == [3]
+
+
 def brute_substrings(rows, w):
     first = {}
     for d, t in rows:
