@@ -15,10 +15,10 @@ from sectionmap.llm.common import stage, table
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a recognised language; those without a letter go."""
+    """Documents with a letter in their text, labelled or not; those without one go."""
     names, prototypes = language.learn(docs)
     rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
-    return (language.identify(rows, names, prototypes).where(F.col("lang_pred") != language.UNKNOWN).select("row.*"))
+    return language.identify(rows, names, prototypes, letters=True).where("has_letter").select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,8 +11,9 @@ Prototypes are learned on a sample of at most about ``sample`` labelled document
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0;
 rows without a language are not learned from; with nothing to learn from every
-document is ``und``; ties go to the first language in code-point order; repeated
-rows are judged alike; an empty table gives an empty result.
+document is ``und`` (``has_letter``, where asked for, tells the two apart); ties
+go to the first language in code-point order; repeated rows are judged alike; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -141,11 +142,15 @@ def learn(docs: DataFrame, sample: int = 20_000) -> tuple[list[str], np.ndarray]
     return names, p.astype(np.float32)
 
 
-def identify(docs: DataFrame, names: list[str], prototypes: np.ndarray) -> DataFrame:
-    """``docs`` with lang_pred and score: the softmax share of the best cosine."""
+def identify(docs: DataFrame, names: list[str], prototypes: np.ndarray, letters: bool = False) -> DataFrame:
+    """``docs`` with lang_pred and score: the softmax share of the best cosine;
+    with ``letters`` also has_letter, whether the text has one."""
     packed = pickle.dumps((names, prototypes))
-    cols = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    made = ["lang_pred", "score", *(["has_letter"] if letters else [])]
+    cols = [c for c in docs.columns if c not in made]
     schema = docs.select(*cols).schema.add("lang_pred", "string").add("score", "double")
+    if letters:
+        schema = schema.add("has_letter", "boolean")
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs, protos = pickle.loads(packed)
@@ -154,6 +159,7 @@ def identify(docs: DataFrame, names: list[str], prototypes: np.ndarray) -> DataF
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
                 vectors, has = enc.encode(part.column("text").to_pylist())
+                more = [pa.array(has, pa.bool_())] if letters else []
                 if langs:
                     cos = vectors @ protos.T
                     best = cos.argmax(1)
@@ -162,8 +168,8 @@ def identify(docs: DataFrame, names: list[str], prototypes: np.ndarray) -> DataF
                     has, best, score = np.zeros(len(has), bool), np.zeros(len(has), int), np.zeros(len(has))
                 pred = [langs[b] if h else UNKNOWN for b, h in zip(best, has)]
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(pred, pa.string()), pa.array(np.where(has, score, 0.0).astype(np.float64))],
-                    [*part.schema.names, "lang_pred", "score"])
+                    [*part.columns, pa.array(pred, pa.string()), pa.array(np.where(has, score, 0.0).astype(np.float64)), *more],
+                    [*part.schema.names, *made])
 
     return docs.select(*cols).mapInArrow(judge, schema)
 

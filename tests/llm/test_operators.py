@@ -312,3 +312,11 @@ def test_pipeline_stages(spark, edge_docs):
     mixed = p.mix_sources(spark, single, d)
     assert mixed.columns == edge_docs.columns
     assert p.shard(spark, mixed, d).count() == mixed.count()
+
+
+def test_pipeline_keeps_texts_without_any_label(spark, edge_docs):
+    import corpus_pipeline as p
+    docs = edge_docs.withColumn("lang", F.lit(None).cast("string"))
+    kept = p.keep_languages(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(d for d, t in texts(docs) if d not in (4, 5, 6))
