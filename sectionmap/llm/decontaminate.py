@@ -5,8 +5,8 @@ hashes and sorts the suffixes of each shard into a suffix array (suffixes whose
 first two words occur nowhere in the benchmark cannot match and are left out of
 the sort).  Every benchmark suffix of ``width`` words (a shorter item is one
 suffix) is found by binary search; the equal range gives all verbatim
-occurrences and their places, and overlapping occurrences merge into the longest
-matched spans.  Benchmark items are searched in blocks of bounded size, so the
+occurrences and their places, and occurrences that touch or overlap, of whatever
+item, merge into one span.  Benchmark items are searched in blocks of bounded size, so the
 benchmark may grow: with more than one block, the rows are numbered in a written
 table, the driver reads one block at a time from another and each block's matches
 are written; spans are merged per row.  Each block reads the documents once.
