@@ -1,5 +1,6 @@
 """Training-data operators: mixing, quality, decontamination, chat formatting,
-sharding, deduplication, language identification.
+sharding, deduplication, language identification, token counts and alignment,
+embedding whitening.
 
 ``all_queries()`` and ``all_sql()`` are what the driver entry adds; nothing
 else in the library imports this package.

@@ -6,12 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sectionmap.llm import (chat, decontaminate, jaccard_join, language, line_dedup, mixing, quality_classifier,
-                            quality_rules, sharding, suffix_dedup)
+                            quality_rules, sharding, suffix_dedup, token_alignment, token_counts, whitening)
 from sectionmap.llm.common import table
 
 CONTROL_CONVERSATION = "</s>[INST] ok [/INST]"
 
 
+def tokenizer_file(name: str) -> bytes:
+    """A file of the public tokenizers on the driver; its content is shipped to the tasks."""
+    import public_tokenizers
+    with open(public_tokenizers.path(name), "rb") as f:
+        return f.read()
+
+
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -77,6 +84,27 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), limit=512)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    model = whitening.learn(rows, scale=64, shift=1_000_000, components=16)
+    out = whitening.whiten(rows, model, scale=64, shift=1_000_000)
+    share = F.lit(None).cast("double")
+    if model:
+        share = F.element_at(F.lit([float(v) / model.trace for v in model.values]), F.col("component"))
+    return out.select("vec_id", "component", F.lit(model.n if model else 0).cast("long").alias("n"), "deviation", "whitened",
+                      share.alias("explained"), F.lit(model.identity_error if model else 0.0).alias("identity_error"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = token_alignment.align(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"),
+                                    tokenizer_file("piece_bpe_32k.model"), digest=True)
+    return token_alignment.score(aligned, token_alignment.link_counts(aligned)).withColumnRenamed("groups", "groups_sha256")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -84,4 +112,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_mixing, op2_quality_rules, op3_decontaminate, op4_chat_format, op5_sharding, op6_suffix_dedup, op7_line_dedup,
-    op8_jaccard_join, op9_language, op10_quality_classifier, pipeline)}
+    op8_jaccard_join, op9_language, op10_quality_classifier, op11_token_counts, op12_whitening, op13_token_alignment, pipeline)}
