@@ -98,3 +98,11 @@ RECORDED_TYPES = ("PM", "RM", "RS")
 CC_MIN_WIDTH_HUNDREDTHS = 875   # 8.75 inches
 DEFAULT_SCAN_DPI = 200           # replaces an unset (96 dpi) header
 MAP_DPI = 160
+
+# Named entities that the markup readers replace.
+ENTITIES = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0", "deg": "\u00b0",
+            "frac14": "\u00bc", "frac12": "\u00bd", "frac34": "\u00be", "eacute": "\u00e9", "ntilde": "\u00f1",
+            "ndash": "\u2013", "mdash": "\u2014"}
+
+# Elements without content, which never open a level.
+VOID_ELEMENTS = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sectionmap.plans import cc as CC
 from sectionmap.plans import files as FL
@@ -16,13 +16,32 @@ from sectionmap.plans import maps as MP
 from sectionmap.plans import surveyors as SV
 from sectionmap.sources import constants as C
 from sectionmap.session import staged
+from sectionmap.plans import trs as TR
+from sectionmap.sources.extracts import Extracts
 from sectionmap.sources.fixtures import Inputs
 
 
 class Staging:
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    """``source``: a folder of driver tables (derived inputs), or ``Extracts``."""
+
+    def __init__(self, spark: SparkSession, source: str | Extracts):
         self.spark = spark
-        self.inp = Inputs(spark, sf_dir)
+        self.inp = Inputs(spark, source) if isinstance(source, str) else source
+
+    @cached_property
+    def legacy_trs(self) -> DataFrame:
+        """(map_id, township, range, ',1,2,3,') of the legacy extract; for the derived
+        inputs the sections of all sources rolled up to such rows."""
+        if isinstance(self.inp, Extracts):
+            return self.inp.legacy_trs
+        r = TR.rollup_sections(self.inp.f_trs, list(range(5)))
+        return r.select("map_id", F.col("tshp").alias("township"), F.col("rng").alias("range"), F.col("sec").alias("section"))
+
+    @cached_property
+    def qq_records(self) -> DataFrame:
+        if isinstance(self.inp, Extracts):
+            return TR.qq_of_elements(self.inp.qq_elements)
+        return TR.unpivot_qq(self.inp.f_qq)
 
     @cached_property
     def maptype(self) -> DataFrame:

@@ -35,25 +35,35 @@ def section_of_column(name: str):
             group(code, r"\d+[ns]\d+[ew](\d+)", 1).try_cast("int"))
 
 
+def qq_bits(records: DataFrame) -> DataFrame:
+    """(map_id, tshp, rng, sec, qq = ',1,2,') -> the legacy numbers of a map's
+    section summed as bits; one aggregate shuffle on the section."""
+    nums = records.filter(F.col("qq").isNotNull()).select(
+        "map_id", "tshp", "rng", "sec", F.explode(F.split(F.trim(F.col("qq"), F.lit(",")), ",")).alias("_n"))
+    rec = nums.withColumn("n", F.col("_n").try_cast("int")).filter(F.col("n").isNotNull())
+    return rec.groupBy("map_id", "tshp", "rng", "sec").agg(F.sum(legacy_qq_bit("n")).cast("int").alias("subsec"))
+
+
 def unpivot_qq(wide: DataFrame, id_col: str = "id") -> DataFrame:
     """C11: wide legacy qq columns (``_x0030_5N1W26`` = ',1,2,') to
     (map_id, tshp, rng, sec, subsec) with the legacy numbers summed as bits.
 
     ``unpivot`` + ``explode`` inside the scan stage; the section of each
-    column comes from a folded literal map; one aggregate shuffle on
-    (map, township, range, section).
-    """
+    column comes from a folded literal map."""
     cols = qq_columns(wide)
     meta = F.create_map(*[x for c in cols for x in (
         F.lit(c), F.struct(*[v.alias(k) for k, v in zip(("tshp", "rng", "sec"), section_of_column(c))]))])
     long = wide.unpivot([id_col], cols, "column_name", "qq").filter(F.col("qq").isNotNull())
-    nums = long.select(F.col(id_col).alias("map_id"), meta[F.col("column_name")].alias("s"),
-                       F.explode(F.split(F.trim(F.col("qq"), F.lit(",")), ",")).alias("n"))
-    rec = nums.select("map_id", "s.tshp", "s.rng", "s.sec",
-                      legacy_qq_bit(F.col("n").try_cast("int")).alias("bit"),
-                      F.col("n").try_cast("int").isNotNull().alias("_ok")).filter("_ok")
-    return (rec.groupBy("map_id", "tshp", "rng", "sec")
-            .agg(F.sum("bit").cast("int").alias("subsec")))
+    return qq_bits(long.select(F.col(id_col).alias("map_id"), meta[F.col("column_name")].alias("s"), "qq").select("map_id", "s.*", "qq"))
+
+
+def qq_of_elements(elements: DataFrame) -> DataFrame:
+    """C11 from parsed elements (map_id, tag, qq): the section is read from the tag
+    of each row, so no list of the names is needed."""
+    code = F.lower(F.substr("tag", F.lit(8)))
+    return qq_bits(elements.select(
+        "map_id", township_number(group(code, r"(\d+[ns])", 1)).alias("tshp"), range_number(group(code, r"\d+[ns](\d+[ew])", 1)).alias("rng"),
+        group(code, r"\d+[ns]\d+[ew](\d+)", 1).try_cast("int").alias("sec"), "qq"))
 
 
 def rollup_sections(trs: DataFrame, sources: list[int], unknown: str | None = None) -> DataFrame:
@@ -100,11 +110,11 @@ def sheet_records(sheet: DataFrame, maps: DataFrame, maptype: DataFrame) -> Data
     return j.select("map_id", "tshp", "rng", "sec", "subsec", F.lit(K.SOURCE_SHEET).alias("source_id"))
 
 
-def build_trs(legacy_trs: DataFrame, qq_wide: DataFrame, sheet: DataFrame, maps: DataFrame,
+def build_trs(legacy_trs: DataFrame, qq_records: DataFrame, sheet: DataFrame, maps: DataFrame,
               maptype: DataFrame) -> DataFrame:
     """All four feeds appended (unionByName), one DataFrame, one write."""
     s0 = legacy_sections(legacy_trs)
-    s1 = unpivot_qq(qq_wide).withColumn("source_id", F.lit(K.SOURCE_LEGACY_SUBSECTION))
+    s1 = qq_records.withColumn("source_id", F.lit(K.SOURCE_LEGACY_SUBSECTION))
     s4 = sheet_records(sheet, maps, maptype)
     base = s0.unionByName(s1.select(*TRS_COLUMNS)).unionByName(s4)
     # The three feeds are read three times by the parser (eligible maps, section

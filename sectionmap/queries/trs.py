@@ -12,14 +12,8 @@ from sectionmap.queries import query
 from sectionmap.session import scratch_dir
 
 
-def legacy_trs(st: Staging):
-    """Legacy TRS extract: the sections of all sources rolled up to ',1,2,3,' rows."""
-    r = TR.rollup_sections(st.inp.f_trs, list(range(5)))
-    return r.select("map_id", F.col("tshp").alias("township"), F.col("rng").alias("range"), F.col("sec").alias("section"))
-
-
 def built_trs(st: Staging):
-    return TR.build_trs(legacy_trs(st), st.inp.f_qq, st.inp.f_sheet, st.maps, st.maptype)
+    return TR.build_trs(st.legacy_trs, st.qq_records, st.inp.f_sheet, st.maps, st.maptype)
 
 
 @query

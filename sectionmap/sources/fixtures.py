@@ -176,6 +176,30 @@ SELECT CASE WHEN src_id % 6 = 0 THEN 'scan ' ELSE '' END || CAST(year(recdate) A
   CASE CAST(src_id % 3 AS INT) WHEN 0 THEN 200 WHEN 1 THEN 150 ELSE 300 END AS dpi,
   CASE CAST(src_id % 5 AS INT) WHEN 0 THEN '1' WHEN 1 THEN 'L' WHEN 2 THEN 'P' WHEN 3 THEN 'RGB' ELSE 'RGBA' END AS mode
 FROM (SELECT *, explode(sequence(1, npages)) AS p FROM {f_cc}) x
+""",
+    # Bad records of the legacy map XML, as text: no id, numbers and dates that are none,
+    # markup that is none, a record that never ends, an id that was there before.
+    "f_bad_map": """
+SELECT id, kind, CASE kind
+    WHEN 0 THEN '<map><maptype>Survey</maptype><BOOK>1</BOOK></map>'
+    WHEN 1 THEN '<map><ID>-' || CAST(id AS STRING) || '</ID><maptype>Survey</maptype><BOOK>B' || CAST(id AS STRING) || '</BOOK></map>'
+    WHEN 2 THEN '<map><ID>-' || CAST(id AS STRING) || '</ID><BOOK>4<BOOK></map>'
+    WHEN 3 THEN '<map><ID>' || CAST(id AS STRING) || '</ID><maptype>Survey</maptype><BOOK>1</BOOK></map>'
+    WHEN 4 THEN '<map><ID>-' || CAST(id AS STRING) || '</ID><maptype>Survey</maptype>'
+    ELSE '<map note="a &lt; b"><ID>-' || CAST(id AS STRING) || '</ID><BOOK>x</BOOK><RECDATE>2001-13-45T00:00:00</RECDATE></map>' END AS xml
+FROM (SELECT id, CAST(floor(id / 7) % 6 AS INT) AS kind FROM {f_legacy_map} WHERE id % 7 = 3) x
+""",
+    # Bad records of the legacy TRS XML.
+    "f_bad_trs": """
+SELECT id, CASE WHEN id % 2 = 0 THEN '<TRS><ID>-' || CAST(id AS STRING) || '</ID><TOWNSHIP>05N</TOWNSHIP><RANGE>1W</RANGE></TRS>'
+    ELSE '<TRS><ID>x' || CAST(id AS STRING) || '</ID><TOWNSHIP>05N</TOWNSHIP><RANGE>1W</RANGE><SECTION>,1,</SECTION></TRS>' END AS xml
+FROM {f_legacy_map} WHERE id % 11 = 5
+""",
+    # Section codes of the legacy list.
+    "f_section_code": """
+SELECT DISTINCT CAST(tshp * 10000 + rng * 100 + sec AS INT) AS `OrderCode`, CASE WHEN tshp < 9 THEN '0' ELSE '' END || CAST(tshp + 1 AS STRING) || 'N' || CAST(rng + 1 AS STRING) || 'E'
+  || CASE WHEN sec < 10 THEN '0' ELSE '' END || CAST(sec AS STRING) AS subsection
+FROM {f_trs} WHERE tshp >= 0 AND rng >= 0
 """,
     # Surveyor workbook: alias (legacy name) -> surveyor; second aliases,
     # a conflicting duplicate and some full names that disagree with their parts.

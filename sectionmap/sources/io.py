@@ -1,4 +1,4 @@
-"""Sources and sinks.
+"""Sources and sinks.
 
 All are Spark data sources: XML (built into Spark 4), CSV, text, Parquet and
 ``binaryFile`` for object listings.
@@ -6,11 +6,18 @@ All are Spark data sources: XML (built into Spark 4), CSV, text, Parquet and
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
+XML_OPTIONS = {"attributePrefix": "@attr@", "valueTag": "@value@"}
+#: The order of rows in their files.
+PLACE = ["_file", "_block", "_place"]
+# Header of the scrape sheet.
+SCRAPE_COLUMNS = ["MAPTYPE", "BOOK", "PAGE", "NPAGES", "SURVEYORS", "RECDATE", "CLIENT", "DESC", "PDF", "TRS", "NOTE"]
+SCRAPE_SCHEMA = ("MAPTYPE STRING, BOOK INT, PAGE INT, NPAGES INT, SURVEYORS STRING, RECDATE STRING, CLIENT STRING, DESC STRING, "
+                 "PDF STRING, TRS STRING, NOTE STRING")
+
+
 # ---- sources -------------------------------------------------------------------
 
 def read_records(spark: SparkSession, path: str, row_tag: str, schema: T.StructType | str,
@@ -23,6 +30,24 @@ def read_records(spark: SparkSession, path: str, row_tag: str, schema: T.StructT
     return spark.read.format("xml").options(**opts).schema(schema).load(path)
 
 
+def read_raw_records(spark: SparkSession, path: str, tag: str, fields: list[str]) -> DataFrame:
+    """Records named ``tag`` of a document that may hold others: the text of each field
+    (NULL when absent), the text of a record that is no XML in ``_unreadable``, and
+    its place (file, block, number in the block).
+
+    Records are cut out one by one, so one bad record costs no other; a child may have
+    its record's name."""
+    schema = ", ".join(f"`{f}` STRING" for f in fields) + ", _unreadable STRING"
+    options = {"rowTag": tag, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_unreadable", "useLegacyXMLParser": "true", **XML_OPTIONS}
+    return with_place(spark.read.format("xml").options(**options).schema(schema).load(path))
+
+
+def with_place(df: DataFrame) -> DataFrame:
+    """``_file``, ``_block`` and ``_place``: the order of rows in their files, however the files are split."""
+    return df.select("*", F.input_file_name().alias("_file"), F.input_file_block_start().alias("_block"),
+                     F.monotonically_increasing_id().alias("_place"))
+
+
 def missing_fields(df: DataFrame, required: list[str]) -> DataFrame:
     """Rows with a NULL required field, with the names of the missing fields."""
     missing = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in required]))
@@ -61,25 +86,6 @@ def _re_escape(s: str) -> str:
 
 # ---- sinks ----------------------------------------------------------------------
 
-def replace_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """K1: replace a table (overwrite) -- one write of the whole result."""
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-
-
-def append_feeds(feeds: list[DataFrame]) -> DataFrame:
-    """K2: several feeds into one table: a single ``unionByName`` plan."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), feeds)
-
-
-def write_xml(df: DataFrame, path: str, row_tag: str, root_tag: str = "dataroot") -> None:
-    """K4: XML records; NULL fields are omitted, arrays become repeated elements."""
-    (df.write.mode("overwrite").format("xml")
-     .options(rowTag=row_tag, rootTag=root_tag, attributePrefix="@attr@", valueTag="@value@").save(path))
-
-
 def write_listing(paths: DataFrame, path: str, col: str = "path") -> None:
     """K5: one key per line with a leading '/'."""
     keys = F.when(F.col(col).startswith("/"), F.col(col)).otherwise(F.concat(F.lit("/"), F.col(col)))
@@ -91,6 +97,13 @@ def write_report(df: DataFrame, path: str, sep: str = "\t") -> None:
     df.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
 
 
+def write_scrape(records: DataFrame, path: str) -> None:
+    """K7: scraped map records as a sheet with the eleven scrape columns; the last two are for the reader."""
+    filled = {"DESC": "description", "TRS": None, "NOTE": None}
+    cols = [F.lit(None).cast("string").alias(c) if c in filled and filled[c] is None else F.col(filled.get(c) or c.lower()).alias(c) for c in SCRAPE_COLUMNS]
+    write_report(records.select(*cols), path, sep=",")
+
+
 def write_back(sheet: DataFrame, results: DataFrame, keys: list[str], path: str) -> DataFrame:
     """K8: computed columns joined back onto the sheet (left join: sheet rows
     without a result keep their values), written as the new sheet."""
