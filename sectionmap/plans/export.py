@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from sectionmap import constants as K
 from sectionmap.functions import legacy_qq_list, range_number, township_number
 from sectionmap.plans.files import map_keys
 from sectionmap.plans.surveyors import surveyor_lists
 from sectionmap.plans.trs import FIXED_TAGS, rollup_sections
+from sectionmap.session import staged
+from sectionmap.sources.extracts import read_map_records
 
 # Element names of a legacy map record, in export order.
 MAP_TAGS = ["ID", "maptype", "BOOK", "FIRSTPAGE", "LASTPAGE", "RECDATE", "SURVEYOR", "DONEFOR", "DESCRIP", "Picture"]
@@ -78,23 +80,20 @@ def write_maps_xml(records: DataFrame, path: str) -> None:
 
 
 def read_maps_xml(spark, path: str, qq_columns: list[str] | None = None) -> DataFrame:
-    """S1 + S2: fixed fields with a declared schema, the open-ended qq elements
-    read as arrays of text.  When the section list is known the read is a
-    single pass; otherwise the element names are discovered from the file
-    first (one extra pass over the data)."""
-    opts = {"rowTag": "map", **XML_OPTIONS}
+    """S1 + S2: typed fixed fields and the open-ended qq elements as arrays of text.  The
+    file is parsed once into a table; without a list of the elements, their names are
+    those of the parsed rows (as many as there are sections)."""
+    rows = staged(read_map_records(spark, path), "map-records")
     if qq_columns is None:
-        inferred = spark.read.format("xml").options(**opts).load(path)
-        qq = [c for c in inferred.columns if c.lower() not in FIXED_TAGS]
-    else:
-        qq = list(qq_columns)
-    fixed = [T.StructField("ID", T.IntegerType()), T.StructField("maptype", T.StringType()),
-             T.StructField("BOOK", T.IntegerType()), T.StructField("FIRSTPAGE", T.IntegerType()),
-             T.StructField("LASTPAGE", T.IntegerType()), T.StructField("RECDATE", T.StringType()),
-             T.StructField("SURVEYOR", T.StringType()), T.StructField("DONEFOR", T.StringType()),
-             T.StructField("DESCRIP", T.StringType()), T.StructField("Picture", T.StringType())]
-    schema = T.StructType(fixed + [T.StructField(c, T.ArrayType(T.StringType())) for c in sorted(qq)])
-    return spark.read.format("xml").options(**opts).schema(schema).load(path)
+        names = rows.select(F.explode("_open").alias("e")).select("e.tag").distinct().collect()
+        qq_columns = [r["tag"] for r in names]
+    fixed = [F.col(t).try_cast("int").alias(t) if t in ("ID", "BOOK", "FIRSTPAGE", "LASTPAGE") else F.col(t) for t in MAP_TAGS]
+
+    def texts(tag: str):
+        found = F.transform(F.filter("_open", lambda e: e["tag"] == tag), lambda e: e["text"])
+        return F.when(F.size(found) > 0, found).alias(tag)
+
+    return rows.where("_unreadable IS NULL").select(*fixed, *[texts(c) for c in sorted(qq_columns)])
 
 
 def export_trs(trs: DataFrame) -> DataFrame:

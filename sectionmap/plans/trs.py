@@ -59,8 +59,10 @@ def unpivot_qq(wide: DataFrame, id_col: str = "id") -> DataFrame:
 
 def qq_of_elements(elements: DataFrame) -> DataFrame:
     """C11 from parsed elements (map_id, tag, qq): the section is read from the tag
-    of each row, so no list of the names is needed."""
-    code = F.lower(F.substr("tag", F.lit(8)))
+    of each row, so no list of the names is needed.  The escaped first character
+    (``_x0031_`` = '1') belongs to the section code."""
+    first = F.char(F.conv(F.substring("tag", 3, 4), 16, 10).try_cast("int"))
+    code = F.lower(F.when(F.col("tag").rlike(r"^_x[0-9a-fA-F]{4}_"), F.concat(first, F.substr("tag", F.lit(8)))).otherwise(F.col("tag")))
     return qq_bits(elements.select(
         "map_id", township_number(group(code, r"(\d+[ns])", 1)).alias("tshp"), range_number(group(code, r"\d+[ns](\d+[ew])", 1)).alias("rng"),
         group(code, r"\d+[ns]\d+[ew](\d+)", 1).try_cast("int").alias("sec"), "qq"))

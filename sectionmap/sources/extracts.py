@@ -43,14 +43,15 @@ class Loaded(NamedTuple):
 
 def read_map_records(spark: SparkSession, path: str) -> DataFrame:
     """Map records with all their elements, in one parse: the text is cut at the start tags,
-    so names of elements that nobody declared come from the parsed rows (``_open``)."""
+    so names of elements that nobody declared come from the parsed rows (``_open``).
+    Comments inside a record are removed; a record that a comment's end follows is unreadable."""
     pieces = spark.read.option("lineSep", "<map>").text(path)
     rows = pieces.select(F.explode(F.split(F.regexp_replace("value", COMMENT, ""), r"<map\s[^<>]*>", -1)).alias("_text"))
     # What stands before the first record of a file is no record.
     rows = rows.where(~F.col("_text").rlike(r"^\s*(?:<\?xml|<dataroot|\z)"))
     rows = rows.withColumn("_ended", F.col("_text").rlike(r"</map\s*>")).withColumn("_body", F.regexp_replace("_text", r"(?s)</map\s*>.*\z", ""))
     rows = rows.withColumn("_elements", child_elements(F.col("_body")))
-    unreadable = ~F.col("_ended") | (stray_text(F.col("_body")) != "")
+    unreadable = ~F.col("_ended") | F.col("_text").contains("-->") | (stray_text(F.col("_body")) != "")
     fixed = [t.lower() for t in MAP_FIELDS]
     return with_place(rows.select(
         *[child_text("_elements", f).alias(f) for f in MAP_FIELDS], F.when(unreadable, F.col("_body")).alias("_unreadable"),

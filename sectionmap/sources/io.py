@@ -36,7 +36,7 @@ def read_raw_records(spark: SparkSession, path: str, tag: str, fields: list[str]
     its place (file, block, number in the block).
 
     Records are cut out one by one, so one bad record costs no other; a child may have
-    its record's name."""
+    its record's name (one of that name left open hides the records after it in its block)."""
     schema = ", ".join(f"`{f}` STRING" for f in fields) + ", _unreadable STRING"
     options = {"rowTag": tag, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_unreadable", "useLegacyXMLParser": "true", **XML_OPTIONS}
     return with_place(spark.read.format("xml").options(**options).schema(schema).load(path))
