@@ -106,3 +106,10 @@ ENTITIES = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp":
 
 # Elements without content, which never open a level.
 VOID_ELEMENTS = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
+
+# Elements whose end tag may be left out.
+OPTIONAL_END = ("p", "li", "dt", "dd", "option", "thead", "tbody", "tfoot", "tr", "td", "th")
+
+# Heading of a map record ("3 Parcel Map 120-121") and labels of its paragraphs.
+HEADING = r"^(\d+)\s+(.*)\s+(\d+)(?:\D(\d+))?"
+LABEL = r".+?: "

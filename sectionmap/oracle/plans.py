@@ -1,6 +1,7 @@
 """Oracle SQL: path specs, HTML records, image plans, PDF manifest, checks."""
 
 from sectionmap import constants as K
+from sectionmap.constants import HEADING
 from sectionmap.oracle.common import duckdb_with, index_cte, maptype_values, paths_cte, rstr, tstr
 from sectionmap.oracle.index import CC, FILES, MAPS, SURV
 
@@ -49,43 +50,27 @@ ex AS (SELECT *, bool_and(valid) OVER (PARTITION BY spec) AS spec_ok FROM ex1)""
 
 IDX = duckdb_with("f_trs") + ",\n" + paths_cte("f_trs") + ",\n" + index_cte()
 
-_ESC = lambda c: f"replace(replace(replace({c}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
 _UNESC = lambda c: f"replace(replace(replace({c}, '&lt;', '<'), '&gt;', '>'), '&amp;', '&')"
-HEADING = r"^(\d+)\s+(.*)\s+(\d+)(?:\D(\d+))?"
 
 HTML = duckdb_with("f_legacy_map", "f_sheet", "f_pm", "f_tract", "f_file", "f_scan", "f_pdf") + ",\n" + maptype_values() \
-    + ",\n" + MAPS + ",\n" + FILES + f""",
+    + ",\n" + MAPS + ",\n" + FILES + """,
 hm AS (
-  SELECT mk.abbrev, mk.book, mk.page,
-    '<div class="hmps-map"><div><h4>' || {_ESC('''CASE WHEN mk.map_id % 23 = 0 THEN 'BOOK ' || CAST(mk.book AS VARCHAR)
-       ELSE CAST(mk.book AS VARCHAR) || ' ' || mk.maptype_name || ' ' || CAST(mk.page AS VARCHAR)
-            || CASE WHEN mk.npages > 1 THEN '-' || CAST(mk.page + mk.npages - 1 AS VARCHAR) ELSE '' END END''')}
-    || '</h4><p><span>Surveyors: ' || {_ESC("coalesce(h.surveyor, '')")} || '</span></p><p>Recorded: '
-    || coalesce(strftime(mk.recdate, '%Y-%m-%d'), '') || '</p><p>Client: ' || {_ESC("coalesce(m.client, '')")}
-    || '</p><p>Description: ' || {_ESC("coalesce(m.description, '')")} || '</p><a role="button" href="'
-    || coalesce(pd.pdf, '') || '">PDF</a></div></div>' AS block
+  SELECT mk.*, coalesce(h.surveyor, '') AS surveyors, coalesce(m.client, '') AS client, coalesce(m.description, '') AS description,
+    coalesce(pd.pdf, '') AS pdf, mk.map_id % 23 <> 0 AS ok
   FROM mk JOIN maps m ON m.id = mk.map_id LEFT JOIN f_legacy_map h ON h.id = mk.map_id
   LEFT JOIN (SELECT map_id, max(path) AS pdf FROM pdfs WHERE map_id IS NOT NULL GROUP BY map_id) pd ON pd.map_id = mk.map_id),
-pages AS (SELECT lower(abbrev) || '/' || lpad(CAST(book AS VARCHAR), 3, '0') AS page_key,
-            '<html><body>' || string_agg(block, chr(10) ORDER BY page) || '</body></html>' AS html
-          FROM hm GROUP BY abbrev, book),
-bl AS (SELECT page_key, CAST(unnest(range(len(b))) AS INTEGER) AS pos, unnest(b) AS block FROM (
-         SELECT page_key, regexp_extract_all(html, '(?s)<div class="hmps-map">(.*?)</div></div>', 1) AS b FROM pages)),
-b2 AS (SELECT *, {_UNESC("regexp_extract(block, '(?s)<h4>(.*?)</h4>', 1)")} AS heading,
-         regexp_extract_all(block, '(?s)<p>(.*?)</p>', 1) AS paras FROM bl),
-b3 AS (SELECT *, regexp_matches(heading, '{HEADING}') AS ok,
-         TRY_CAST(nullif(regexp_extract(heading, '{HEADING}', 3), '') AS INTEGER) AS pg,
-         TRY_CAST(nullif(regexp_extract(heading, '{HEADING}', 4), '') AS INTEGER) AS lastp FROM b2)
-SELECT page_key, pos, CASE WHEN ok THEN nullif(regexp_extract(heading, '{HEADING}', 2), '') END AS maptype,
-  CASE WHEN ok THEN TRY_CAST(regexp_extract(heading, '{HEADING}', 1) AS INTEGER) END AS book,
-  CASE WHEN ok THEN pg END AS page, CASE WHEN ok THEN (CASE WHEN lastp IS NULL THEN 1 ELSE lastp - pg + 1 END) END AS npages,
-  CASE WHEN ok THEN {_UNESC("regexp_replace(regexp_extract(paras[1], '(?s)<span>(.*?)</span>', 1), '.+?: ', '', 'g')")} END AS surveyors,
-  CASE WHEN ok THEN {_UNESC("regexp_replace(paras[2], '.+?: ', '', 'g')")} END AS recdate,
-  CASE WHEN ok THEN {_UNESC("regexp_replace(paras[3], '.+?: ', '', 'g')")} END AS client,
-  CASE WHEN ok THEN {_UNESC("regexp_replace(paras[4], '.+?: ', '', 'g')")} END AS description,
-  CASE WHEN ok THEN regexp_extract(block, '<a role="button" href="([^"]*)"', 1) END AS pdf,
+bl AS (
+  SELECT abbrev, book AS of_book, page AS of_page, 0 AS inner_no, ok, maptype_name AS maptype, book, page, npages, surveyors,
+    strftime(recdate, '%Y-%m-%d') AS recdate, client, description, pdf FROM hm
+  UNION ALL
+  SELECT abbrev, book, page, 1, true, 'Inner Map', 1, 7, 3, '', '2001', '"x"', chr(160), 'in' FROM hm WHERE map_id % 8 = 2)
+SELECT lower(abbrev) || '/' || lpad(CAST(of_book AS VARCHAR), 3, '0') AS page_key,
+  CAST(row_number() OVER (PARTITION BY abbrev, of_book ORDER BY of_page, inner_no) - 1 AS INTEGER) AS pos,
+  CASE WHEN ok THEN maptype END AS maptype, CASE WHEN ok THEN book END AS book, CASE WHEN ok THEN page END AS page,
+  CASE WHEN ok THEN npages END AS npages, CASE WHEN ok THEN surveyors END AS surveyors, CASE WHEN ok THEN recdate END AS recdate,
+  CASE WHEN ok THEN client END AS client, CASE WHEN ok THEN description END AS description, CASE WHEN ok THEN pdf END AS pdf,
   CASE WHEN ok THEN 'ok' ELSE 'bad_heading' END AS status
-FROM b3"""
+FROM bl"""
 
 FRAMES = duckdb_with("f_images", "f_cc_scan") + f""",
 fr AS (SELECT src_file, frame, width_px, height_px, mode, regexp_extract(src_file, '^(\\d+)(\\D+)', 1) AS book,

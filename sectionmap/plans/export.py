@@ -52,11 +52,9 @@ def export_maps(maps: DataFrame, maptype: DataFrame, signatures: DataFrame, surv
     """Legacy map records: fixed fields (NULL = element omitted) plus one
     column per listed section holding the qq lists of the map (an array: one
     element per record, written as repeated elements)."""
-    mk = map_keys(maps, maptype).select("map_id", "maptype_name")
     names = surveyor_lists(maps, signatures, surveyors).select("map_id", "surveyors")
     pdf = pdfs.filter(F.col("map_id").isNotNull()).groupBy("map_id").agg(F.max("path").alias("pdffile"))
-    m = (maps.withColumnRenamed("id", "map_id").join(mk, "map_id").join(names, "map_id", "left")
-         .join(pdf, "map_id", "left"))
+    m = map_keys(maps, maptype).join(names, "map_id", "left").join(pdf, "map_id", "left")
     base = m.select(
         F.col("map_id").alias("ID"), F.col("maptype_name").alias("maptype"), F.col("book").alias("BOOK"),
         F.col("page").alias("FIRSTPAGE"), (F.col("page") + F.col("npages") - 1).alias("LASTPAGE"),

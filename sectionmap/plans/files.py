@@ -17,10 +17,11 @@ IMAGE = r".*-(\d{3})"
 
 
 def map_keys(maps: DataFrame, maptype: DataFrame) -> DataFrame:
-    """maps x maptype -> (map_id, abbrev, book, page): the pre-joined right side."""
+    """maps x maptype: the maps with their type's name, all columns; later plans need no
+    second join to fetch one."""
     t = maptype.select(F.col("id").alias("_tid"), "abbrev", F.col("maptype").alias("maptype_name"))
     return maps.join(t, maps["maptype_id"] == t["_tid"]).select(
-        F.col("id").alias("map_id"), "abbrev", "maptype_name", "book", "page", "npages", "recdate")
+        F.col("id").alias("map_id"), "abbrev", "maptype_name", "book", "page", "npages", "recdate", "client", "description")
 
 
 def link_files(listing: DataFrame, maps: DataFrame, maptype: DataFrame, kind: str,

@@ -1,87 +1,106 @@
-"""HTML map records (X3): listing pages with one ``hmps-map`` block per map are
-parsed into workbook rows with native string functions (no HTML library, no
-per-row Python)."""
+"""HTML map records (X3): pages with one ``hmps-map`` block per map are parsed into
+workbook rows by a balanced-tag scan (no HTML library, no per-row Python)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
+from sectionmap.constants import HEADING, LABEL
 from sectionmap.functions._util import group
+from sectionmap.functions.markup import decode_entities, escape_entities
+from sectionmap.operators.blocks import attribute, block_tags, blocks, has_class, tag_rows
 from sectionmap.plans.files import map_keys
 
-HEADING = r"^(\d+)\s+(.*)\s+(\d+)(?:\D(\d+))?"
-BLOCK = r'(?s)<div class="hmps-map">(.*?)</div></div>'
-PARAGRAPH = r"(?s)<p>(.*?)</p>"
-LABEL = r".+?: "
+BLOCK_CLASS = "hmps-map"
 
 
-def _unescape(c):
-    return F.regexp_replace(F.regexp_replace(F.regexp_replace(c, "&lt;", "<"), "&gt;", ">"), "&amp;", "&")
-
-
-def _escape(c):
-    return F.regexp_replace(F.regexp_replace(F.regexp_replace(c, "&", "&amp;"), "<", "&lt;"), ">", "&gt;")
+def _first(text, cond, order="idx"):
+    return F.min_by(F.when(cond, F.col(text)), F.when(cond, F.col(order)))
 
 
 def listing_pages(maps: DataFrame, maptype: DataFrame, signatures_text: DataFrame, pdfs: DataFrame) -> DataFrame:
     """Listing pages built from the map table: one page per (type, book), one
     block per map in page order (bounded by the pages of one book).  Every
-    23rd map gets a heading without a page number."""
-    mk = map_keys(maps, maptype)
-    m = (mk.join(maps.select(F.col("id").alias("map_id"), "client", "description"), "map_id")
-         .join(signatures_text, "map_id", "left")
+    23rd map gets a heading without a page number.  The markup differs from map to map as
+    that of foreign pages does: other element names, case, quotes and order of attributes,
+    further classes, inner boxes, comments, open paragraphs, a block inside a block."""
+    m = (map_keys(maps, maptype).join(signatures_text, "map_id", "left")
          .join(pdfs.filter(F.col("map_id").isNotNull()).groupBy("map_id").agg(F.max("path").alias("pdf")), "map_id", "left"))
     last = F.col("page") + F.col("npages") - 1
     heading = F.when(F.col("map_id") % 23 == 0, F.concat(F.lit("BOOK "), F.col("book").cast("string"))).otherwise(
         F.concat_ws(" ", F.col("book").cast("string"), F.col("maptype_name"),
                     F.concat(F.col("page").cast("string"),
                              F.when(F.col("npages") > 1, F.concat(F.lit("-"), last.cast("string"))).otherwise(F.lit("")))))
-    block = F.concat(
-        F.lit('<div class="hmps-map"><div><h4>'), _escape(heading), F.lit("</h4><p><span>Surveyors: "),
-        _escape(F.coalesce(F.col("surveyor"), F.lit(""))), F.lit("</span></p><p>Recorded: "),
-        F.coalesce(F.date_format("recdate", "yyyy-MM-dd"), F.lit("")), F.lit("</p><p>Client: "),
-        _escape(F.coalesce(F.col("client"), F.lit(""))), F.lit("</p><p>Description: "),
-        _escape(F.coalesce(F.col("description"), F.lit(""))), F.lit('</p><a role="button" href="'),
-        F.coalesce(F.col("pdf"), F.lit("")), F.lit('">PDF</a></div></div>'))
-    blocks = m.select("abbrev", "book", "page", block.alias("block"))
-    pages = blocks.groupBy("abbrev", "book").agg(
+    text = {"heading": escape_entities(heading), "recdate": F.coalesce(F.date_format("recdate", "yyyy-MM-dd"), F.lit("")),
+            "pdf": F.coalesce(F.col("pdf"), F.lit(""))}
+    for c in ("surveyor", "client", "description"):
+        text[c] = escape_entities(F.coalesce(F.col(c), F.lit("")))
+    plain = ['<div class="hmps-map"><div><h4>', "heading", "</h4><p><span>Surveyors: ", "surveyor", "</span></p><p>Recorded: ", "recdate",
+             "</p><p>Client: ", "client", "</p><p>Description: ", "description", '</p><a role="button" href="', "pdf", '">PDF</a></div></div>']
+    other = ["<SECTION id=m1 Class='card hmps-map wide' title='a > b'><!-- </section> --><div class='box'><h4 class=t>", "heading",
+             "</h4><p><span class='who'>Surveyors: ", "surveyor", "</span><p>Recorded: ", "recdate", "<br>noon<p>Client: ", "client",
+             "<p>Description: ", "description", "<div><div>more</div><p>Extra: no</div><a href='", "pdf",
+             "' class=btn ROLE='button'>PDF</a></div></SECTION>"]
+    inner = '<article class="small hmps-map"><div><h4>1 Inner Map 7&ndash;9</h4><p></p><p>Recorded: &#50;001</p><p>A: B: &quot;x&quot;</p><p>&nbsp;</p><a role="button" href="in">i</a></div></article>'
+    nested = ['<div data-x="hmps-map" class="hmps-map"><div><h4>', "heading", "</h4><p><span>Surveyors: ", "surveyor", "</span></p><p>Recorded: ", "recdate",
+              "</p><p>Client: ", "client", "</p><p>Description: ", "description", '</p><a href="#">x</a><a role="button" href="', "pdf", '">PDF</a>', inner,
+              "</div></div>"]
+
+    def fill(parts):
+        return F.concat(*[text[p] if p in text else F.lit(p) for p in parts])
+
+    block = F.when(F.col("map_id") % 4 == 1, fill(other)).when(F.col("map_id") % 8 == 2, fill(nested)).otherwise(fill(plain))
+    listed = m.select("abbrev", "book", "page", block.alias("block"))
+    pages = listed.groupBy("abbrev", "book").agg(
         F.expr("listagg(block, '\n') WITHIN GROUP (ORDER BY page)").alias("body"))
     return pages.select(F.concat(F.lower("abbrev"), F.lit("/"), F.lpad(F.col("book").cast("string"), 3, "0")).alias("page_key"),
-                        F.concat(F.lit("<html><body>"), F.col("body"), F.lit("</body></html>")).alias("html"))
+                        F.concat(F.lit('<html><body class="hmps-map-list"></div>'), F.col("body"), F.lit("</body></html>")).alias("html"))
 
 
 def parse_records(pages: DataFrame) -> DataFrame:
-    """One row per ``hmps-map`` block: heading -> type, book, page, npages;
-    labelled paragraphs with every 'label: ' removed; the button link.  A
-    heading that does not parse gives status 'bad_heading' and no fields."""
-    b = pages.select("page_key", F.posexplode(F.regexp_extract_all("html", F.lit(BLOCK), 1)).alias("pos", "block"))
-    h = _unescape(F.regexp_extract("block", r"(?s)<h4>(.*?)</h4>", 1))
-    b = b.withColumn("heading", h).withColumn("paras", F.regexp_extract_all("block", F.lit(PARAGRAPH), 1))
-    ok = F.col("heading").rlike(HEADING)
-    page = group(F.col("heading"), HEADING, 3).try_cast("int")
-    lastp = group(F.col("heading"), HEADING, 4).try_cast("int")
-
-    def field(i):
-        raw = F.element_at("paras", i)
-        if i == 1:
-            raw = F.regexp_extract(raw, r"(?s)<span>(.*?)</span>", 1)
-        return F.when(ok, _unescape(F.regexp_replace(raw, LABEL, "")))
-
-    return b.select(
+    """One row per element with the class ``hmps-map``, numbered within its page.
+
+    Its heading is the h4 of a div right inside it; the paragraphs are those of such divs:
+    the first one holds the surveyors in a span, the next three date, client and
+    description, with every 'label: ' removed; the PDF is where the first link with
+    the role of a button leads.  A heading that does not parse gives status
+    'bad_heading' and no fields."""
+    tags = tag_rows(pages, "page_key")
+    found = blocks(tags, "page_key", has_class("tag", BLOCK_CLASS))
+    numbered = found.withColumn("pos", F.row_number().over(Window.partitionBy("page_key").orderBy("start")) - 1)
+    rows = block_tags(tags, numbered, "page_key")
+    is_open, in_div = F.col("kind") == "open", F.col("child") == "div"
+    # A paragraph does not open a level: it stands at the depth of its div.
+    paragraph = is_open & (F.col("name") == "p") & (F.col("depth") == 2) & in_div
+    so_far = Window.partitionBy("page_key", "start").orderBy("idx").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_p", F.sum(paragraph.cast("int")).over(so_far))
+    h4 = is_open & (F.col("name") == "h4") & (F.col("depth") == 3) & in_div
+    span = is_open & (F.col("name") == "span") & (F.col("depth") == 3) & (F.col("_p") == 1)
+    button = is_open & (F.col("name") == "a") & (F.lower(attribute("tag", "role")) == "button")
+    rows = rows.withColumn("_href", attribute("tag", "href"))
+    one = rows.groupBy("page_key", "start", "pos").agg(
+        _first("text", h4).alias("heading"), _first("text", span).alias("p1"), *[_first("text", paragraph & (F.col("_p") == i)).alias(f"p{i}") for i in (2, 3, 4)],
+        _first("_href", button).alias("href"))
+    one = one.withColumn("heading", decode_entities("heading"))
+    ok = F.coalesce(F.col("heading").rlike(HEADING), F.lit(False))
+    page, lastp = group(F.col("heading"), HEADING, 3).try_cast("int"), group(F.col("heading"), HEADING, 4).try_cast("int")
+
+    def field(c):
+        return F.when(ok, F.coalesce(F.regexp_replace(decode_entities(c), LABEL, ""), F.lit("")))
+
+    return one.select(
         "page_key", "pos", F.when(ok, group(F.col("heading"), HEADING, 2)).alias("maptype"),
         F.when(ok, group(F.col("heading"), HEADING, 1).try_cast("int")).alias("book"),
         F.when(ok, page).alias("page"),
         F.when(ok, F.when(lastp.isNull(), F.lit(1)).otherwise(lastp - page + 1)).alias("npages"),
-        field(1).alias("surveyors"), field(2).alias("recdate"), field(3).alias("client"),
-        field(4).alias("description"),
-        F.when(ok, F.regexp_extract("block", r'<a role="button" href="([^"]*)"', 1)).alias("pdf"),
-        F.when(ok, "ok").otherwise("bad_heading").alias("status"))
+        field("p1").alias("surveyors"), field("p2").alias("recdate"), field("p3").alias("client"), field("p4").alias("description"),
+        F.when(ok, decode_entities("href")).alias("pdf"), F.when(ok, "ok").otherwise("bad_heading").alias("status"))
 
 
 def page_headings(pages: DataFrame) -> DataFrame:
     """X3 over arbitrary web pages: the first <h1> heading read as a map
     heading, and the number of links on the page."""
-    h = _unescape(F.regexp_extract("html", r"(?s)<h1>(.*?)</h1>", 1))
+    h = decode_entities(F.regexp_extract("html", r"(?s)<h1>(.*?)</h1>", 1))
     p = pages.select("page_id", h.alias("heading"),
                      F.size(F.regexp_extract_all("html", F.lit(r'<a href="([^"]*)"'), 1)).alias("n_links"))
     ok = F.col("heading").rlike(HEADING)

@@ -59,7 +59,7 @@ def tract_numbers(spark, sf_dir):
 def number_reports(spark, sf_dir):
     """Q7: parcel numbers of PM maps; tract numbers of RM maps that have one."""
     st = Staging(spark, sf_dir)
-    m = FL.map_keys(st.maps, st.maptype).join(st.maps.select(F.col("id").alias("map_id"), "client"), "map_id")
+    m = FL.map_keys(st.maps, st.maptype)
     pm = m.filter(F.col("abbrev") == "PM").select(
         F.lit("PM").alias("kind"), F.col("maptype_name").alias("maptype"), "book", "page",
         number_from_client("client", "PM").alias("number"))
