@@ -5,9 +5,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from sectionmap.operators.ordered import running
+
+#: Longest interval that may be taken apart, in points or blocks.
+LONGEST = 100_000
+
+
+def _checked(length):
+    """The length, an error when no page range can be that long (the plan would take it apart)."""
+    return F.when(length > LONGEST, F.raise_error(F.concat(F.lit("interval too long: "), length.cast("string"))).cast("int")).otherwise(length)
+
 
 def _covered_range(start, length):
-    return F.when(length >= 1, F.sequence(start, start + length - 1)).otherwise(F.array().cast("array<int>"))
+    return F.when(length >= 1, F.sequence(start, start + _checked(length) - 1)).otherwise(F.array().cast("array<int>"))
 
 
 def interval_join(points: DataFrame, intervals: DataFrame, keys: list[str], point: str,
@@ -23,7 +33,7 @@ def interval_join(points: DataFrame, intervals: DataFrame, keys: list[str], poin
     """
     b = F.lit(bucket)
     iv = intervals.withColumn("_blk", F.explode(F.when(
-        F.col(length) >= 1, F.sequence(F.floor(F.col(start) / b), F.floor((F.col(start) + F.col(length) - 1) / b)))
+        F.col(length) >= 1, F.sequence(F.floor(F.col(start) / b), F.floor((F.col(start) + _checked(F.col(length)) - 1) / b)))
         .otherwise(F.array().cast("array<bigint>"))))
     pt = points.withColumn("_blk", F.floor(F.col(point) / b))
     cond = [pt[k] == iv[k] for k in keys] + [pt["_blk"] == iv["_blk"],
@@ -39,3 +49,13 @@ def interval_join_exploded(points: DataFrame, intervals: DataFrame, keys: list[s
     iv = intervals.withColumn("_p", F.explode(_covered_range(F.col(start), F.col(length))))
     cond = [points[k] == iv[k] for k in keys] + [points[point] == iv["_p"]]
     return points.join(iv, cond, how).drop(iv["_p"]).drop(*[iv[k] for k in keys])
+
+
+def overlaps(intervals: DataFrame, keys: list[str], start: str, length: str, order: list[str]) -> DataFrame:
+    """C10's audit: intervals that begin inside an earlier one of their keys, with
+    ``covered_to``, the largest end so far.  A sweep over the starts; the largest end is
+    carried across the partitions of a hot key.  Empty intervals neither cover nor count."""
+    iv = intervals.where(F.col(length) >= 1)
+    end = F.col(start) + F.col(length) - 1
+    swept = running(iv, keys, [start, *order], {"covered_to": ("max", end)})
+    return swept.where(F.col(start) <= F.col("covered_to"))

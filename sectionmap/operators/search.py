@@ -96,6 +96,59 @@ def box_paths(township: str, range_: str, sec: int, mask: int) -> list[str]:
     return [f"{township}.{range_}.{sec}.{chr(65 + i)}" for i in range(16) if mask >> i & 1]
 
 
+BOX_KEYS = ["tshp", "rng", "sec"]
+
+
+def _spread(records: DataFrame, boxes: DataFrame, keys: list[str], splits: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``_slice``: the records of a hot key (a ``splits``-th of all or more, so at
+    most ``splits`` keys) are dealt out by map, its boxes are copied to every slice."""
+    counts = records.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_all"))
+    hot = counts.join(F.broadcast(total)).where(F.col("_n") * splits >= F.col("_all")).select(*keys, F.lit(True).alias("_hot"))
+    hot = F.broadcast(hot)
+    left = records.join(hot, keys, "left").withColumn("_slice", F.when(F.col("_hot"), F.pmod(F.xxhash64("map_id"), F.lit(splits))).otherwise(0)).drop("_hot")
+    right = boxes.join(hot, keys, "left").withColumn(
+        "_slice", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(splits - 1))).otherwise(F.array(F.lit(0))))).drop("_hot")
+    return left, right.withColumn("_slice", F.col("_slice").cast("bigint"))
+
+
+def maps_by_box(trs: DataFrame, boxes: DataFrame, splits: int = 16) -> DataFrame:
+    """(box_id, map_id): maps with a cell in a box.  ``boxes`` has (box_id, tshp, rng, sec,
+    mask), a box as many rows as it has sections.
+
+    A join on the section with the overlap of the masks as residual; the records of a
+    map's section are one bitmap before it, and hot sections are split."""
+    cells = trs.where(F.col("subsec") != 0).groupBy("map_id", *BOX_KEYS).agg(F.bit_or("subsec").alias("_bits"))
+    left, right = _spread(cells, boxes, BOX_KEYS, splits)
+    found = left.join(right, [*BOX_KEYS, "_slice"]).where(F.col("_bits").bitwiseAND(F.col("mask")) != 0)
+    return found.select("box_id", "map_id").distinct()
+
+
+def maps_by_box_paths(index: DataFrame, boxes: DataFrame, whole: bool = True, splits: int = 16) -> DataFrame:
+    """The same through the path index: maps filed under a cell path of a box and, with
+    ``whole``, under the path of one of its sections."""
+    from sectionmap.functions.geo import trs_path_base
+    base = boxes.select("box_id", "mask", trs_path_base("tshp", "rng", "sec").alias("_base"))
+    letters = F.transform(F.filter(F.sequence(F.lit(0), F.lit(15)), lambda i: F.getbit(F.col("mask"), i) == 1), lambda i: F.char(i + 65))
+    cells = F.transform(letters, lambda x: F.concat(F.col("_base"), F.lit("."), x))
+    paths = base.select("box_id", F.explode(F.concat(cells, F.array("_base")) if whole else cells).alias("trs_path")).distinct()
+    left, right = _spread(index.select("map_id", "trs_path"), paths, ["trs_path"], splits)
+    return left.join(right, ["trs_path", "_slice"]).select("box_id", "map_id").distinct()
+
+
+def compare_by_box(boxes: DataFrame, a: DataFrame, b: DataFrame, names: tuple[str, str] = ("bitmap", "path")) -> DataFrame:
+    """Per box the maps of both answers and of one only; a box without any has zeros.  The
+    answers meet in one aggregation, no outer join."""
+    x, y = names
+    tagged = a.select("box_id", "map_id", F.lit(1).alias(x), F.lit(0).alias(y)).unionByName(
+        b.select("box_id", "map_id", F.lit(0).alias(x), F.lit(1).alias(y)))
+    tagged = tagged.groupBy("box_id", "map_id").agg(F.max(x).alias(x), F.max(y).alias(y))
+    every = boxes.select("box_id", F.lit(None).cast("int").alias("map_id"), F.lit(0).alias(x), F.lit(0).alias(y)).distinct()
+    return tagged.unionByName(every).groupBy("box_id").agg(
+        F.sum(F.col(x) * F.col(y)).alias("n_both"), F.sum(F.col(x) * (1 - F.col(y))).alias(f"n_{x}_only"),
+        F.sum((1 - F.col(x)) * F.col(y)).alias(f"n_{y}_only"))
+
+
 def symmetric_difference(a: DataFrame, b: DataFrame, key: str = "map_id",
                          names: tuple[str, str] = ("a", "b")) -> DataFrame:
     """Keys found by only one of two answers, with the side that found them."""
@@ -123,21 +176,22 @@ def _items(inner, root, ok, to_int, to_text):
 
 
 def _is_section(t):
-    return F.coalesce(t.rlike(r"^[0-9]{1,2}\z") & t.try_cast("int").between(1, SECTIONS_MAX), F.lit(False))
+    return F.coalesce(t.rlike(r"^[0-9]{1,9}\z") & t.try_cast("int").between(1, SECTIONS_MAX), F.lit(False))
 
 
 def _is_cell(t):
     return F.length(t) == 1
 
 
-def expand_specs(specs: DataFrame, spec_col: str = "spec") -> DataFrame:
+def expand_specs(specs: DataFrame, spec_col: str = "spec", strict: bool = False) -> DataFrame:
     """C14: path specs -> one row per expanded path.
 
     A spec is blank-separated elements: a simple path ``4N.1W.7``, a section
     list ``4N.1W.[1-3,11]``, a cell list ``4N.1W.11.[A-F,I]`` or a cell run
     ``4N.1W.11.ABCD``; ranges may be given high to low.  Every path is checked
     by ``validate_path``; one bad path makes the whole spec bad
-    (``spec_ok`` False) instead of raising.
+    (``spec_ok`` False) instead of raising; with ``strict`` the first bad element
+    that a task meets raises an error that names it.  Ends of a range may have leading zeros.
     Output: spec, elem, path, valid, spec_ok.
     """
     from sectionmap.functions.geo import validate_path
@@ -158,20 +212,17 @@ def expand_specs(specs: DataFrame, spec_col: str = "spec") -> DataFrame:
              .otherwise(F.array(F.lit(None).cast("string"))))
     out = el.select(spec_col, "elem", F.explode(paths).alias("path"))
     out = out.withColumn("valid", F.coalesce(validate_path(F.col("path")), F.lit(False)) & F.col("path").isNotNull())
+    if strict:
+        bad = F.raise_error(F.concat(F.lit("Bad path spec: "), F.coalesce("elem", F.lit("")))).cast("boolean")
+        out = out.withColumn("valid", F.when(F.col("valid"), F.lit(True)).otherwise(bad))
     # One exchange on the spec; the paths of one spec are bounded by the spec text.
     return out.withColumn("spec_ok", F.min(F.col("valid").cast("int")).over(Window.partitionBy(spec_col)) == 1)
 
 
-def search_specs(index: DataFrame, specs: DataFrame, spec_col: str = "spec") -> DataFrame:
-    """Batch P9: (spec, map_id) for every valid spec and every map indexed
-    under one of its paths.  An equi join on the path (AQE splits a hot path)."""
-    ex = expand_specs(specs, spec_col).filter("spec_ok").select(spec_col, F.col("path").alias("trs_path")).distinct()
-    return ex.join(index.select("trs_path", "map_id"), "trs_path").select(spec_col, "map_id").distinct()
-
-
 def search_specs_on_trs(trs: DataFrame, specs: DataFrame, spec_col: str = "spec") -> DataFrame:
-    """``search_specs`` that first restricts the trs records to the sections
-    named by the valid specs, then builds the index of those records only."""
+    """Batch P9: (spec, map_id) for every valid spec and every map indexed under one of
+    its paths.  The trs records are first restricted to the sections that the valid specs
+    name, then only those are indexed; the join is on the path (AQE splits a hot one)."""
     from sectionmap.operators.paths import path_index
     ex = expand_specs(specs, spec_col).filter("spec_ok").select(spec_col, F.col("path").alias("trs_path")).distinct()
     idx = path_index(restrict_to_path_table(trs, ex))

@@ -138,6 +138,11 @@ cover AS (
 DISP = "\n" + SURV
 
 SQL = {
+    "map_page_overlaps": duckdb_with("f_long_map") + """
+SELECT map_id, abbrev, book, page, npages, covered_to FROM (
+  SELECT id AS map_id, abbrev, book, page, npages, max(page + npages - 1) OVER (
+    PARTITION BY abbrev, book ORDER BY page, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS covered_to
+  FROM f_long_map WHERE npages >= 1) x WHERE page <= covered_to""",
     "map_build": BASE + "\nSELECT * FROM maps",
     "parcel_numbers": duckdb_with("f_legacy_map", "f_sheet", "f_pm") + ",\n" + maptype_values() + ",\n" + MAPS0
     + ",\n" + sfx_cte("s", [("f_pm", "PM")]) + "\nSELECT map_id, suffix FROM s",

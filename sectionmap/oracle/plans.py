@@ -33,7 +33,7 @@ def _listed(names: str) -> str:
 
 SPECS = f"""pairs AS (SELECT DISTINCT tshp, rng FROM f_trs),
 roots AS (SELECT tshp, rng, {tstr('tshp')} || '.' || {rstr('rng')} || '.' AS root FROM pairs),
-specs AS (SELECT root || '[1-3,11] ' || root || '7.[A-C,P] ' || root || '12.KLOP ' || root || '20 ' || root || '[36-34]'
+specs AS (SELECT root || '[1-3,11] ' || root || '7.[A-C,P] ' || root || '12.KLOP ' || root || '20 ' || root || '[36-34,007-8]'
             || CASE WHEN (tshp + rng) % 7 = 0 THEN ' ' || root || '40' ELSE '' END AS spec FROM roots),
 els0 AS (SELECT spec, unnest(regexp_split_to_array(trim(spec), '\\s+')) AS elem FROM specs),
 els AS (SELECT spec, elem, string_split(elem, '.')[-1] AS tail, elem[:len(elem) - len(string_split(elem, '.')[-1])] AS root,
@@ -79,18 +79,19 @@ fr AS (SELECT src_file, frame, width_px, height_px, mode, regexp_extract(src_fil
 fp AS (SELECT *, upper(maptype) IN ('PM', 'RM', 'RS') AND least(width_px, height_px) * 100 < scan_dpi * {K.CC_MIN_WIDTH_HUNDREDTHS} AS is_cc,
          regexp_replace(src_file, '\\.tif\\z', '') || '-' || lpad(CAST(frame AS VARCHAR), 3, '0') || '.tif' AS dest_file FROM fr)"""
 
-MANIFEST = duckdb_with("f_map", "f_file", "f_cc", "f_cc_file") + ",\n" + maptype_values() + r""",
+MANIFEST = duckdb_with("f_map", "f_file", "f_cc_odd", "f_cc_file") + ",\n" + maptype_values() + r""",
 imgs AS (SELECT nullif(regexp_extract(string_split(path, '/')[-1], '^(\d{3}\D{2}\d{3})', 1), '') AS map, path AS file FROM f_file),
-docs0 AS (SELECT lpad(CAST(c.book AS VARCHAR), 3, '0') || lower(t.abbrev) || lpad(CAST(c.page AS VARCHAR), 3, '0') AS map, c.doc_number, c.npages
-          FROM f_cc c JOIN maptype t ON t.maptype = c.maptype),
-docs AS (SELECT map, npages,
+docs0 AS (SELECT lpad(CAST(c.book AS VARCHAR), 3, '0') || lower(t.abbrev) || lpad(CAST(c.page AS VARCHAR), 3, '0') AS map, c.doc_number, c.npages, t.abbrev IS NULL AS unknown
+          FROM f_cc_odd c LEFT JOIN maptype t ON t.maptype = c.maptype),
+docs1 AS (SELECT map, npages, doc_number, unknown,
     CASE WHEN regexp_matches(doc_number, '^(\d+) OR (\d+)\z')
            THEN lpad(CAST(CAST(regexp_extract(doc_number, '^(\d+) OR (\d+)\z', 1) AS BIGINT) AS VARCHAR), 4, '0') || '-or-'
                 || lpad(CAST(CAST(regexp_extract(doc_number, '^(\d+) OR (\d+)\z', 2) AS BIGINT) AS VARCHAR), 6, '0')
          WHEN regexp_matches(doc_number, '^(\d{4})-(\d+)-\d+\z')
            THEN lpad(CAST(CAST(regexp_extract(doc_number, '^(\d{4})-(\d+)-\d+\z', 1) AS BIGINT) AS VARCHAR), 4, '0') || '-doc-'
                 || lpad(CAST(CAST(regexp_extract(doc_number, '^(\d{4})-(\d+)-\d+\z', 2) AS BIGINT) AS VARCHAR), 6, '0') END AS doc
-  FROM docs0 WHERE upper(substr(map, 4, 2)) IN ('PM', 'RM', 'RS') AND map IN (SELECT map FROM imgs WHERE map IS NOT NULL)),
+  FROM docs0),
+docs AS (SELECT * FROM docs1 WHERE NOT unknown AND doc IS NOT NULL AND upper(substr(map, 4, 2)) IN ('PM', 'RM', 'RS') AND map IN (SELECT map FROM imgs WHERE map IS NOT NULL)),
 ccf AS (SELECT nullif(regexp_extract(string_split(path, '/')[-1], '^(.*)-\d{3}\.jpg\z', 1), '') AS doc, '/' || path AS file FROM f_cc_file),
 d AS (SELECT docs.*, n.n_images, CASE WHEN n.n_images IS NULL THEN 'missing_cc' WHEN n.n_images <> docs.npages THEN 'bad_cc_pages' END AS issue
       FROM docs LEFT JOIN (SELECT doc, count(*) AS n_images FROM ccf GROUP BY doc) n ON n.doc = docs.doc),
@@ -141,6 +142,8 @@ SELECT dest_file, least({K.MAP_DPI}, scan_dpi) AS map_dpi,
   CASE WHEN is_cc AND NOT regexp_matches(dest_file, '^\\d{{4}}-(or|doc)-\\d{{6}}-\\d{{3}}\\.tif\\z') THEN 'bad_cc_name' ELSE 'convert' END AS status
 FROM al""",
     "pdf_manifest": MANIFEST + "\nSELECT map, CAST(row_number() OVER (PARTITION BY map ORDER BY part, doc DESC, file) AS INTEGER) AS seq, file FROM pg",
-    "pdf_manifest_issues": MANIFEST + "\nSELECT map, doc, issue FROM d WHERE issue IS NOT NULL",
+    "pdf_manifest_issues": MANIFEST + """
+SELECT map, doc, doc_number, issue FROM d WHERE issue IS NOT NULL
+UNION ALL SELECT map, doc, doc_number, CASE WHEN unknown THEN 'unknown_maptype' ELSE 'bad_doc_number' END FROM docs1 WHERE unknown OR doc IS NULL""",
     "constraint_checks": CHECKS,
 }

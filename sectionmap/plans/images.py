@@ -4,11 +4,12 @@ resizing, PDF assembly) is outside Spark; these jobs plan it."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from sectionmap import constants as K
 from sectionmap.functions import cc_doc_basename, map_name
 from sectionmap.functions._util import group
+from sectionmap.operators.ordered import running
 
 CC_FILE = r"^\d{4}-(or|doc)-\d{6}-\d{3}\.tif\z"
 
@@ -65,9 +66,9 @@ def resize_plan(plan: DataFrame) -> DataFrame:
 
 def _cc_docs(cc_sheet: DataFrame, maptype: DataFrame) -> DataFrame:
     t = maptype.select(F.col("maptype").alias("_t"), "abbrev")
-    c = cc_sheet.join(t, cc_sheet["maptype"] == t["_t"])
+    c = cc_sheet.join(t, cc_sheet["maptype"] == t["_t"], "left")
     return c.select(map_name("book", "abbrev", "page").alias("map"), cc_doc_basename("doc_number").alias("doc"),
-                    "npages")
+                    "doc_number", "npages", F.col("abbrev").isNull().alias("_unknown"))
 
 
 def pdf_manifest(images: DataFrame, cc_sheet: DataFrame, cc_files: DataFrame, maptype: DataFrame):
@@ -75,14 +76,18 @@ def pdf_manifest(images: DataFrame, cc_sheet: DataFrame, cc_files: DataFrame, ma
 
     manifest: map, seq, file -- the map's page images in name order, then for
     recorded maps (PM, RM, RS) the pages of each certificate, newest document
-    first.  issues: map, doc, issue -- 'missing_cc' (no image of the document)
-    or 'bad_cc_pages' (image count differs from the workbook page count).
-    Only documents whose page count matches are appended.
+    first; numbered across the partitions of a hot map.  issues: map, doc, doc_number,
+    issue -- 'unknown_maptype' and 'bad_doc_number' (workbook rows that name no map or
+    no document), 'missing_cc' (no image of the document) or 'bad_cc_pages' (image count
+    differs from the workbook page count).  Only documents whose page count matches are appended.
     """
     base = F.element_at(F.split("path", "/"), -1)
     imgs = images.select(group(base, r"^(\d{3}\D{2}\d{3})", 1).alias("map"), F.col("path").alias("file"))
     imgs = imgs.filter(F.col("map").isNotNull())
-    docs = _cc_docs(cc_sheet, maptype).filter(F.upper(F.substring("map", 4, 2)).isin(*K.RECORDED_TYPES))
+    rows = _cc_docs(cc_sheet, maptype)
+    unread = rows.where(F.col("_unknown") | F.col("doc").isNull()).select(
+        "map", "doc", "doc_number", F.when(F.col("_unknown"), "unknown_maptype").otherwise("bad_doc_number").alias("issue"))
+    docs = rows.where(~F.col("_unknown") & F.col("doc").isNotNull()).filter(F.upper(F.substring("map", 4, 2)).isin(*K.RECORDED_TYPES))
     docs = docs.join(imgs.select("map").distinct(), "map", "left_semi")
     fname = F.element_at(F.split("path", "/"), -1)
     ccf = cc_files.select(group(fname, r"^(.*)-\d{3}\.jpg\z", 1).alias("doc"), F.concat(F.lit("/"), "path").alias("file"))
@@ -91,10 +96,10 @@ def pdf_manifest(images: DataFrame, cc_sheet: DataFrame, cc_files: DataFrame, ma
     issue = (F.when(F.col("n_images").isNull(), "missing_cc")
              .when(F.col("n_images") != F.col("npages"), "bad_cc_pages"))
     d = d.withColumn("issue", issue)
-    issues = d.filter(F.col("issue").isNotNull()).select("map", "doc", "issue")
+    issues = d.filter(F.col("issue").isNotNull()).select("map", "doc", "doc_number", "issue").unionByName(unread)
     good = d.filter(F.col("issue").isNull()).select("map", "doc")
     cc_pages = good.join(ccf, "doc").select("map", F.lit(1).alias("part"), "doc", "file")
     pages = imgs.select("map", F.lit(0).alias("part"), F.lit(None).cast("string").alias("doc"), "file").unionByName(cc_pages)
-    w = Window.partitionBy("map").orderBy("part", F.col("doc").desc(), "file")
-    manifest = pages.select("map", F.row_number().over(w).alias("seq"), "file")
+    seq = running(pages, ["map"], ["part", F.col("doc").desc(), "file"], {"_before": ("sum", F.lit(1))})
+    manifest = seq.select("map", (F.coalesce("_before", F.lit(0)) + 1).cast("int").alias("seq"), "file")
     return manifest, issues

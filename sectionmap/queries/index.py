@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from sectionmap import constants as K
 from sectionmap.functions import full_township, number_from_client, tract_from_client
-from sectionmap.operators.intervals import interval_join, interval_join_exploded
+from sectionmap.operators.intervals import interval_join, interval_join_exploded, overlaps
 from sectionmap.plans import cc as CC
 from sectionmap.plans import files as FL
 from sectionmap.plans import maps as MP
@@ -103,6 +103,13 @@ def map_page_lookup_exploded(spark, sf_dir):
     return j.groupBy("path").agg(F.min("map_id").alias("map_id"))
 
 
+@query
+def map_page_overlaps(spark, sf_dir):
+    """Maps that begin on a page which an earlier map of the book covers."""
+    iv = Staging(spark, sf_dir).inp.f_long_map.withColumnRenamed("id", "map_id")
+    return overlaps(iv, ["abbrev", "book"], "page", "npages", ["map_id"])
+
+
 # ---- files ------------------------------------------------------------------
 
 @query

@@ -39,13 +39,13 @@ def resize_plan(spark, sf_dir):
 @query
 def pdf_manifest(spark, sf_dir):
     st = Staging(spark, sf_dir)
-    return IM.pdf_manifest(st.inp.f_file, st.inp.f_cc, st.inp.f_cc_file, st.maptype)[0]
+    return IM.pdf_manifest(st.inp.f_file, st.inp.f_cc_odd, st.inp.f_cc_file, st.maptype)[0]
 
 
 @query
 def pdf_manifest_issues(spark, sf_dir):
     st = Staging(spark, sf_dir)
-    return IM.pdf_manifest(st.inp.f_file, st.inp.f_cc, st.inp.f_cc_file, st.maptype)[1]
+    return IM.pdf_manifest(st.inp.f_file, st.inp.f_cc_odd, st.inp.f_cc_file, st.maptype)[1]
 
 
 @query

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from sectionmap.operators.paths import explode_paths, path_index
 from sectionmap.operators.search import (
-    box_paths, maps_in_boxes, maps_in_mask, maps_in_sections, maps_in_subtree,
+    box_paths, compare_by_box, maps_by_box, maps_by_box_paths, maps_in_boxes, maps_in_mask, maps_in_sections, maps_in_subtree,
     maps_on_paths, restrict_to_paths, symmetric_difference,
 )
 from sectionmap.queries import query
@@ -66,6 +66,21 @@ def search_equivalence(spark, sf_dir):
     return symmetric_difference(by_bitmap, by_path, names=("bitmap", "path"))
 
 
+@query
+def box_search(spark, sf_dir):
+    """P10 / F8 for a table of boxes over several ranges, with masks of every kind."""
+    inp = Inputs(spark, sf_dir)
+    return maps_by_box(inp.f_trs, inp.f_box)
+
+
+@query
+def box_equivalence(spark, sf_dir):
+    """J12 / U3 per box: maps found by bitmap, by path (maps filed under a whole section
+    count there) and by both."""
+    inp = Inputs(spark, sf_dir)
+    return compare_by_box(inp.f_box, maps_by_box(inp.f_trs, inp.f_box), maps_by_box_paths(path_index(inp.f_trs), inp.f_box))
+
+
 def _specs(inp):
     """One path spec per (township, range) present in the trs table, using every
     spec form; some carry an impossible section and are rejected whole."""
@@ -74,7 +89,7 @@ def _specs(inp):
     pairs = inp.f_trs.select("tshp", "rng").distinct()
     root = F.concat(township_str("tshp"), F.lit("."), range_str("rng"), F.lit("."))
     spec = F.concat(root, F.lit("[1-3,11] "), root, F.lit("7.[A-C,P] "), root, F.lit("12.KLOP "), root,
-                    F.lit("20 "), root, F.lit("[36-34]"),
+                    F.lit("20 "), root, F.lit("[36-34,007-8]"),
                     F.when((F.col("tshp") + F.col("rng")) % 7 == 0, F.concat(F.lit(" "), root, F.lit("40")))
                     .otherwise(F.lit("")))
     return pairs.select(spec.alias("spec"))

@@ -194,6 +194,22 @@ FROM (SELECT id, CAST(floor(id / 7) % 6 AS INT) AS kind FROM {f_legacy_map} WHER
 SELECT id, CASE WHEN id % 2 = 0 THEN '<TRS><ID>-' || CAST(id AS STRING) || '</ID><TOWNSHIP>05N</TOWNSHIP><RANGE>1W</RANGE></TRS>'
     ELSE '<TRS><ID>x' || CAST(id AS STRING) || '</ID><TOWNSHIP>05N</TOWNSHIP><RANGE>1W</RANGE><SECTION>,1,</SECTION></TRS>' END AS xml
 FROM {f_legacy_map} WHERE id % 11 = 5
+""",
+    # Query boxes: one section in every range of a township, with masks of several kinds;
+    # some boxes lie where no map is.
+    "f_box": """
+SELECT DISTINCT 'B' || CAST(tshp AS STRING) || '/' || CAST(sec AS STRING) AS box_id, CAST(tshp + CASE WHEN sec = 36 THEN 40 ELSE 0 END AS INT) AS tshp, rng, sec,
+  CASE CAST((sec + rng + 3) % 5 AS INT) WHEN 0 THEN 65535 WHEN 1 THEN 52428 WHEN 2 THEN 13107 WHEN 3 THEN 204 ELSE 32768 END AS mask
+FROM {f_trs}
+""",
+    # Maps whose page ranges run into the next ones of their book.
+    "f_long_map": """
+SELECT id, abbrev, book, page, CAST(npages + CASE WHEN id % 19 = 0 THEN 11 WHEN id % 23 = 0 THEN 0 - npages ELSE 0 END AS INT) AS npages FROM {f_map}
+""",
+    # Certificate rows that cannot be read: an unknown map type, a number of no kind.
+    "f_cc_odd": """
+SELECT CASE WHEN src_id % 12 = 0 THEN 'Misc Map' ELSE maptype END AS maptype, book, page, recdate, surveyor,
+  CASE WHEN src_id % 10 = 0 THEN 'no ' || CAST(src_id AS STRING) ELSE doc_number END AS doc_number, npages, src_id FROM {f_cc}
 """,
     # Section codes of the legacy list.
     "f_section_code": """
