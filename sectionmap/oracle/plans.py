@@ -98,19 +98,31 @@ d AS (SELECT docs.*, n.n_images, CASE WHEN n.n_images IS NULL THEN 'missing_cc'
 pg AS (SELECT map, 0 AS part, CAST(NULL AS VARCHAR) AS doc, file FROM imgs WHERE map IS NOT NULL
        UNION ALL SELECT d.map, 1, d.doc, ccf.file FROM d JOIN ccf ON ccf.doc = d.doc WHERE d.issue IS NULL)"""
 
-CHECKS = duckdb_with("f_legacy_map", "f_sheet", "f_pm", "f_tract", "f_cc", "f_cc_file", "f_alias", "f_trs") + ",\n" \
-    + maptype_values() + ",\n" + MAPS + ",\n" + CC + ",\n" + SURV + """
+_CHECK_TABLES = duckdb_with("f_legacy_map", "f_sheet", "f_pm", "f_tract", "f_cc", "f_cc_file", "f_alias", "f_trs") + ",\n" \
+    + maptype_values() + ",\n" + MAPS + ",\n" + CC + ",\n" + SURV
+
+
+def _checks(maps: str, surveyor: str, signed_by: str, cc: str) -> str:
+    return f"""
 SELECT 'unknown_maptype' AS "check", count(*) AS violations FROM f_legacy_map WHERE maptype IS NOT NULL AND maptype NOT IN (SELECT maptype FROM maptype)
-UNION ALL SELECT 'map_pk', count(*) FROM (SELECT id FROM maps GROUP BY id HAVING count(*) > 1)
-UNION ALL SELECT 'surveyor_fullname_unique', count(*) FROM (SELECT fullname FROM surveyor GROUP BY fullname HAVING count(*) > 1)
+UNION ALL SELECT 'map_pk', count(*) FROM (SELECT id FROM {maps} GROUP BY id HAVING count(*) > 1)
+UNION ALL SELECT 'surveyor_fullname_unique', count(*) FROM (SELECT fullname FROM {surveyor} GROUP BY fullname HAVING count(*) > 1)
 UNION ALL SELECT 'alias_unique', count(*) FROM (SELECT legacy_name FROM f_alias GROUP BY legacy_name HAVING count(*) > 1)
-UNION ALL SELECT 'alias_fk_surveyor', count(*) FROM f_alias WHERE fullname IS NOT NULL AND fullname NOT IN (SELECT fullname FROM surveyor)
-UNION ALL SELECT 'signed_by_pk', count(*) FROM (SELECT map_id, surveyor_id FROM signed_by GROUP BY ALL HAVING count(*) > 1)
-UNION ALL SELECT 'signed_by_fk_map', count(*) FROM signed_by WHERE map_id NOT IN (SELECT id FROM maps)
-UNION ALL SELECT 'signed_by_fk_surveyor', count(*) FROM signed_by WHERE surveyor_id NOT IN (SELECT id FROM surveyor)
-UNION ALL SELECT 'trs_fk_map', count(*) FROM f_trs WHERE map_id IS NOT NULL AND map_id NOT IN (SELECT id FROM maps)
-UNION ALL SELECT 'cc_fk_map', count(*) FROM cc WHERE map_id IS NOT NULL AND map_id NOT IN (SELECT id FROM maps)
-UNION ALL SELECT 'cc_image_fk_cc', count(*) FROM cc_image WHERE cc_id IS NOT NULL AND cc_id NOT IN (SELECT cc_id FROM cc)"""
+UNION ALL SELECT 'alias_fk_surveyor', count(*) FROM f_alias WHERE fullname IS NOT NULL AND fullname NOT IN (SELECT fullname FROM {surveyor})
+UNION ALL SELECT 'signed_by_pk', count(*) FROM (SELECT map_id, surveyor_id FROM {signed_by} GROUP BY ALL HAVING count(*) > 1)
+UNION ALL SELECT 'signed_by_fk_map', count(*) FROM {signed_by} WHERE map_id NOT IN (SELECT id FROM {maps})
+UNION ALL SELECT 'signed_by_fk_surveyor', count(*) FROM {signed_by} WHERE surveyor_id NOT IN (SELECT id FROM {surveyor})
+UNION ALL SELECT 'trs_fk_map', count(*) FROM f_trs WHERE map_id IS NOT NULL AND map_id NOT IN (SELECT id FROM {maps})
+UNION ALL SELECT 'cc_fk_map', count(*) FROM {cc} WHERE map_id IS NOT NULL AND map_id NOT IN (SELECT id FROM {maps})
+UNION ALL SELECT 'cc_image_fk_cc', count(*) FROM cc_image WHERE cc_id IS NOT NULL AND cc_id NOT IN (SELECT cc_id FROM {cc})"""
+
+
+CHECKS = _CHECK_TABLES + _checks("maps", "surveyor", "signed_by", "cc")
+BROKEN = _CHECK_TABLES + """,
+maps2 AS (SELECT * FROM (SELECT * FROM maps UNION ALL SELECT * FROM maps WHERE id % 101 = 0) x WHERE id % 103 <> 0),
+surveyor2 AS (SELECT * FROM surveyor WHERE id % 29 <> 0 UNION ALL SELECT * FROM surveyor WHERE id % 31 = 0),
+signed2 AS (SELECT * FROM signed_by UNION ALL SELECT * FROM signed_by WHERE map_id % 53 = 0),
+cc2 AS (SELECT * FROM cc WHERE cc_id % 17 <> 0)""" + _checks("maps2", "surveyor2", "signed2", "cc2")
 
 SQL = {
     "expanded_specs": duckdb_with("f_trs") + ",\n" + SPECS + "\nSELECT spec, elem, path, valid, spec_ok FROM ex",
@@ -146,4 +158,5 @@ FROM al""",
 SELECT map, doc, doc_number, issue FROM d WHERE issue IS NOT NULL
 UNION ALL SELECT map, doc, doc_number, CASE WHEN unknown THEN 'unknown_maptype' ELSE 'bad_doc_number' END FROM docs1 WHERE unknown OR doc IS NULL""",
     "constraint_checks": CHECKS,
+    "broken_checks": BROKEN,
 }

@@ -58,3 +58,15 @@ def build_maps(legacy_map: DataFrame, sheet: DataFrame, pm: DataFrame, tract: Da
         "id", "maptype_id", "book", "page", "npages", "recdate",
         F.when(F.col("suffix").isNull(), F.col("client")).otherwise(F.concat("client", "suffix")).alias("client"),
         full_township("description").alias("description"), "note")
+
+
+def type_totals(legacy_map: DataFrame, sheet: DataFrame, maptype: DataFrame) -> DataFrame:
+    """Q8: maps per type and in all, counted from the type column of the inputs: the map
+    table holds every legacy row and the workbook rows of a known type."""
+    known = maptype.select(F.col("maptype").alias("_t"))
+    rows = legacy_map.select("maptype", F.lit(True).alias("_legacy")).unionByName(sheet.select("maptype", F.lit(False).alias("_legacy")))
+    n = rows.groupBy("maptype").agg(F.count(F.lit(1)).alias("_n"), F.count(F.when(F.col("_legacy"), 1)).alias("_n_legacy"))
+    n = n.join(known, n["maptype"] == known["_t"], "full_outer")
+    per = n.where("_t IS NOT NULL").select(F.col("_t").alias("maptype"), F.coalesce("_n", F.lit(0)).alias("maps"))
+    total = n.agg(F.coalesce(F.sum(F.when(F.col("_t").isNull(), F.col("_n_legacy")).otherwise(F.coalesce("_n", F.lit(0)))), F.lit(0)).alias("maps"))
+    return per.unionByName(total.select(F.lit("Total Maps").alias("maptype"), "maps"))

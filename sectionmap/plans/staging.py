@@ -70,16 +70,16 @@ class Staging:
 
     @cached_property
     def surveyors(self) -> DataFrame:
-        return SV.build_surveyors(self.inp.f_alias)
+        return staged(SV.build_surveyors(self.inp.f_alias), "surveyor")
 
     @cached_property
     def signed_by(self) -> DataFrame:
         i = self.inp
-        return SV.signed_by(i.f_legacy_map, i.f_sheet, self.maps, self.maptype, i.f_alias, self.surveyors)
+        return staged(SV.signed_by(i.f_legacy_map, i.f_sheet, self.maps, self.maptype, i.f_alias, self.surveyors), "signed_by")
 
     @cached_property
     def cc(self) -> DataFrame:
-        return CC.link_cc_documents(self.inp.f_cc, self.maps, self.maptype)
+        return staged(CC.link_cc_documents(self.inp.f_cc, self.maps, self.maptype), "cc")
 
     @cached_property
     def cc_images(self) -> DataFrame:

@@ -232,10 +232,7 @@ def name_cleanup(spark, sf_dir):
 @query
 def map_totals(spark, sf_dir):
     st = Staging(spark, sf_dir)
-    per = st.maptype.join(st.maps, st.maps["maptype_id"] == st.maptype["id"], "left").groupBy(
-        st.maptype["id"], st.maptype["maptype"]).agg(F.count(st.maps["id"]).alias("maps"))
-    total = st.maps.agg(F.count(F.lit(1)).alias("maps")).select(F.lit("Total Maps").alias("maptype"), "maps")
-    return per.select("maptype", "maps").unionByName(total)
+    return MP.type_totals(st.inp.f_legacy_map, st.inp.f_sheet, st.maptype)
 
 
 @query

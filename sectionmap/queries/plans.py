@@ -53,3 +53,15 @@ def constraint_checks(spark, sf_dir):
     st = Staging(spark, sf_dir)
     return CK.constraint_checks(st.inp.f_legacy_map, st.maptype, st.maps, st.surveyors, st.inp.f_alias,
                                 st.signed_by, st.inp.f_trs, st.cc, st.cc_images)
+
+
+@query
+def broken_checks(spark, sf_dir):
+    """Every rule on tables with rows that break it: repeated keys, references to nothing."""
+    st = Staging(spark, sf_dir)
+    maps, surveyors, signed, alias = st.maps, st.surveyors, st.signed_by, st.inp.f_alias
+    maps = maps.unionByName(maps.where("id % 101 = 0")).where("id % 103 <> 0")
+    surveyors = surveyors.where("id % 29 <> 0").unionByName(surveyors.where("id % 31 = 0"))
+    signed = signed.unionByName(signed.where("map_id % 53 = 0"))
+    cc = st.cc.where("cc_id % 17 <> 0")
+    return CK.constraint_checks(st.inp.f_legacy_map, st.maptype, maps, surveyors, alias, signed, st.inp.f_trs, cc, st.cc_images)
