@@ -113,3 +113,16 @@ OPTIONAL_END = ("p", "li", "dt", "dd", "option", "thead", "tbody", "tfoot", "tr"
 # Heading of a map record ("3 Parcel Map 120-121") and labels of its paragraphs.
 HEADING = r"^(\d+)\s+(.*)\s+(\d+)(?:\D(\d+))?"
 LABEL = r".+?: "
+
+# Parts of file names, read from the last folder on.
+BOOK_PART = r".*/(\d{3,})"
+PAGE_PART = r".*/\d{3,}..(\d{3,})"
+ABBREV_PART = r".*/\d{3,}(..)"
+IMAGE_PART = r".*-(\d{3,})"
+MAP_PART = r"^(\d{3,}\D{2}\d{3,})"
+CC_FILE = r"^\d{4}-(or|doc)-\d{6,}-\d{3,}\.tif\z"
+
+# A workbook's location text and the parser's qualifier and section split.
+SHEET_TRS = r"(.* )?S(\d+) T?(\d+[NS]) R?(\d+[EW])"
+QUALIFIER = r"^(\d+[NS]).*(\d+[EW])\z"          # case sensitive, greedy
+SECTION_SPLIT = r"^(.*[24])\s*(S\d+)\z"          # case sensitive

@@ -12,5 +12,5 @@ from sectionmap.functions.subsec import (  # noqa: F401
 from sectionmap.functions.names import (  # noqa: F401
     map_name, cc_doc_number, cc_doc_basename, surveyor_display,
     surveyor_display_ws, full_township, number_suffix, number_from_client,
-    tract_from_client, image_path,
+    tract_from_client,
 )

@@ -11,3 +11,9 @@ def col(c) -> Column:
 def group(s: Column, pattern: str, idx: int) -> Column:
     """First match group, NULL (not '') when the pattern does not match."""
     return F.nullif(F.regexp_extract(s, pattern, idx), F.lit(""))
+
+
+def pad(number, width: int = 3) -> Column:
+    """A number as text of ``width`` digits or more: zeros in front, nothing cut."""
+    text = col(number).cast("string")
+    return F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0"))

@@ -6,22 +6,13 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from sectionmap import constants as K
-from sectionmap.functions._util import col
+from sectionmap.functions._util import col, pad
 
 
 def map_name(book, abbrev, page) -> Column:
-    """'073pm123': 3-digit book, lower-case type abbreviation, 3-digit page
-    (lpad truncates longer numbers, as the database does)."""
-    return F.concat(F.lpad(col(book).cast("string"), 3, "0"), F.lower(col(abbrev)),
-                    F.lpad(col(page).cast("string"), 3, "0"))
-
-
-def image_path(kind: str, abbrev, book, page, image, ext: str = "jpg") -> Column:
-    """'/map/pm/073/073pm123-002.jpg' for image ``image`` of a map."""
-    b = F.lpad(col(book).cast("string"), 3, "0")
-    return F.concat(F.lit(f"/{kind}/"), F.lower(col(abbrev)), F.lit("/"), b, F.lit("/"),
-                    map_name(book, abbrev, page), F.lit("-"),
-                    F.lpad(col(image).cast("string"), 3, "0"), F.lit(f".{ext}"))
+    """'073pm123': book, lower-case type abbreviation and page, both of 3 digits or
+    more (the database's lpad cuts longer numbers, so that books share names)."""
+    return F.concat(pad(book), F.lower(col(abbrev)), pad(page))
 
 
 def _strip_zeros(c: Column) -> Column:
@@ -48,7 +39,7 @@ def cc_doc_basename(doc_number) -> Column:
     d = col(doc_number)
     old = r"^(\d+) OR (\d+)\z"
     new = r"^(\d{4})-(\d+)-\d+\z"
-    fmt = lambda a, kind, b: F.concat(F.lpad(a, 4, "0"), F.lit(f"-{kind}-"), F.lpad(b, 6, "0"))
+    fmt = lambda a, kind, b: F.concat(pad(a, 4), F.lit(f"-{kind}-"), pad(b, 6))
     num = lambda pat, i: F.regexp_extract(d, pat, i).try_cast("bigint").cast("string")
     return (F.when(d.rlike(old), fmt(num(old, 1), "or", num(old, 2)))
             .when(d.rlike(new), fmt(num(new, 1), "doc", num(new, 2))))

@@ -66,7 +66,7 @@ SELECT part, {subsec_bits_sql('part')} AS bits, count(*) AS n FROM parts GROUP B
 SELECT subsec, array_to_string({cover_sql('subsec')}, ', ') AS cover, count(*) AS n
 FROM f_trs WHERE subsec IS NOT NULL GROUP BY subsec""",
     "map_names": duckdb_with("f_map") + ", " + maptype_values() + """
-SELECT m.id, lpad(CAST(m.book AS VARCHAR), 3, '0') || lower(t.abbrev) || lpad(CAST(m.page AS VARCHAR), 3, '0') AS map_name
+SELECT m.id, lpad(CAST(m.book AS VARCHAR), CAST(greatest(length(CAST(m.book AS VARCHAR)), 3) AS INTEGER), '0') || lower(t.abbrev) || lpad(CAST(m.page AS VARCHAR), CAST(greatest(length(CAST(m.page AS VARCHAR)), 3) AS INTEGER), '0') AS map_name
 FROM f_map m JOIN maptype t ON m.maptype_id = t.id""",
     "legacy_qq_lists": duckdb_with("f_trs") + f"""
 SELECT subsec, {legacy_list_sql('subsec')} AS qq_list, count(*) AS n

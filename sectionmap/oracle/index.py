@@ -4,7 +4,7 @@ from sectionmap import constants as K
 from sectionmap.oracle.common import duckdb_with, maptype_values, source_values
 
 FT = K.FULL_TOWNSHIP
-BOOK, PAGE, ABBREV, IMAGE = r"'.*/(\d{3})'", r"'.*/\d{3}..(\d{3})'", r"'.*/\d{3}(..)'", r"'.*-(\d{3})'"
+BOOK, PAGE, ABBREV, IMAGE = (f"'{p}'" for p in (K.BOOK_PART, K.PAGE_PART, K.ABBREV_PART, K.IMAGE_PART))
 
 
 def _sfx(sheet: str, kind: str, order: int) -> str:
@@ -67,15 +67,15 @@ WITH_FILES = duckdb_with("f_legacy_map", "f_sheet", "f_pm", "f_tract", "f_file",
 CC = r"""cc AS (
   SELECT CAST(row_number() OVER (ORDER BY c.doc_number) AS INTEGER) AS cc_id, mk.map_id, c.doc_number, c.npages,
     CASE WHEN regexp_matches(c.doc_number, '^(\d+) OR (\d+)\z')
-           THEN lpad(CAST(CAST(regexp_extract(c.doc_number, '^(\d+) OR (\d+)\z', 1) AS BIGINT) AS VARCHAR), 4, '0') || '-or-'
-                || lpad(CAST(CAST(regexp_extract(c.doc_number, '^(\d+) OR (\d+)\z', 2) AS BIGINT) AS VARCHAR), 6, '0')
+           THEN lpad(CAST(CAST(regexp_extract(c.doc_number, '^(\d+) OR (\d+)\z', 1) AS BIGINT) AS VARCHAR), CAST(greatest(length(CAST(CAST(regexp_extract(c.doc_number, '^(\d+) OR (\d+)\z', 1) AS BIGINT) AS VARCHAR)), 4) AS INTEGER), '0') || '-or-'
+                || lpad(CAST(CAST(regexp_extract(c.doc_number, '^(\d+) OR (\d+)\z', 2) AS BIGINT) AS VARCHAR), CAST(greatest(length(CAST(CAST(regexp_extract(c.doc_number, '^(\d+) OR (\d+)\z', 2) AS BIGINT) AS VARCHAR)), 6) AS INTEGER), '0')
          WHEN regexp_matches(c.doc_number, '^(\d{4})-(\d+)-\d+\z')
-           THEN lpad(CAST(CAST(regexp_extract(c.doc_number, '^(\d{4})-(\d+)-\d+\z', 1) AS BIGINT) AS VARCHAR), 4, '0') || '-doc-'
-                || lpad(CAST(CAST(regexp_extract(c.doc_number, '^(\d{4})-(\d+)-\d+\z', 2) AS BIGINT) AS VARCHAR), 6, '0') END AS doc_base
+           THEN lpad(CAST(CAST(regexp_extract(c.doc_number, '^(\d{4})-(\d+)-\d+\z', 1) AS BIGINT) AS VARCHAR), CAST(greatest(length(CAST(CAST(regexp_extract(c.doc_number, '^(\d{4})-(\d+)-\d+\z', 1) AS BIGINT) AS VARCHAR)), 4) AS INTEGER), '0') || '-doc-'
+                || lpad(CAST(CAST(regexp_extract(c.doc_number, '^(\d{4})-(\d+)-\d+\z', 2) AS BIGINT) AS VARCHAR), CAST(greatest(length(CAST(CAST(regexp_extract(c.doc_number, '^(\d{4})-(\d+)-\d+\z', 2) AS BIGINT) AS VARCHAR)), 6) AS INTEGER), '0') END AS doc_base
   FROM f_cc c LEFT JOIN mk ON mk.maptype_name = c.maptype AND mk.book = c.book AND mk.page = c.page AND mk.recdate = c.recdate),
 ccf0 AS (
-  SELECT path, nullif(regexp_extract(path, '.*/(.*)-(\d{3})', 1), '') AS base,
-    TRY_CAST(nullif(regexp_extract(path, '.*/(.*)-(\d{3})', 2), '') AS INTEGER) AS pg,
+  SELECT path, nullif(regexp_extract(path, '.*/(.*)-(\d{3,})', 1), '') AS base,
+    TRY_CAST(nullif(regexp_extract(path, '.*/(.*)-(\d{3,})', 2), '') AS INTEGER) AS pg,
     string_split(path, '/')[-1] AS fname FROM f_cc_file),
 ccf1 AS (SELECT f.*, m.max_page, string_split(regexp_replace(fname, '\.jpg\z', ''), '-') AS parts
          FROM ccf0 f LEFT JOIN (SELECT base, max(pg) AS max_page FROM ccf0 GROUP BY base) m ON m.base = f.base),

@@ -64,7 +64,7 @@ bl AS (
     strftime(recdate, '%Y-%m-%d') AS recdate, client, description, pdf FROM hm
   UNION ALL
   SELECT abbrev, book, page, 1, true, 'Inner Map', 1, 7, 3, '', '2001', '"x"', chr(160), 'in' FROM hm WHERE map_id % 8 = 2)
-SELECT lower(abbrev) || '/' || lpad(CAST(of_book AS VARCHAR), 3, '0') AS page_key,
+SELECT lower(abbrev) || '/' || lpad(CAST(of_book AS VARCHAR), CAST(greatest(length(CAST(of_book AS VARCHAR)), 3) AS INTEGER), '0') AS page_key,
   CAST(row_number() OVER (PARTITION BY abbrev, of_book ORDER BY of_page, inner_no) - 1 AS INTEGER) AS pos,
   CASE WHEN ok THEN maptype END AS maptype, CASE WHEN ok THEN book END AS book, CASE WHEN ok THEN page END AS page,
   CASE WHEN ok THEN npages END AS npages, CASE WHEN ok THEN surveyors END AS surveyors, CASE WHEN ok THEN recdate END AS recdate,
@@ -77,22 +77,22 @@ fr AS (SELECT src_file, frame, width_px, height_px, mode, regexp_extract(src_fil
          regexp_extract(src_file, '^(\\d+)(\\D+)', 2) AS maptype,
          CASE WHEN dpi = 96 THEN {K.DEFAULT_SCAN_DPI} ELSE dpi END AS scan_dpi FROM f_images),
 fp AS (SELECT *, upper(maptype) IN ('PM', 'RM', 'RS') AND least(width_px, height_px) * 100 < scan_dpi * {K.CC_MIN_WIDTH_HUNDREDTHS} AS is_cc,
-         regexp_replace(src_file, '\\.tif\\z', '') || '-' || lpad(CAST(frame AS VARCHAR), 3, '0') || '.tif' AS dest_file FROM fr)"""
+         regexp_replace(src_file, '\\.tif\\z', '') || '-' || lpad(CAST(frame AS VARCHAR), CAST(greatest(length(CAST(frame AS VARCHAR)), 3) AS INTEGER), '0') || '.tif' AS dest_file FROM fr)"""
 
 MANIFEST = duckdb_with("f_map", "f_file", "f_cc_odd", "f_cc_file") + ",\n" + maptype_values() + r""",
-imgs AS (SELECT nullif(regexp_extract(string_split(path, '/')[-1], '^(\d{3}\D{2}\d{3})', 1), '') AS map, path AS file FROM f_file),
-docs0 AS (SELECT lpad(CAST(c.book AS VARCHAR), 3, '0') || lower(t.abbrev) || lpad(CAST(c.page AS VARCHAR), 3, '0') AS map, c.doc_number, c.npages, t.abbrev IS NULL AS unknown
+imgs AS (SELECT nullif(regexp_extract(string_split(path, '/')[-1], '""" + K.MAP_PART + r"""', 1), '') AS map, path AS file FROM f_file),
+docs0 AS (SELECT lpad(CAST(c.book AS VARCHAR), CAST(greatest(length(CAST(c.book AS VARCHAR)), 3) AS INTEGER), '0') || lower(t.abbrev) || lpad(CAST(c.page AS VARCHAR), CAST(greatest(length(CAST(c.page AS VARCHAR)), 3) AS INTEGER), '0') AS map, c.doc_number, c.npages, t.abbrev IS NULL AS unknown
           FROM f_cc_odd c LEFT JOIN maptype t ON t.maptype = c.maptype),
 docs1 AS (SELECT map, npages, doc_number, unknown,
     CASE WHEN regexp_matches(doc_number, '^(\d+) OR (\d+)\z')
-           THEN lpad(CAST(CAST(regexp_extract(doc_number, '^(\d+) OR (\d+)\z', 1) AS BIGINT) AS VARCHAR), 4, '0') || '-or-'
-                || lpad(CAST(CAST(regexp_extract(doc_number, '^(\d+) OR (\d+)\z', 2) AS BIGINT) AS VARCHAR), 6, '0')
+           THEN lpad(CAST(CAST(regexp_extract(doc_number, '^(\d+) OR (\d+)\z', 1) AS BIGINT) AS VARCHAR), CAST(greatest(length(CAST(CAST(regexp_extract(doc_number, '^(\d+) OR (\d+)\z', 1) AS BIGINT) AS VARCHAR)), 4) AS INTEGER), '0') || '-or-'
+                || lpad(CAST(CAST(regexp_extract(doc_number, '^(\d+) OR (\d+)\z', 2) AS BIGINT) AS VARCHAR), CAST(greatest(length(CAST(CAST(regexp_extract(doc_number, '^(\d+) OR (\d+)\z', 2) AS BIGINT) AS VARCHAR)), 6) AS INTEGER), '0')
          WHEN regexp_matches(doc_number, '^(\d{4})-(\d+)-\d+\z')
-           THEN lpad(CAST(CAST(regexp_extract(doc_number, '^(\d{4})-(\d+)-\d+\z', 1) AS BIGINT) AS VARCHAR), 4, '0') || '-doc-'
-                || lpad(CAST(CAST(regexp_extract(doc_number, '^(\d{4})-(\d+)-\d+\z', 2) AS BIGINT) AS VARCHAR), 6, '0') END AS doc
+           THEN lpad(CAST(CAST(regexp_extract(doc_number, '^(\d{4})-(\d+)-\d+\z', 1) AS BIGINT) AS VARCHAR), CAST(greatest(length(CAST(CAST(regexp_extract(doc_number, '^(\d{4})-(\d+)-\d+\z', 1) AS BIGINT) AS VARCHAR)), 4) AS INTEGER), '0') || '-doc-'
+                || lpad(CAST(CAST(regexp_extract(doc_number, '^(\d{4})-(\d+)-\d+\z', 2) AS BIGINT) AS VARCHAR), CAST(greatest(length(CAST(CAST(regexp_extract(doc_number, '^(\d{4})-(\d+)-\d+\z', 2) AS BIGINT) AS VARCHAR)), 6) AS INTEGER), '0') END AS doc
   FROM docs0),
 docs AS (SELECT * FROM docs1 WHERE NOT unknown AND doc IS NOT NULL AND upper(substr(map, 4, 2)) IN ('PM', 'RM', 'RS') AND map IN (SELECT map FROM imgs WHERE map IS NOT NULL)),
-ccf AS (SELECT nullif(regexp_extract(string_split(path, '/')[-1], '^(.*)-\d{3}\.jpg\z', 1), '') AS doc, '/' || path AS file FROM f_cc_file),
+ccf AS (SELECT nullif(regexp_extract(string_split(path, '/')[-1], '^(.*)-\d{3,}\.jpg\z', 1), '') AS doc, '/' || path AS file FROM f_cc_file),
 d AS (SELECT docs.*, n.n_images, CASE WHEN n.n_images IS NULL THEN 'missing_cc' WHEN n.n_images <> docs.npages THEN 'bad_cc_pages' END AS issue
       FROM docs LEFT JOIN (SELECT doc, count(*) AS n_images FROM ccf GROUP BY doc) n ON n.doc = docs.doc),
 pg AS (SELECT map, 0 AS part, CAST(NULL AS VARCHAR) AS doc, file FROM imgs WHERE map IS NOT NULL
@@ -142,7 +142,7 @@ SELECT src_file, frame, scan_dpi, CAST((width_px * 100) // scan_dpi AS BIGINT) A
   CAST((height_px * 100) // scan_dpi AS BIGINT) AS height_in_x100,
   is_cc, CASE WHEN is_cc THEN 'cc' ELSE maptype || '/' || book END AS dest_dir, dest_file,
   CASE WHEN mode = 'P' THEN 'RGB' ELSE mode END AS mode,
-  regexp_replace(src_file, '^.*(\\d{3})(\\D{2})(\\d{3}).*$', '\\2\\1\\3') AS sort_key FROM fp""",
+  regexp_replace(src_file, '^\\D*(\\d{3,})(\\D{2})(\\d{3,}).*$', '\\2\\1\\3') AS sort_key FROM fp""",
     "resize_plan": FRAMES + f""",
 al AS (SELECT dest_file, is_cc, scan_dpi, width_px, height_px, mode, maptype, book FROM fp
   UNION ALL SELECT lower(src_file), true, dpi, width_px, height_px, mode, NULL, NULL FROM f_cc_scan)
@@ -151,7 +151,7 @@ SELECT dest_file, least({K.MAP_DPI}, scan_dpi) AS map_dpi,
   CAST(round_even(height_px * least({K.MAP_DPI}, scan_dpi) / scan_dpi, 0) AS INTEGER) AS height_out,
   CASE WHEN mode = 'P' THEN 'RGB' WHEN mode = '1' THEN 'L' ELSE mode END AS mode,
   CASE WHEN is_cc THEN 'map/cc' ELSE 'map/' || maptype || '/' || book END || '/' || regexp_replace(dest_file, '\\.tif\\z', '.jpg') AS target,
-  CASE WHEN is_cc AND NOT regexp_matches(dest_file, '^\\d{{4}}-(or|doc)-\\d{{6}}-\\d{{3}}\\.tif\\z') THEN 'bad_cc_name' ELSE 'convert' END AS status
+  CASE WHEN is_cc AND NOT regexp_matches(dest_file, '^\\d{{4}}-(or|doc)-\\d{{6,}}-\\d{{3,}}\\.tif\\z') THEN 'bad_cc_name' ELSE 'convert' END AS status
 FROM al""",
     "pdf_manifest": MANIFEST + "\nSELECT map, CAST(row_number() OVER (PARTITION BY map ORDER BY part, doc DESC, file) AS INTEGER) AS seq, file FROM pg",
     "pdf_manifest_issues": MANIFEST + """

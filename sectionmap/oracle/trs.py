@@ -44,7 +44,7 @@ def rollup(src: str, sources: str, unknown: bool = False) -> str:
 FROM (SELECT DISTINCT map_id, tshp, rng, sec FROM {src} WHERE source_id IN ({sources})) GROUP BY map_id, tshp, rng"""
 
 
-SHEET_TRS = r"(.* )?S(\d+) T?(\d+[NS]) R?(\d+[EW])"
+SHEET_TRS = K.SHEET_TRS
 SHEET = f"""sp AS (SELECT maptype, book, page, unnest(regexp_split_to_array(trs, ',\\s*')) AS part FROM f_sheet),
 s4 AS (
   SELECT mk.map_id, {tnum(f"regexp_extract(part, '{SHEET_TRS}', 3)")} AS tshp, {rnum(f"regexp_extract(part, '{SHEET_TRS}', 4)")} AS rng,

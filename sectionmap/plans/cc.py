@@ -31,8 +31,8 @@ def cc_image_files(listing: DataFrame) -> DataFrame:
     not a per-name buffer.  The stored file name gets its leading '/'.
     """
     p = F.col("path")
-    f = listing.select(p, group(p, r".*/(.*)-(\d{3})", 1).alias("base"),
-                       group(p, r".*/(.*)-(\d{3})", 2).try_cast("int").alias("_pg"),
+    f = listing.select(p, group(p, r".*/(.*)-(\d{3,})", 1).alias("base"),
+                       group(p, r".*/(.*)-(\d{3,})", 2).try_cast("int").alias("_pg"),
                        F.element_at(F.split(p, "/"), -1).alias("fname"))
     mx = f.groupBy("base").agg(F.max("_pg").alias("max_page"))
     f = f.join(mx, "base", "left")

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from sectionmap.constants import HEADING, LABEL
-from sectionmap.functions._util import group
+from sectionmap.functions._util import group, pad
 from sectionmap.functions.markup import decode_entities, escape_entities
 from sectionmap.operators.blocks import attribute, block_tags, blocks, has_class, tag_rows
 from sectionmap.plans.files import map_keys
@@ -53,7 +53,7 @@ def listing_pages(maps: DataFrame, maptype: DataFrame, signatures_text: DataFram
     listed = m.select("abbrev", "book", "page", block.alias("block"))
     pages = listed.groupBy("abbrev", "book").agg(
         F.expr("listagg(block, '\n') WITHIN GROUP (ORDER BY page)").alias("body"))
-    return pages.select(F.concat(F.lower("abbrev"), F.lit("/"), F.lpad(F.col("book").cast("string"), 3, "0")).alias("page_key"),
+    return pages.select(F.concat(F.lower("abbrev"), F.lit("/"), pad("book")).alias("page_key"),
                         F.concat(F.lit('<html><body class="hmps-map-list"></div>'), F.col("body"), F.lit("</body></html>")).alias("html"))
 
 

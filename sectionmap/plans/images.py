@@ -8,11 +8,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from sectionmap import constants as K
 from sectionmap.functions import cc_doc_basename, map_name
-from sectionmap.functions._util import group
+from sectionmap.functions._util import group, pad
 from sectionmap.operators.ordered import running
 
-CC_FILE = r"^\d{4}-(or|doc)-\d{6}-\d{3}\.tif\z"
-
 
 def frame_plan(frames: DataFrame) -> DataFrame:
     """Per scanned frame the effective dpi (an unset 96 dpi header means
@@ -26,7 +24,7 @@ def frame_plan(frames: DataFrame) -> DataFrame:
     is_cc = (F.upper("maptype").isin(*K.RECORDED_TYPES)
              & (F.least("width_px", "height_px") * 100 < F.col("scan_dpi") * K.CC_MIN_WIDTH_HUNDREDTHS))
     dest = F.concat(F.regexp_replace("src_file", r"\.tif\z", ""), F.lit("-"),
-                    F.lpad(F.col("frame").cast("string"), 3, "0"), F.lit(".tif"))
+                    pad("frame"), F.lit(".tif"))
     return f.select(
         "src_file", "frame", "scan_dpi",
         F.expr("(width_px * 100) div scan_dpi").alias("width_in_x100"),
@@ -35,7 +33,7 @@ def frame_plan(frames: DataFrame) -> DataFrame:
         F.when(is_cc, F.lit("cc")).otherwise(F.concat("maptype", F.lit("/"), "book")).alias("dest_dir"),
         dest.alias("dest_file"), F.when(F.col("mode") == "P", "RGB").otherwise(F.col("mode")).alias("mode"),
         # O3: frames are processed in (type, book, page) order of their names.
-        F.regexp_replace("src_file", r"^.*(\d{3})(\D{2})(\d{3}).*$", "$2$1$3").alias("sort_key"),
+        F.regexp_replace("src_file", r"^\D*(\d{3,})(\D{2})(\d{3,}).*$", "$2$1$3").alias("sort_key"),
         "width_px", "height_px")
 
 
@@ -56,7 +54,7 @@ def resize_plan(plan: DataFrame) -> DataFrame:
 
     mode = F.when(F.col("mode") == "P", "RGB").when(F.col("mode") == "1", "L").otherwise(F.col("mode"))
     jpg = F.regexp_replace("dest_file", r"\.tif\z", ".jpg")
-    status = F.when(F.col("is_cc") & ~F.col("dest_file").rlike(CC_FILE), "bad_cc_name").otherwise("convert")
+    status = F.when(F.col("is_cc") & ~F.col("dest_file").rlike(K.CC_FILE), "bad_cc_name").otherwise("convert")
     return plan.select(
         "dest_file", map_dpi.alias("map_dpi"), size("width_px").alias("width_out"),
         size("height_px").alias("height_out"), mode.alias("mode"),
@@ -82,7 +80,7 @@ def pdf_manifest(images: DataFrame, cc_sheet: DataFrame, cc_files: DataFrame, ma
     differs from the workbook page count).  Only documents whose page count matches are appended.
     """
     base = F.element_at(F.split("path", "/"), -1)
-    imgs = images.select(group(base, r"^(\d{3}\D{2}\d{3})", 1).alias("map"), F.col("path").alias("file"))
+    imgs = images.select(group(base, K.MAP_PART, 1).alias("map"), F.col("path").alias("file"))
     imgs = imgs.filter(F.col("map").isNotNull())
     rows = _cc_docs(cc_sheet, maptype)
     unread = rows.where(F.col("_unknown") | F.col("doc").isNull()).select(
@@ -90,7 +88,7 @@ def pdf_manifest(images: DataFrame, cc_sheet: DataFrame, cc_files: DataFrame, ma
     docs = rows.where(~F.col("_unknown") & F.col("doc").isNotNull()).filter(F.upper(F.substring("map", 4, 2)).isin(*K.RECORDED_TYPES))
     docs = docs.join(imgs.select("map").distinct(), "map", "left_semi")
     fname = F.element_at(F.split("path", "/"), -1)
-    ccf = cc_files.select(group(fname, r"^(.*)-\d{3}\.jpg\z", 1).alias("doc"), F.concat(F.lit("/"), "path").alias("file"))
+    ccf = cc_files.select(group(fname, r"^(.*)-\d{3,}\.jpg\z", 1).alias("doc"), F.concat(F.lit("/"), "path").alias("file"))
     n = ccf.groupBy("doc").agg(F.count(F.lit(1)).alias("n_images"))
     d = docs.join(n, "doc", "left")
     issue = (F.when(F.col("n_images").isNull(), "missing_cc")

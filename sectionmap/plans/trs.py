@@ -18,7 +18,7 @@ TRS_COLUMNS = ["map_id", "tshp", "rng", "sec", "subsec", "source_id"]
 # The 11 fixed child tags of a legacy map record (lower case).
 FIXED_TAGS = ("id", "maptype", "book", "firstpage", "lastpage", "recdate",
               "surveyor", "donefor", "descrip", "picture", "comment")
-SHEET_TRS = r"(.* )?S(\d+) T?(\d+[NS]) R?(\d+[EW])"
+SHEET_TRS = K.SHEET_TRS
 
 
 def qq_columns(wide: DataFrame) -> list[str]:

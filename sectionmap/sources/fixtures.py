@@ -22,7 +22,8 @@ _ABBREV = ("CASE CAST({k} % 7 AS INT) WHEN 0 THEN 'CR' WHEN 1 THEN 'HM' WHEN 2 T
 _TYPENAME = ("CASE {a} WHEN 'CR' THEN 'Corner Record' WHEN 'HM' THEN 'Highway Map' "
              "WHEN 'MM' THEN 'Monument Map' WHEN 'PM' THEN 'Parcel Map' WHEN 'RM' THEN 'Record Map' "
              "WHEN 'RS' THEN 'Survey' ELSE 'Unrecorded Map' END")
-_MAPNAME = "lpad(CAST({b} AS STRING), 3, '0') || lower({a}) || lpad(CAST({p} AS STRING), 3, '0')"
+# Padded, never cut.
+_MAPNAME = "lpad(CAST({b} AS STRING), CAST(greatest(length(CAST({b} AS STRING)), 3) AS INT), '0') || lower({a}) || lpad(CAST({p} AS STRING), CAST(greatest(length(CAST({p} AS STRING)), 3) AS INT), '0')"
 
 
 # One pass over orders with the columns of f_map, f_signed (surveyor) and
@@ -133,12 +134,12 @@ SELECT 'Record Map' AS maptype, book, page + CASE WHEN id % 4 = 0 THEN 0 ELSE 50
 """,
     # PDF listing: one file per order; a third carry a page that no map has.
     "f_pdf": f"""
-SELECT '/pdf/' || lower(abbrev) || '/' || lpad(CAST(book AS STRING), 3, '0') || '/' || {_MAPNAME.format(a='abbrev', b='book', p='page + CASE WHEN id % 3 = 0 THEN 500 ELSE 0 END')} || '.pdf' AS path
+SELECT '/pdf/' || lower(abbrev) || '/' || lpad(CAST(book AS STRING), CAST(greatest(length(CAST(book AS STRING)), 3) AS INT), '0') || '/' || {_MAPNAME.format(a='abbrev', b='book', p='page + CASE WHEN id % 3 = 0 THEN 500 ELSE 0 END')} || '.pdf' AS path
 FROM {{f_map}}
 """,
     # Scan listing: page scans of every order; four fifths carry a page that no map has.
     "f_scan": f"""
-SELECT '/scan/' || lower(abbrev) || '/' || lpad(CAST(book AS STRING), 3, '0') || '/' || {_MAPNAME.format(a='abbrev', b='book', p='page + CASE WHEN id % 5 = 0 THEN 0 ELSE 500 END')} || '-' || lpad(CAST(p AS STRING), 3, '0') || '.tif' AS path
+SELECT '/scan/' || lower(abbrev) || '/' || lpad(CAST(book AS STRING), CAST(greatest(length(CAST(book AS STRING)), 3) AS INT), '0') || '/' || {_MAPNAME.format(a='abbrev', b='book', p='page + CASE WHEN id % 5 = 0 THEN 0 ELSE 500 END')} || '-' || lpad(CAST(p AS STRING), CAST(greatest(length(CAST(p AS STRING)), 3) AS INT), '0') || '.tif' AS path
 FROM (SELECT *, explode(sequence(1, npages)) AS p FROM {{f_map}}) x
 """,
     # Certificate-of-correction workbook: one cc for each of the
@@ -155,23 +156,23 @@ FROM {{f_map}} WHERE abbrev IN ('PM', 'RM', 'RS')
     # document has for some, one page too many for others.
     "f_cc_file": """
 SELECT 'map/cc/' || CAST(year(recdate) + CASE WHEN src_id % 9 = 0 THEN 100 ELSE 0 END AS STRING) || CASE WHEN src_id % 4 = 0 THEN '-or-' ELSE '-doc-' END
-  || lpad(CAST(src_id AS STRING), 6, '0') || '-' || lpad(CAST(p AS STRING), 3, '0') || '.jpg' AS path
+  || lpad(CAST(src_id AS STRING), CAST(greatest(length(CAST(src_id AS STRING)), 6) AS INT), '0') || '-' || lpad(CAST(p AS STRING), CAST(greatest(length(CAST(p AS STRING)), 3) AS INT), '0') || '.jpg' AS path
 FROM (SELECT *, explode(sequence(1, npages + CASE WHEN src_id % 5 = 0 THEN 1 ELSE 0 END)) AS p FROM {f_cc}) x
 """,
     # Object store as it is now, read against the loaded tables: page images and
     # one PDF of every map under its own name; some first pages are numbered
     # wrongly (no run) and some PDFs carry a page that no map has.
     "f_object": f"""
-SELECT '/map/' || lower(abbrev) || '/' || lpad(CAST(book AS STRING), 3, '0') || '/' || {_MAPNAME.format(a='abbrev', b='book', p='page')} || '-' || lpad(CAST(p + CASE WHEN id % 17 = 0 AND p = 1 THEN 900 ELSE 0 END AS STRING), 3, '0') || '.jpg' AS path
+SELECT '/map/' || lower(abbrev) || '/' || lpad(CAST(book AS STRING), CAST(greatest(length(CAST(book AS STRING)), 3) AS INT), '0') || '/' || {_MAPNAME.format(a='abbrev', b='book', p='page')} || '-' || lpad(CAST(p + CASE WHEN id % 17 = 0 AND p = 1 THEN 900 ELSE 0 END AS STRING), CAST(greatest(length(CAST(p + CASE WHEN id % 17 = 0 AND p = 1 THEN 900 ELSE 0 END AS STRING)), 3) AS INT), '0') || '.jpg' AS path
 FROM (SELECT *, explode(sequence(1, npages)) AS p FROM {{f_map}}) x
 UNION ALL
-SELECT '/pdf/' || lower(abbrev) || '/' || lpad(CAST(book AS STRING), 3, '0') || '/' || {_MAPNAME.format(a='abbrev', b='book', p='page + CASE WHEN id % 5 = 0 THEN 500 ELSE 0 END')} || '.pdf'
+SELECT '/pdf/' || lower(abbrev) || '/' || lpad(CAST(book AS STRING), CAST(greatest(length(CAST(book AS STRING)), 3) AS INT), '0') || '/' || {_MAPNAME.format(a='abbrev', b='book', p='page + CASE WHEN id % 5 = 0 THEN 500 ELSE 0 END')} || '.pdf'
 FROM {{f_map}}
 """,
     # Scanned certificate pages: named after their document, some not.
     "f_cc_scan": """
 SELECT CASE WHEN src_id % 6 = 0 THEN 'scan ' ELSE '' END || CAST(year(recdate) AS STRING) || CASE WHEN src_id % 4 = 0 THEN '-OR-' ELSE '-doc-' END
-  || lpad(CAST(src_id AS STRING), 6, '0') || '-' || lpad(CAST(p AS STRING), 3, '0') || '.tif' AS src_file,
+  || lpad(CAST(src_id AS STRING), CAST(greatest(length(CAST(src_id AS STRING)), 6) AS INT), '0') || '-' || lpad(CAST(p AS STRING), CAST(greatest(length(CAST(p AS STRING)), 3) AS INT), '0') || '.tif' AS src_file,
   CAST(1000 + (src_id % 1000) * 31 % 900 + p * 7 AS INT) AS width_px, CAST(1500 + src_id % 1700 AS INT) AS height_px,
   CASE CAST(src_id % 3 AS INT) WHEN 0 THEN 200 WHEN 1 THEN 150 ELSE 300 END AS dpi,
   CASE CAST(src_id % 5 AS INT) WHEN 0 THEN '1' WHEN 1 THEN 'L' WHEN 2 THEN 'P' WHEN 3 THEN 'RGB' ELSE 'RGBA' END AS mode
@@ -247,7 +248,7 @@ FROM ({_MAP_ROW}) m JOIN {{f_surveyor}} s ON s.id = m.custkey
 """,
     # Scanned-frame metadata (pixel size, dpi, colour mode) per part.
     "f_images": f"""
-SELECT lpad(CAST(p_partkey % 999 + 1 AS STRING), 3, '0') || lower({_ABBREV.format(k='p_partkey')}) || lpad(CAST(p_partkey % 157 + 1 AS STRING), 3, '0') || '.tif' AS src_file,
+SELECT lpad(CAST(p_partkey % 999 + 1 AS STRING), CAST(greatest(length(CAST(p_partkey % 999 + 1 AS STRING)), 3) AS INT), '0') || lower({_ABBREV.format(k='p_partkey')}) || lpad(CAST(p_partkey % 157 + 1 AS STRING), CAST(greatest(length(CAST(p_partkey % 157 + 1 AS STRING)), 3) AS INT), '0') || '.tif' AS src_file,
   CAST(frame AS INT) AS frame,
   CAST(1000 + (p_partkey * 37 + frame * 11) % 4000 AS INT) AS width_px,
   CAST(1200 + (p_size * 53 + p_partkey) % 4000 AS INT) AS height_px,
