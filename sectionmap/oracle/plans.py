@@ -91,7 +91,7 @@ docs1 AS (SELECT map, npages, doc_number, unknown,
            THEN lpad(CAST(CAST(regexp_extract(doc_number, '^(\d{4})-(\d+)-\d+\z', 1) AS BIGINT) AS VARCHAR), CAST(greatest(length(CAST(CAST(regexp_extract(doc_number, '^(\d{4})-(\d+)-\d+\z', 1) AS BIGINT) AS VARCHAR)), 4) AS INTEGER), '0') || '-doc-'
                 || lpad(CAST(CAST(regexp_extract(doc_number, '^(\d{4})-(\d+)-\d+\z', 2) AS BIGINT) AS VARCHAR), CAST(greatest(length(CAST(CAST(regexp_extract(doc_number, '^(\d{4})-(\d+)-\d+\z', 2) AS BIGINT) AS VARCHAR)), 6) AS INTEGER), '0') END AS doc
   FROM docs0),
-docs AS (SELECT * FROM docs1 WHERE NOT unknown AND doc IS NOT NULL AND upper(substr(map, 4, 2)) IN ('PM', 'RM', 'RS') AND map IN (SELECT map FROM imgs WHERE map IS NOT NULL)),
+docs AS (SELECT * FROM docs1 WHERE NOT unknown AND doc IS NOT NULL AND upper(regexp_extract(map, '^\d+(\D{2})', 1)) IN ('PM', 'RM', 'RS') AND map IN (SELECT map FROM imgs WHERE map IS NOT NULL)),
 ccf AS (SELECT nullif(regexp_extract(string_split(path, '/')[-1], '^(.*)-\d{3,}\.jpg\z', 1), '') AS doc, '/' || path AS file FROM f_cc_file),
 d AS (SELECT docs.*, n.n_images, CASE WHEN n.n_images IS NULL THEN 'missing_cc' WHEN n.n_images <> docs.npages THEN 'bad_cc_pages' END AS issue
       FROM docs LEFT JOIN (SELECT doc, count(*) AS n_images FROM ccf GROUP BY doc) n ON n.doc = docs.doc),

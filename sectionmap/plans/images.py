@@ -85,7 +85,7 @@ def pdf_manifest(images: DataFrame, cc_sheet: DataFrame, cc_files: DataFrame, ma
     rows = _cc_docs(cc_sheet, maptype)
     unread = rows.where(F.col("_unknown") | F.col("doc").isNull()).select(
         "map", "doc", "doc_number", F.when(F.col("_unknown"), "unknown_maptype").otherwise("bad_doc_number").alias("issue"))
-    docs = rows.where(~F.col("_unknown") & F.col("doc").isNotNull()).filter(F.upper(F.substring("map", 4, 2)).isin(*K.RECORDED_TYPES))
+    docs = rows.where(~F.col("_unknown") & F.col("doc").isNotNull()).filter(F.upper(F.regexp_extract("map", r"^\d+(\D{2})", 1)).isin(*K.RECORDED_TYPES))
     docs = docs.join(imgs.select("map").distinct(), "map", "left_semi")
     fname = F.element_at(F.split("path", "/"), -1)
     ccf = cc_files.select(group(fname, r"^(.*)-\d{3,}\.jpg\z", 1).alias("doc"), F.concat(F.lit("/"), "path").alias("file"))
