@@ -2,8 +2,8 @@
 
 
 def all_sql() -> dict[str, str]:
-    from sectionmap.oracle import codecs, extracts, index, parser, plans, search, trs
+    from sectionmap.oracle import audits, codecs, extracts, index, parser, plans, search, trs
     out: dict[str, str] = {}
-    for mod in (codecs, extracts, index, parser, plans, search, trs):
+    for mod in (audits, codecs, extracts, index, parser, plans, search, trs):
         out.update(mod.SQL)
     return out

@@ -16,5 +16,5 @@ def query(fn: QueryFn) -> QueryFn:
 
 
 def all_queries() -> dict[str, QueryFn]:
-    from sectionmap.queries import codecs, extracts, index, parser, plans, search, trs  # noqa: F401
+    from sectionmap.queries import audits, codecs, extracts, index, parser, plans, search, trs  # noqa: F401
     return dict(REGISTRY)

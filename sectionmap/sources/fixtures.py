@@ -211,6 +211,29 @@ SELECT id, abbrev, book, page, CAST(npages + CASE WHEN id % 19 = 0 THEN 11 WHEN
     "f_cc_odd": """
 SELECT CASE WHEN src_id % 12 = 0 THEN 'Misc Map' ELSE maptype END AS maptype, book, page, recdate, surveyor,
   CASE WHEN src_id % 10 = 0 THEN 'no ' || CAST(src_id AS STRING) ELSE doc_number END AS doc_number, npages, src_id FROM {f_cc}
+""",
+    # trs records that break every range rule, and some that break none.
+    "f_trs_odd": """
+SELECT map_id, CAST(tshp + CASE WHEN map_id % 11 = 0 THEN 30 WHEN map_id % 13 = 0 THEN 0 - 30 ELSE 0 END AS INT) AS tshp,
+  CAST(rng + CASE WHEN map_id % 7 = 0 THEN 12 WHEN map_id % 17 = 0 THEN 0 - 12 ELSE 0 END AS INT) AS rng,
+  CAST(CASE WHEN map_id % 19 = 0 THEN 0 WHEN map_id % 23 = 0 THEN 37 WHEN map_id % 29 = 0 THEN NULL ELSE sec END AS INT) AS sec,
+  CAST(CASE WHEN map_id % 31 = 0 THEN 0 WHEN map_id % 37 = 0 THEN 65536 ELSE subsec END AS INT) AS subsec, source_id FROM {f_trs}
+""",
+    # qq lists that name a cell twice, hold none or no number.
+    "f_qq_odd": """
+SELECT id, CASE WHEN id % 5 = 0 THEN ',3,3,' WHEN id % 7 = 0 THEN ',1,2,x,' WHEN id % 11 = 0 THEN ',,' ELSE `_x0030_5N1W26` END AS `_x0030_5N1W26`,
+  CASE WHEN id % 13 = 0 THEN ',4,1,4,1,' ELSE `_x0030_7N1E31` END AS `_x0030_7N1E31` FROM {f_qq}
+""",
+    # Surveyors whose displayed names agree although their full names do not, and
+    # last names of two words.
+    "f_alias_odd": """
+SELECT * FROM {f_alias}
+UNION ALL
+SELECT 'OTHER ' || legacy_name, firstname || ' QUENTIN ' || lastname, firstname, 'QUENTIN', CAST(NULL AS STRING), lastname, CAST(NULL AS STRING), pls, rce, row_no + 3
+FROM {f_alias} WHERE row_no % 110 = 0
+UNION ALL
+SELECT 'DE LA ' || legacy_name, firstname || ' DE LA ' || lastname, firstname, CAST(NULL AS STRING), CAST(NULL AS STRING), 'DE LA ' || lastname, CAST(NULL AS STRING), pls, rce, row_no + 4
+FROM {f_alias} WHERE row_no % 90 = 0
 """,
     # Section codes of the legacy list.
     "f_section_code": """
