@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
+from typing import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,9 +58,29 @@ def checkpoint_base(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or base
 
 
+#: The scratch folders of each open scope, innermost last.
+_scopes: list[list[str]] = []
+
+
 def scratch_dir(spark: SparkSession, name: str = "work") -> str:
     """A fresh, uniquely named folder under the shared checkpoint folder."""
-    return os.path.join(checkpoint_base(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(checkpoint_base(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the scratch folders made inside the block when it ends: what was built from
+    them must be written by then."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

@@ -10,6 +10,7 @@ from sectionmap.plans import document as D
 from sectionmap.plans import publish as PB
 from sectionmap.plans import trs as TR
 from sectionmap.queries import extracts as Q
+from sectionmap.session import checkpoint_base
 from sectionmap.sources import extracts as E
 from sectionmap.sources import io as IO
 from sectionmap.sources.fixtures import Inputs
@@ -124,7 +125,11 @@ def test_rebuild_from_extracts_and_rivals(spark, tmp_path):
     inp = Inputs(spark, SF001)
     for write in Q.ALL:
         write(inp, source)
-    first = PB.rebuild(spark, E.Extracts(spark, source), root, "run1")
+    extracts, base = E.Extracts(spark, source), checkpoint_base(spark).removeprefix("file:")
+    extracts.loaded
+    before = set(os.listdir(base))
+    first = PB.rebuild(spark, extracts, root, "run1")
+    assert set(os.listdir(base)) == before and extracts.quarantine.count() > 0
     assert first["published"] and first["parent"] == PB.FIRST and PB.current(spark, root).endswith("run1")
     maps = PB.read_published(spark, root, "map")
     assert maps.count() == inp.f_map.count()
