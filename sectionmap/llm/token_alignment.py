@@ -25,10 +25,10 @@ gives an empty result.  A text is encoded as a whole: its tokens must fit a work
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import os
-from collections import Counter
-from itertools import accumulate
+from array import array
 from typing import Iterator, Sequence
 
 import numpy as np
@@ -36,12 +36,12 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructType
 
-from sectionmap.llm.byte_level import token_bytes
+from sectionmap.llm.byte_level import SPLIT, read_vocabulary, token_bytes
 from sectionmap.llm.common import stage
 
-#: Kept windows per task, and the most ids (A and B) of one that is kept.
+#: Windows of a generation, two of which a task keeps, and the most ids (A and B) of one that is kept.
 KEPT_WINDOWS, KEPT_IDS = 1 << 18, 48
 #: Pairs that are broadcast to the rows.
 HOT_PAIRS = 1 << 17
@@ -49,48 +49,90 @@ HOT_PAIRS = 1 << 17
 TEXTS, CHARS = 256, 1 << 20
 #: A pair of ids in 64 bits.
 ID_BITS = 31
+#: Between the ids of A and B in a window's key.
+CUT = -1
+NONE = np.zeros(0, np.int64)
 
 
-class Windows:
-    """Alignments of windows of token ids, kept by their id tuples."""
+class Windows(dict):
+    """Alignments of windows by their id tuples, packed as 32-bit ids with ``CUT``
+    between A's and B's: groups as ``a1,a2|b1;...``, and the linked pairs, one for each
+    shared end.  A missing one is computed.
+
+    A key's value is the place of its alignment in ``texts``, ``first`` and ``pairs``.  ``trim``
+    begins a new generation when this one is full; what was met in the last one is
+    taken over when it is met again, the rest is forgotten."""
 
     def __init__(self, a_sizes: Sequence[int], b_sizes: Sequence[int]):
+        super().__init__()
         self.a_sizes, self.b_sizes = a_sizes, b_sizes
-        self.kept: dict[tuple, int] = {}
+        self.names = list(map(str, range(max(len(a_sizes), len(b_sizes)))))
+        self.old: dict[bytes, tuple[str, list[int]]] = {}
         self.texts: list[str] = []
-        self.links: list[list[int]] = []
-
-    def place(self, key: tuple[tuple[int, ...], tuple[int, ...]]) -> int:
-        """The number of the window's alignment in ``texts`` and ``links``."""
-        text, links = self.align(*key)
-        self.texts.append(text)
-        self.links.append(links)
-        if len(key[0]) + len(key[1]) <= KEPT_IDS:
-            self.kept[key] = len(self.texts) - 1
-        return len(self.texts) - 1
-
-    def align(self, a: tuple[int, ...], b: tuple[int, ...]) -> tuple[str, list[int]]:
-        """Groups as ``a1,a2|b1;...`` and the linked pairs, one for each shared end."""
-        a_ends = list(accumulate(self.a_sizes[i] for i in a))
-        b_ends = {end: j for j, end in enumerate(accumulate(self.b_sizes[i] for i in b))}
-        groups, links, i0, j0 = [], [], 0, 0
-        for i, end in enumerate(a_ends):
-            j = b_ends.get(end)
-            if j is not None:
-                groups.append(f"{','.join(map(str, a[i0:i + 1]))}|{','.join(map(str, b[j0:j + 1]))}")
-                links.append(a[i] << ID_BITS | b[j])
-                i0, j0 = i + 1, j + 1
-        return ";".join(groups), links
+        self.first, self.pairs = array("q", [0]), array("q")
+
+    def __missing__(self, key: bytes) -> int:
+        found = self.old.get(key)
+        if found is None:
+            ids = memoryview(key).cast("i").tolist()
+            cut = ids.index(CUT)
+            found = self.align(ids[:cut], ids[cut + 1:])
+        at = len(self.texts)
+        self.texts.append(found[0])
+        self.pairs.extend(found[1])
+        self.first.append(len(self.pairs))
+        if len(key) <= 4 * KEPT_IDS:
+            self[key] = at
+        return at
+
+    def links(self, places: np.ndarray) -> np.ndarray:
+        """The linked pairs of the alignments at these places, one after the other."""
+        first = np.frombuffer(self.first, np.int64)
+        n = first[places + 1] - first[places]
+        ends = np.cumsum(n)
+        return np.frombuffer(self.pairs, np.int64)[np.arange(ends[-1]) + np.repeat(first[places] - ends + n, n)]
 
     def trim(self) -> None:
-        """Forget everything, once too much is kept; numbers given before are void."""
-        if len(self.texts) > KEPT_WINDOWS:
-            self.kept.clear()
-            self.texts.clear()
-            self.links.clear()
+        """Begin a new generation if this one is full; places given before are void."""
+        if len(self.texts) >= KEPT_WINDOWS:
+            self.old = {k: (self.texts[v], self.pairs[self.first[v]:self.first[v + 1]].tolist()) for k, v in self.items()}
+            self.clear()
+            self.texts, self.first, self.pairs = [], array("q", [0]), array("q")
+
+    def align(self, a: list[int], b: list[int]) -> tuple[str, list[int]]:
+        a_text, b_text = list(map(self.names.__getitem__, a)), list(map(self.names.__getitem__, b))
+        if len(a) == 1 or len(b) == 1:  # both end with the window, nowhere before
+            return f"{','.join(a_text)}|{','.join(b_text)}", [a[-1] << ID_BITS | b[-1]]
+        groups, links = [], []
+        a_size, b_size = list(map(self.a_sizes.__getitem__, a)), list(map(self.b_sizes.__getitem__, b))
+        j = b_end = a_end = i0 = j0 = 0
+        for i, size in enumerate(a_size, 1):
+            a_end += size
+            while b_end < a_end:
+                b_end += b_size[j]
+                j += 1
+            if b_end == a_end:
+                groups.append(f"{','.join(a_text[i0:i])}|{','.join(b_text[j0:j])}")
+                links.append(a[i - 1] << ID_BITS | b[j - 1])
+                i0, j0 = i, j
+        return ";".join(groups), links
+
 
+def packed(a: np.ndarray, b: np.ndarray, a_first: np.ndarray, b_first: np.ndarray) -> list[bytes]:
+    """The key of each window: A's ids, ``CUT``, B's ids.  ``first`` holds the first token
+    of each window and the number of tokens."""
+    n = len(a_first) - 1
+    window = np.arange(n)
+    out = np.full(len(a) + len(b) + n, CUT, np.int32)
+    of_a, of_b = np.repeat(window, np.diff(a_first)), np.repeat(window, np.diff(b_first))
+    out[np.arange(len(a)) + b_first[of_a] + of_a] = a
+    out[np.arange(len(b)) + a_first[of_b + 1] + of_b + 1] = b
+    ends = (4 * (a_first + b_first + np.arange(n + 1))).tolist()
+    whole = out.tobytes()
+    return [whole[i:j] for i, j in zip(ends, ends[1:])]
 
-def window_starts(a_ends: np.ndarray, b_ends: np.ndarray, a_marked: np.ndarray, b_marked: np.ndarray) -> tuple[list[int], list[int]]:
+
+def window_starts(a_ends: np.ndarray, b_ends: np.ndarray, a_marked: np.ndarray, b_marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First token of each window in A and in B, with the numbers of tokens at the end.
     ``ends`` are byte offsets; an anchor is an offset at which marked tokens of both begin."""
     begins = np.zeros(int(a_ends[-1]) + 1, bool)
@@ -99,7 +141,7 @@ def window_starts(a_ends: np.ndarray, b_ends: np.ndarray, a_marked: np.ndarray,
     anchors = starts[begins[starts]]
     a_first = np.searchsorted(a_ends, anchors) + 1
     b_first = np.searchsorted(b_ends, anchors) + 1
-    return [0, *a_first.tolist(), len(a_ends)], [0, *b_first.tolist(), len(b_ends)]
+    return np.concatenate([[0], a_first, [len(a_ends)]]), np.concatenate([[0], b_first, [len(b_ends)]])
 
 
 class Encoders:
@@ -112,6 +154,7 @@ class Encoders:
 
         self.a = Tokenizer.from_str(a_file.decode())
         self.a.encode_special_tokens = True
+        self.quick = _ranked(a_file)
         self.b = SentencePieceProcessor(model_proto=b_file)
         self.a_bytes = token_bytes(a_file)
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
@@ -121,13 +164,31 @@ class Encoders:
         self.a_mark = np.array([t.startswith(b" ") for t in self.a_bytes])
         self.b_mark = np.array([t.startswith(b" ") for t in self.b_bytes])
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[list[int], list[int]] | None]:
-        """Token ids of A and B for each text, None where the joined bytes are not the text's."""
-        firsts = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        for text, first, b in zip(texts, firsts, self.b.encode(texts, num_threads=1)):
-            whole, a = (" " + text).encode(), first.ids
-            same = b"".join(map(self.a_bytes.__getitem__, a)) == whole and b"".join(map(self.b_bytes.__getitem__, b)) == whole
-            yield (a, b) if text and same else None
+    def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
+        """Token ids of A and B for each text, None where the joined bytes are not the text's.
+        A ranked vocabulary only merges the bytes of the text, so their number tells; others are joined."""
+        if self.quick:
+            firsts = [self.quick.encode_to_numpy(" " + t, disallowed_special=()) for t in texts]
+        else:
+            firsts = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        for text, a, b in zip(texts, firsts, self.b.encode(texts, num_threads=1)):
+            a = np.asarray(a, np.int32)
+            whole = (" " + text).encode()
+            same = int(self.a_size[a].sum()) == len(whole) and b"".join(map(self.b_bytes.__getitem__, b)) == whole
+            same = same and (self.quick is not None or b"".join(map(self.a_bytes.__getitem__, a)) == whole)
+            yield (a, np.array(b, np.int32)) if text and same else None
+
+
+def _ranked(a_file: bytes):
+    """The same vocabulary for the faster tiktoken library, if its ids are in the order of the
+    merges (then they are ranks); None otherwise.  Both split alike for every code point (tested)."""
+    import tiktoken
+
+    symbols, ranks, made, _ = read_vocabulary(a_file)
+    n = len(symbols) + len(ranks)
+    if sorted(symbols) != list(range(256)) or any(made[r] != 256 + r for r in made):
+        return None
+    return tiktoken.Encoding("ranked", pat_str=SPLIT, mergeable_ranks={b: i for i, b in enumerate(token_bytes(a_file)[:n])}, special_tokens={})
 
 
 def _packs(column: pa.Array) -> Iterator[list[str]]:
@@ -153,34 +214,34 @@ def align(docs: DataFrame, a_file: bytes, b_file: bytes, keep: Sequence[str] = (
     schema = StructType(rows.schema.fields[:-1])
     figures = ["n_a", "n_b", "n_groups", "n_links"]
     for name, kind in (("__row", LongType()), *((f, LongType()) for f in figures), ("groups", StringType()),
-                       ("pairs", ArrayType(LongType())), ("seen", ArrayType(IntegerType()))):
+                       ("pairs", ArrayType(LongType())), ("seen", ArrayType(LongType()))):
         schema = schema.add(name, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()  # no cycles are made, and the kept windows would be walked again and again
         encoders = Encoders(*files.value)
         windows = Windows(encoders.a_sizes, encoders.b_sizes)
         number = TaskContext.get().partitionId() << 33
         arrow = pa.schema([*rows_schema, *(pa.field(f, pa.int64()) for f in ["__row", *figures]), pa.field("groups", pa.string()),
-                           pa.field("pairs", pa.list_(pa.int64())), pa.field("seen", pa.list_(pa.int32()))])
+                           pa.field("pairs", pa.list_(pa.int64())), pa.field("seen", pa.list_(pa.int64()))])
         for batch in batches:
-            first, totals = 0, Counter()
+            first, totals = 0, []
             for pack in _packs(batch.column(batch.num_columns - 1)):
                 windows.trim()
-                used: Counter = Counter()
-                out: list[list] = [[] for _ in range(7)]
-                for ids in encoders.encode(pack):
-                    for column, value in zip(out, _aligned(ids, encoders, windows, used, digest)):
-                        column.append(value)
-                for at, n in used.items():
-                    for pair in windows.links[at]:
-                        totals[pair] += n
+                rows = [_aligned(ids, encoders, windows, digest) for ids in encoders.encode(pack)]
+                out = list(zip(*rows))
+                totals.append(_added([r[-2] for r in rows], [r[-1] for r in rows]))
+                ends = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in out[-1]])]).astype(np.int32))
                 kept = [c.slice(first, len(pack)).cast(arrow.field(i).type) for i, c in enumerate(batch.columns[:-1])]
                 numbers = pa.array(range(number, number + len(pack)), pa.int64())
-                yield pa.RecordBatch.from_arrays([*kept, numbers, *(pa.array(c, f.type) for c, f in zip(out, list(arrow)[-7:]))], schema=arrow)
+                yield pa.RecordBatch.from_arrays(
+                    [*kept, numbers, *(pa.array(c, pa.int64()) for c in out[:4]), pa.array(out[4], pa.string()),
+                     *(pa.ListArray.from_arrays(ends, pa.array(np.concatenate(c))) for c in out[5:])], schema=arrow)
                 first, number = first + len(pack), number + len(pack)
-            if totals:
+            codes, seen = _added(*zip(*totals)) if totals else ([], [])
+            if len(codes):
                 none = [pa.nulls(1, f.type) for f in arrow]
-                none[-2:] = [pa.array([list(totals)], pa.list_(pa.int64())), pa.array([list(totals.values())], pa.list_(pa.int32()))]
+                none[-2:] = [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), pa.array(c)) for c in (codes, seen)]
                 yield pa.RecordBatch.from_arrays(none, schema=arrow)
 
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -188,28 +249,25 @@ def align(docs: DataFrame, a_file: bytes, b_file: bytes, keep: Sequence[str] = (
     return stage(docs.sparkSession, rows.mapInArrow(run, StructType([f.__class__(f.name, f.dataType, True) for f in schema.fields])), "aligned")
 
 
-def _aligned(ids, encoders: Encoders, windows: Windows, used: Counter, digest: bool) -> tuple:
+def _added(codes: Sequence[np.ndarray], seen: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes of several lists with their added counts."""
+    table = pa.table({"code": np.concatenate(codes), "n": np.concatenate(seen)})
+    added = table.group_by("code", use_threads=False).aggregate([("n", "sum")])
+    return added.column("code").to_numpy(), added.column("n_sum").to_numpy()
+
+
+def _aligned(ids, encoders: Encoders, windows: Windows, digest: bool) -> tuple:
+    """(n_a, n_b, n_groups, n_links, groups, pairs, times) of a text's token ids."""
     if ids is None:
-        return 0, 0, 0, 0, "", [], []
-    a, b = map(tuple, ids)
-    a_ids, b_ids = np.array(a), np.array(b)
-    a_first, b_first = window_starts(np.cumsum(encoders.a_size[a_ids]), np.cumsum(encoders.b_size[b_ids]),
-                                     encoders.a_mark[a_ids], encoders.b_mark[b_ids])
-    look, place, found = windows.kept.get, windows.place, []
-    for i0, i1, j0, j1 in zip(a_first, a_first[1:], b_first, b_first[1:]):
-        key = (a[i0:i1], b[j0:j1])
-        at = look(key)
-        found.append(place(key) if at is None else at)
-    pairs: dict[int, int] = {}
-    links = windows.links
-    for at, n in Counter(found).items():
-        used[at] += n
-        for pair in links[at]:
-            pairs[pair] = pairs.get(pair, 0) + n
-    n_links = sum(pairs.values())
+        return 0, 0, 0, 0, "", NONE, NONE
+    a, b = ids
+    starts = window_starts(np.cumsum(encoders.a_size[a]), np.cumsum(encoders.b_size[b]), encoders.a_mark[a], encoders.b_mark[b])
+    found = list(map(windows.__getitem__, packed(a, b, *starts)))
+    links = windows.links(np.array(found))
+    pairs, seen = np.unique(links, return_counts=True)
     groups = ";".join(map(windows.texts.__getitem__, found))
     # Tokens have at least one byte, so each shared end closes one group and links one pair.
-    return len(a), len(b), n_links, n_links, hashlib.sha256(groups.encode()).hexdigest() if digest else groups, list(pairs), list(pairs.values())
+    return (len(a), len(b), len(links), len(links), hashlib.sha256(groups.encode()).hexdigest() if digest else groups, pairs, seen)
 
 
 def link_counts(aligned: DataFrame) -> DataFrame:
@@ -263,13 +321,13 @@ def score(aligned: DataFrame, counts: DataFrame, keep: Sequence[str] = ("doc_id"
             rest = np.concatenate([[0], np.cumsum(np.bincount(row[~known], minlength=len(pairs)))]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [numbers, pa.array(bests), pa.array(sums), pa.ListArray.from_arrays(rest, pa.array(codes[~known])),
-                 pa.ListArray.from_arrays(rest, pa.array(times[~known].astype(np.int32)))], names=["__row", "best", "sum", "pairs", "seen"])
+                 pa.ListArray.from_arrays(rest, pa.array(times[~known]))], names=["__row", "best", "sum", "pairs", "seen"])
 
     looked = stage(spark, rows.select("__row", "pairs", "seen").mapInArrow(
-        run, "__row long, best long, sum long, pairs array<long>, seen array<int>"), "looked")
+        run, "__row long, best long, sum long, pairs array<long>, seen array<long>"), "looked")
     left = looked.select("__row", F.explode(F.arrays_zip("pairs", "seen")).alias("e")).select("__row", "e.pairs", "e.seen")
     rare = counts.where(F.col("n") < floor).withColumnRenamed("pair", "pairs")
-    more = left.join(rare, "pairs").select("__row", (F.col("seen").cast("long") * F.col("best").cast("long")).alias("best"),
+    more = left.join(rare, "pairs").select("__row", (F.col("seen") * F.col("best").cast("long")).alias("best"),
                                            (F.col("seen") * F.col("n")).alias("sum"))
     sums = looked.select("__row", "best", "sum").unionByName(more).groupBy("__row").agg(F.sum("best").alias("__best"), F.sum("sum").alias("__sum"))
     return rows.join(sums, "__row").select(*keep, "n_a", "n_b", "n_groups", "n_links", F.col("__best").alias("n_best"),

@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 import regex
@@ -139,14 +140,36 @@ def test_alignment(token_docs, texts, hot_pairs, digest):
     assert any(w[0] == 0 and t for w, t in zip(want, texts)) and any(w[0] > 3000 for w in want)
 
 
-def test_windows_are_forgotten(monkeypatch, token_docs, texts):
+def test_windows_are_forgotten(monkeypatch):
     monkeypatch.setattr(token_alignment, "KEPT_WINDOWS", 3)
     w = token_alignment.Windows([1, 2, 3], [3, 1, 2])
-    for key in (((0, 1), (0,)), ((2,), (1, 2)), ((0, 0, 0), (1, 1, 1)), ((1, 0), (0,))):
-        w.place(key)
-    assert w.texts[:2] == ["0,1|0", "2|1,2"] and w.links[2] == [1, 1, 1]
+    link = lambda a, b: a << token_alignment.ID_BITS | b
+    cases = [([0, 1], [0], "0,1|0", [(1, 0)]), ([2], [1, 2], "2|1,2", [(2, 2)]), ([0, 0], [1, 1], "0|1;0|1", [(0, 1)] * 2),
+             ([0, 1, 0], [0, 1], "0,1|0;0|1", [(1, 0), (0, 1)])]
+    a, b = (np.array(sum((c[k] for c in cases), []), np.int32) for k in (0, 1))
+    firsts = [np.cumsum([0, *(len(c[k]) for c in cases)]) for k in (0, 1)]
+    keys = token_alignment.packed(a, b, *firsts)
+    assert [np.frombuffer(k, np.int32).tolist() for k in keys] == [[*c[0], -1, *c[1]] for c in cases]
+    for _ in range(3):
+        places = [w[k] for k in keys]
+        assert [w.texts[i] for i in places] == [c[2] for c in cases]
+        assert w.links(np.array(places)).tolist() == [link(*p) for c in cases for p in c[3]]
+        w.trim()
+        assert not w and len(w.old) == 4
     w.trim()
-    assert not w.texts and not w.kept
+    assert len(w.old) == 4 and [w[k] for k in keys[:1]] == [0]
+
+
+def test_both_libraries_split_alike(library):
+    quick = token_alignment._ranked(tokenizer_file("byte_bpe_50k.json"))
+    plain = Tokenizer.from_str(tokenizer_file("byte_bpe_50k.json").decode())
+    plain.encode_special_tokens = True
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for first in range(0, len(points), 4096):
+        text = "".join(f"a{chr(c)}b {chr(c)}1{chr(c)}! {chr(c)}!{chr(c)} " for c in points[first:first + 4096])
+        assert quick.encode_ordinary(text) == plain.encode(text, add_special_tokens=False).ids
+    for text in filter(None, NASTY):
+        assert quick.encode_ordinary(" " + text) == plain.encode(" " + text, add_special_tokens=False).ids
 
 
 def test_no_rows(spark, no_docs):
