@@ -57,33 +57,49 @@ def _opening(role: Column, t: Template) -> Column:
     return out
 
 
-def _accepts(roles: Column, t: Template) -> Column:
-    def step(state: Column, role: Column) -> Column:
-        out = F.lit("reject")
-        for here, moves in t.moves.items():
-            for name, there in moves.items():
-                out = F.when((state == here) & (role == name), F.lit(there)).otherwise(out)
-        return out
-    return F.aggregate(roles, F.lit("start"), step, lambda s: s.isin(*t.accepting))
+REJECT = "reject"
+
+
+def _next(state: Column, role: Column, t: Template) -> Column:
+    """The machine's move; from a state that knows no such role, and from ``reject``, to ``reject``."""
+    out = F.lit(REJECT)
+    for here, moves in t.moves.items():
+        for name, there in moves.items():
+            out = F.when((state == here) & (role == name), F.lit(there)).otherwise(out)
+    return out
+
+
+def states(roles: Column, t: Template) -> Column:
+    """The machine's state after each turn."""
+    def step(acc: Column, role: Column) -> Column:
+        state = _next(acc["at"], role, t)
+        return F.struct(state.alias("at"), F.concat(acc["all"], F.array(state)).alias("all"))
+
+    begin = F.struct(F.lit("start").alias("at"), F.expr("cast(array() as array<string>)").alias("all"))
+    return F.aggregate(roles, begin, step, lambda a: a["all"])
 
 
 def format_chats(turns: DataFrame, template: Template = Template()) -> DataFrame:
-    """One row per conversation: conv_id, valid (the machine accepts the turn
-    order), segments array<struct<text, loss>> in output order."""
+    """One row per conversation: conv_id, valid (the machine ends in an accepting state),
+    n_rejected (turns from the first one that the machine has no move for) and segments
+    array<struct<text, loss, state>> in output order, ``state`` being the machine's
+    after the turn.  Rejected turns are written too, so that the text stays whole."""
     t = template
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
     rows = turns.select("conv_id", "turn", role.alias("role"), text.alias("text"))
     turn = F.struct("turn", "role", "text")
     per = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
+    per = per.withColumn("states", states(F.transform("turns", lambda x: x["role"]), t))
 
-    def parts(x: Column) -> Column:
-        return F.array(
-            F.struct(_opening(x["role"], t).alias("text"), F.lit(False).alias("loss")),
-            F.struct(escape(x["text"], t).alias("text"), x["role"].isin(*t.loss).alias("loss")),
-            F.struct(F.lit(t.closing).alias("text"), F.lit(False).alias("loss")))
+    def parts(x: Column, state: Column) -> Column:
+        def segment(text: Column, loss: Column) -> Column:
+            return F.struct(text.alias("text"), loss.alias("loss"), state.alias("state"))
+        return F.array(segment(_opening(x["role"], t), F.lit(False)), segment(escape(x["text"], t), x["role"].isin(*t.loss)),
+                       segment(F.lit(t.closing), F.lit(False)))
 
-    return per.select("conv_id", _accepts(F.transform("turns", lambda x: x["role"]), t).alias("valid"),
-                      F.flatten(F.transform("turns", parts)).alias("segments"))
+    return per.select("conv_id", F.element_at("states", -1).isin(*t.accepting).alias("valid"),
+                      F.size(F.filter("states", lambda s: s == REJECT)).cast("long").alias("n_rejected"),
+                      F.flatten(F.zip_with("turns", "states", parts)).alias("segments"))
 
 
 def read_chats(formatted: Column, template: Template = Template()) -> Column:

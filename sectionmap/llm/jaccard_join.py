@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from sectionmap.llm.bytes import LOWER, NONBLANK, mix64, slices, window_hashes, word_hashes
 from sectionmap.llm.common import join_hot, shuffle_width, stage
-from sectionmap.llm.components import components
+from sectionmap.llm.components import components, roots
 
 WIDTH = 5
 SKETCH = 64
@@ -112,19 +112,6 @@ def _groups(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[pa.Ta
         yield held
 
 
-def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Smallest member of each member's component under the pairs (a, b)."""
-    root = np.arange(n)
-    while True:
-        low = root.copy()
-        np.minimum.at(low, a, root[b])
-        np.minimum.at(low, b, root[a])
-        low = low[low]
-        if (low == root).all():
-            return root
-        root = low
-
-
 def _similar(s: np.ndarray, i: int) -> np.ndarray:
     """Members after ``i`` with a similar sketch; a quarter of it rules most out."""
     j = np.flatnonzero((s[i + 1:, :SKETCH // 4] == s[i, :SKETCH // 4]).sum(1) >= SKETCH // 16) + i + 1
@@ -144,7 +131,7 @@ def _bucket_links(batches):
             pairs = [_similar(s, i) for i in range(hi - lo - 1)]
             if not pairs or not sum(map(len, pairs)):
                 continue
-            root = _roots(hi - lo, np.repeat(np.arange(len(pairs)), [len(p) for p in pairs]), np.concatenate(pairs))
+            root = roots(hi - lo, np.repeat(np.arange(len(pairs)), [len(p) for p in pairs]), np.concatenate(pairs))
             for i in np.flatnonzero(root != np.arange(hi - lo)):
                 out_a.append(nodes[lo + root[i]])
                 out_b.append(nodes[lo + i])
@@ -174,7 +161,7 @@ def candidate_links(nodes: DataFrame, small: int = 800, depth: int = 3, slice_si
             ready = ready.unionByName(dealt.select("path", F.least("slice", "other").alias("i"), F.greatest("slice", "other").alias("j"),
                                                    "node", "n", "sketch"))
         links.append(stage(spark, ready.repartition(width, "path", "i", "j").sortWithinPartitions("path", "i", "j", "node")
-                           .mapInArrow(_bucket_links, "a binary, b binary").dropDuplicates(), "links"))
+                           .mapInArrow(_bucket_links, "a binary, b binary"), "links"))
         if not more or level == depth:
             break
         # Large buckets: a few members per bucket are pivots; what is close to one leaves.
@@ -184,12 +171,12 @@ def candidate_links(nodes: DataFrame, small: int = 800, depth: int = 3, slice_si
                   .groupBy("path").agg(F.collect_list(F.struct("p.node", "p.n", "p.sketch")).alias("pivots")))
         compared = stage(spark, large.join(pivots, "path").select("path", "node", "n", "sketch", "pivots")
                          .mapInArrow(_pivot_links, "node binary, links array<binary>, children array<bigint>"), "pivots")
-        links.append(compared.select(F.explode("links").alias("a"), F.col("node").alias("b")).dropDuplicates())
+        links.append(compared.select(F.explode("links").alias("a"), F.col("node").alias("b")))
         members = compared.select("node", F.explode("children").alias("path"))
     out = links[0]
     for more_links in links[1:]:
         out = out.unionByName(more_links)
-    return out.dropDuplicates()
+    return out
 
 
 def _pivot_links(batches):
@@ -281,13 +268,13 @@ def _pairs(sets, nodes, copies, mine, i, j, threshold):
     if i != j:  # two blocks: only pairs across them
         linked &= mine[:, None] != mine[None, :]
     a, b = np.nonzero(np.triu(linked))
-    root = _roots(n, a, b)
+    root = roots(n, a, b)
     links = linked @ copies
     return [(nodes[k], nodes[root[k]], int(links[k])) for k in range(n)]
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, recall: float = 0.999999, small: int = 800,
-                    block: int = 1536) -> DataFrame:
+                    block: int = 512) -> DataFrame:
     """One row per document: doc_id, class_id (smallest id it is linked to,
     directly or through others), n_links (documents at or above the threshold),
     text_hash and leads (true for the row of its class with the smallest id; of

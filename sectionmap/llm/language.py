@@ -175,4 +175,5 @@ def identify(docs: DataFrame, names: list[str], prototypes: np.ndarray, letters:
 
 
 def held_out(doc_id: Column) -> Column:
-    return F.crc32(doc_id.cast("string")) % 4 == 2
+    """Rows that nothing is learned from; a null id has no checksum and is not one of them."""
+    return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))

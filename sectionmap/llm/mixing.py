@@ -12,7 +12,7 @@ over tasks unevenly.
 
 Rates become whole copies by carrying the token error from the largest size to
 the smallest; inside one (source, size) class the documents with the smallest
-hashes get the extra copy, ranked over hash slices.
+hashes of id and text get the extra copy, ranked over hash slices.
 
 Defined results: a null or blank text has size 0 and takes nothing; a null
 source is one source, last in order; repeated rows are separate rows of the
@@ -29,10 +29,11 @@ from pyspark.sql import functions as F
 from sectionmap.llm.common import WORD, running_total, shuffle_width, stage
 
 WEIGHTS = (3.0, 1.0, 2.0)
+BLOCK = 256  # classes that are rounded in one array
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "source",
+    return docs.select("doc_id", "source", F.xxhash64("doc_id", "text").alias("spread"),
                        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
 
 
@@ -63,8 +64,9 @@ def _rate(lam: Column, size: Column, mean: Column, cap: float) -> Column:
 
 
 def solve_rates(histogram: DataFrame, targets: DataFrame, cap: float = 2.0, tolerance: float = 1e-9,
-                max_steps: int = 60) -> DataFrame:
-    """(source, lam, mean, saturated) with the tilt of each source."""
+                max_steps: int = 200) -> DataFrame:
+    """(source, lam, mean, saturated) with the tilt of each source; an error if a source
+    misses its target after ``max_steps`` (each step at least halves its bracket)."""
     spark = histogram.sparkSession
     ratio = F.col("target") / F.col("source_size")
     mean = F.col("source_size") / F.col("docs")
@@ -98,6 +100,8 @@ def solve_rates(histogram: DataFrame, targets: DataFrame, cap: float = 2.0, tole
             F.when(settled, F.lit(0.0)).otherwise(F.abs(off)).alias("off")), "dual")
         if not (state.agg(F.max("off")).first()[0] or 0.0) > tolerance:
             break
+    else:
+        raise ArithmeticError(f"the rates miss their targets after {max_steps} steps")
     return state.select("source", "lam", "mean", "saturated")
 
 
@@ -111,7 +115,9 @@ def class_copies(histogram: DataFrame, targets: DataFrame, rates: DataFrame, cap
     rate = F.when(F.col("saturated"), F.lit(cap)).otherwise(_rate(F.col("lam"), F.col("size"), F.col("mean"), cap))
     classes = (histogram.where(F.col("size") > 0).join(r, F.col("source").eqNullSafe(F.col("_source")))
                .groupBy("source").agg(F.reverse(F.array_sort(F.collect_list(F.struct("size", "n", rate.alias("rate"))))).alias("c")))
-    empty = F.expr("named_struct('carry', 0D, 'out', cast(array() as array<struct<size:bigint,n:bigint,copies:bigint>>))")
+    kind = "array<struct<size:bigint,n:bigint,copies:bigint>>"
+    # In blocks: an array is copied when it grows, so one array of all classes would cost their square.
+    blocks = F.transform(F.sequence(F.lit(0), (F.size("c") - 1).cast("int"), F.lit(BLOCK)), lambda at: F.slice("c", at + 1, F.lit(BLOCK)))
 
     def step(acc: Column, c: Column) -> Column:
         want = c["n"] * c["rate"] + acc["carry"] / c["size"]
@@ -119,7 +125,12 @@ def class_copies(histogram: DataFrame, targets: DataFrame, rates: DataFrame, cap
         return F.struct(((want - copies) * c["size"]).alias("carry"),
                         F.concat(acc["out"], F.array(F.struct(c["size"].alias("size"), c["n"].alias("n"), copies.alias("copies")))).alias("out"))
 
-    return (classes.select("source", F.explode(F.aggregate("c", empty, step, lambda a: a["out"])).alias("k"))
+    def block(acc: Column, b: Column) -> Column:
+        done = F.aggregate(b, F.struct(acc["carry"].alias("carry"), F.expr(f"cast(array() as {kind})").alias("out")), step)
+        return F.struct(done["carry"].alias("carry"), F.concat(acc["out"], F.array(done["out"])).alias("out"))
+
+    empty = F.expr(f"named_struct('carry', 0D, 'out', cast(array() as array<{kind}>))")
+    return (classes.select("source", F.explode(F.aggregate(blocks, empty, block, lambda a: F.flatten(a["out"]))).alias("k"))
             .select("source", "k.size", "k.n", "k.copies"))
 
 
@@ -131,7 +142,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, budget: float = 1.5, cap: float = 2.0)
     targets = stage(spark, source_targets(histogram, weights, budget, cap), "targets")
     rates = solve_rates(histogram, targets, cap)
     classes = stage(spark, class_copies(histogram, targets, rates, cap), "classes")
-    ranked = running_total(sizes, ["source", "size"], F.xxhash64("doc_id"), [F.xxhash64("doc_id"), F.col("doc_id")],
+    ranked = running_total(sizes, ["source", "size"], F.col("spread"), [F.col("spread"), F.col("doc_id")],
                            F.lit(1), "rank", 4 * shuffle_width(spark))
     c = classes.select(F.col("source").alias("_source"), F.col("size").alias("_size"), "n", "copies")
     t = targets.select(F.col("source").alias("_src"), "source_size", "target")

@@ -28,13 +28,17 @@ marks AS (
   SELECT *, len(text) + len(text) - len(replace(text, '\', ''))
     + list_sum(list_transform(['<<SYS>>', '[INST]', '[/INST]', '[ROLE]', '[/ROLE]', '</s>'],
                               lambda c: (len(text) - len(replace(text, c, ''))) // len(c))) AS escaped,
-    CASE role WHEN 'system' THEN 7 WHEN 'user' THEN 6 WHEN 'assistant' THEN 7 ELSE 13 + len(role) END AS opening
-  FROM turns)
+    CASE role WHEN 'system' THEN 7 WHEN 'user' THEN 6 WHEN 'assistant' THEN 7 ELSE 13 + len(role) END AS opening,
+    coalesce(lag(role) OVER t, 'start') || '>' || role IN ('start>system', 'start>user', 'system>user', 'user>assistant', 'assistant>user') AS legal,
+    row_number() OVER t AS place
+  FROM turns WINDOW t AS (PARTITION BY conv_id ORDER BY turn, role, text))
 SELECT conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
        CAST(coalesce(sum(len(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-       CAST(sum(escaped + opening + 4) AS BIGINT) AS formatted_chars
+       CAST(sum(escaped + opening + 4) AS BIGINT) AS formatted_chars,
+       bool_and(legal) AND arg_max(role, place) = 'assistant' AS valid,
+       coalesce(count(*) + 1 - min(place) FILTER (NOT legal), 0) AS n_rejected
 FROM marks GROUP BY conv_id""",
     "op6_suffix_dedup": r"""
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),

@@ -40,7 +40,7 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = F.array_join(F.transform("read", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return read.select("conv_id", F.size("read").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
                        F.length("masked").cast("long").alias("loss_chars"), F.sha2("masked", 256).alias("loss_sha256"),
-                       F.length("formatted").cast("long").alias("formatted_chars"))
+                       F.length("formatted").cast("long").alias("formatted_chars"), "valid", "n_rejected")
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

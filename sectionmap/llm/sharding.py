@@ -3,10 +3,10 @@
 Documents are linked when their texts are equal.  Every document starts in a
 shard given by its hash.  In each round a linked group looks at the shards of
 its members and moves to the one where most of them are, as long as that shard's
-quota allows; groups that found no room look again among the shards that still
-have some.  A group larger than half a shard is dealt into parts first, so no
+quota allows; groups that found no room look again among all shards that still
+have enough, until no group moves.  A group larger than half a shard is dealt into parts first, so no
 group needs a whole shard, and none is one task.  Documents without links, and
-what found no room, fill the shards up to equal load in hash order.
+groups that no shard has room for any more, fill the shards up to equal load in hash order.
 
 Law ``rows``: shard counts differ by one at most.  Law ``bytes``: loads in bytes
 differ by the largest document at most.
@@ -34,32 +34,39 @@ def measured(docs: DataFrame) -> DataFrame:
                        F.crc32(text).alias("text_crc32"), F.unhex(F.md5("text")).alias("link"))
 
 
-def propagate(units: DataFrame, quota: list[float], rounds: int = 8) -> DataFrame:
+def propagate(units: DataFrame, quota: list[float]) -> DataFrame:
     """(link, part, shard) of the groups that found room.
 
     ``units``: (link, part, label, n, load), one row per group and current
-    label, so at most as many rows a group as there are shards.
+    label, so at most as many rows a group as there are shards.  Of the groups that
+    want a shard with room the first in line always fits, so every round but the last places some.
     """
     spark = units.sparkSession
     free = [float(q) for q in quota]
     votes, placed = units, []
     total = stage(spark, units.groupBy("link", "part").agg(F.sum("load").alias("all")), "units")
-    for _ in range(rounds):
-        room = F.element_at(F.array(*[F.lit(f) for f in free]), F.col("label") + 1)
-        best = F.max(F.when(room >= F.col("all"), F.struct("n", F.xxhash64("link", "part", "label").alias("_h"), "label")))
-        widest = max(range(len(free)), key=free.__getitem__)
-        wish = (votes.join(total, ["link", "part"]).groupBy("link", "part", "all").agg(best.alias("best"))
-                .select("link", "part", "all", F.coalesce("best.label", F.lit(widest)).alias("shard")))
+    while True:
+        rooms = F.array(*[F.lit(f) for f in free])
+        fits = F.max(F.when(F.element_at(rooms, F.col("label") + 1) >= F.col("all"),
+                            F.struct("n", F.xxhash64("link", "part", "label").alias("_h"), "label")))
+        # Without a label that has room: any shard that has, by the group's hash.
+        others = F.filter(F.sequence(F.lit(0), F.lit(len(free) - 1)), lambda s: F.element_at(rooms, s + 1) >= F.col("all"))
+        wish = (votes.join(total, ["link", "part"]).groupBy("link", "part", "all").agg(fits.alias("best")).withColumn("_others", others)
+                .withColumn("shard", F.coalesce("best.label", F.when(F.size("_others") > 0, F.get(
+                    "_others", F.pmod(F.xxhash64("link", "part"), F.size("_others")).cast("int")))))
+                .where("shard IS NOT NULL").select("link", "part", "all", "shard"))
         line = running_total(wish, ["shard"], F.xxhash64("part", "link"), [F.xxhash64("link"), F.col("link"), F.col("part")],
                              F.col("all"), "before", shuffle_width(spark))
-        room = F.element_at(F.array(*[F.lit(f) for f in free]), F.col("shard") + 1)
+        room = F.element_at(rooms, F.col("shard") + 1)
         moved = stage(spark, line.where(F.col("before") + F.col("all") <= room).select("link", "part", "shard", "all"), "moved")
         loads = moved.groupBy("shard").agg(F.sum("all"), F.count("*")).collect()  # one row per shard at most
         placed.append(moved.select("link", "part", "shard"))
         for shard, load, _n in loads:
             free[shard] -= float(load)
+        if not loads:
+            break
         left = stage(spark, total.join(moved, ["link", "part"], "left_anti"), "left")
-        if not loads or left.isEmpty():
+        if left.isEmpty():
             break
         votes, total = votes.join(left.select("link", "part"), ["link", "part"], "left_semi"), left
     out = placed[0]
@@ -68,7 +75,7 @@ def propagate(units: DataFrame, quota: list[float], rounds: int = 8) -> DataFram
     return stage(spark, out, "placed")
 
 
-def shard_documents(docs: DataFrame, shards: int = 24, law: str = "rows", rounds: int = 8) -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = 24, law: str = "rows") -> DataFrame:
     """One row per document: doc_id, size, text_crc32, law, shard, slot, grown_shard."""
     spark = docs.sparkSession
     base = stage(spark, measured(docs), "measured")
@@ -85,7 +92,7 @@ def shard_documents(docs: DataFrame, shards: int = 24, law: str = "rows", rounds
                    .select("row", "link", F.pmod(F.xxhash64("row"), F.col("parts")).cast("int").alias("part"),
                            F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(shards)).cast("int").alias("label"), weight.alias("load")), "linked")
     units = stage(spark, linked.groupBy("link", "part", "label").agg(F.count("*").alias("n"), F.sum("load").alias("load")), "votes")
-    placed = propagate(units, quota, rounds)
+    placed = propagate(units, quota)
     homes = stage(spark, linked.join(placed, ["link", "part"]).select("row", "shard", "load"), "homes")
     used = dict(homes.groupBy("shard").agg(F.sum("load")).collect())  # one row per shard
     # What is left fills the shards' remaining room in hash order.
