@@ -7,6 +7,8 @@ reading it back for the next one.
 
 from __future__ import annotations
 
+from typing import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,11 +16,15 @@ from sectionmap.llm import decontaminate, jaccard_join, language, mixing, shardi
 from sectionmap.llm.common import stage, table
 
 
-def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a letter in their text, labelled or not; those without one go."""
+def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str, wanted: Sequence[str] | None = None) -> DataFrame:
+    """Documents whose predicted language is one of ``wanted``, by default any language that
+    is learned from the labelled rows; ``und`` (no letter in the text) never is.  With nothing to
+    learn from no language is known, and every text with a letter stays."""
     names, prototypes = language.learn(docs)
     rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
-    return language.identify(rows, names, prototypes, letters=True).where("has_letter").select("row.*")
+    judged = language.identify(rows, names, prototypes, letters=True)
+    stays = F.col("lang_pred").isin(list(names if wanted is None else wanted)) if names else F.col("has_letter")
+    return judged.where(stays).select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
