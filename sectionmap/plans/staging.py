@@ -37,6 +37,11 @@ class Staging:
         r = TR.rollup_sections(self.inp.f_trs, list(range(5)))
         return r.select("map_id", F.col("tshp").alias("township"), F.col("rng").alias("range"), F.col("sec").alias("section"))
 
+    @cached_property
+    def legacy_sections(self) -> DataFrame:
+        """Source 0 of the trs table."""
+        return TR.legacy_sections(self.inp.legacy_trs) if isinstance(self.inp, Extracts) else TR.sections_of(self.inp.f_trs)
+
     @cached_property
     def qq_records(self) -> DataFrame:
         if isinstance(self.inp, Extracts):

@@ -112,13 +112,21 @@ def sheet_records(sheet: DataFrame, maps: DataFrame, maptype: DataFrame) -> Data
     return j.select("map_id", "tshp", "rng", "sec", "subsec", F.lit(K.SOURCE_SHEET).alias("source_id"))
 
 
-def build_trs(legacy_trs: DataFrame, qq_records: DataFrame, sheet: DataFrame, maps: DataFrame,
+def sections_of(trs: DataFrame) -> DataFrame:
+    """Source 0 straight from section records: the rows that their lists (``rollup_sections``)
+    would split into again."""
+    d = trs.select("map_id", "tshp", "rng", "sec").distinct()
+    named = lambda c: F.when(F.col(c).between(-99, 98), F.col(c)).alias(c)
+    return d.where(F.col("sec").isNotNull()).select("map_id", named("tshp"), named("rng"), "sec", F.lit(None).cast("int").alias("subsec"),
+                                                    F.lit(K.SOURCE_LEGACY_SECTION).alias("source_id"))
+
+
+def build_trs(sections: DataFrame, qq_records: DataFrame, sheet: DataFrame, maps: DataFrame,
               maptype: DataFrame) -> DataFrame:
     """All four feeds appended (unionByName), one DataFrame, one write."""
-    s0 = legacy_sections(legacy_trs)
     s1 = qq_records.withColumn("source_id", F.lit(K.SOURCE_LEGACY_SUBSECTION))
     s4 = sheet_records(sheet, maps, maptype)
-    base = s0.unionByName(s1.select(*TRS_COLUMNS)).unionByName(s4)
+    base = sections.unionByName(s1.select(*TRS_COLUMNS)).unionByName(s4)
     # The three feeds are read three times by the parser (eligible maps, section
     # matches, the final union): write them once to the shared folder.
     base = staged(base, "trs_feeds")

@@ -13,7 +13,7 @@ from sectionmap.session import scratch_dir
 
 
 def built_trs(st: Staging):
-    return TR.build_trs(st.legacy_trs, st.qq_records, st.inp.f_sheet, st.maps, st.maptype)
+    return TR.build_trs(st.legacy_sections, st.qq_records, st.inp.f_sheet, st.maps, st.maptype)
 
 
 @query
