@@ -10,8 +10,15 @@ from sectionmap.functions._util import col, pad
 
 
 def map_name(book, abbrev, page) -> Column:
-    """'073pm123': book, lower-case type abbreviation and page, both of 3 digits or
-    more (the database's lpad cuts longer numbers, so that books share names)."""
+    """'073pm123': 3-digit book, lower-case type abbreviation, 3-digit page
+    (lpad truncates longer numbers, as the database does)."""
+    return F.concat(F.lpad(col(book).cast("string"), 3, "0"), F.lower(col(abbrev)),
+                    F.lpad(col(page).cast("string"), 3, "0"))
+
+
+def file_name(book, abbrev, page) -> Column:
+    """The map's name in file names: numbers of 3 digits or more, so that maps of
+    book 1000 do not share the names of book 100."""
     return F.concat(pad(book), F.lower(col(abbrev)), pad(page))
 
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from sectionmap import constants as K
-from sectionmap.functions import map_name
+from sectionmap.functions.names import file_name
 from sectionmap.functions._util import group, pad
 
 # Name parts, read as the legacy loader reads them (greedy '.*/' = last folder).
@@ -67,7 +67,7 @@ def contiguous_pages(pages: DataFrame) -> DataFrame:
 def probe_objects(mk: DataFrame, objects: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The store's keys that carry the names built from the maps ``mk``:
     (map_id, page, imagefile) of page images and (map_id, pdffile) of PDFs."""
-    name = F.concat(F.lower("abbrev"), F.lit("/"), pad("book"), F.lit("/"), map_name("book", "abbrev", "page"))
+    name = F.concat(F.lower("abbrev"), F.lit("/"), pad("book"), F.lit("/"), file_name("book", "abbrev", "page"))
     names = mk.select("map_id", F.concat(F.lit("/map/"), name).alias("_base"), F.concat(F.lit("/pdf/"), name, F.lit(".pdf")).alias("pdffile"))
     keys = objects.select("path", group("path", r"^(.*)-\d{3,}\.jpg\z", 1).alias("_base"),
                           group("path", r"-(\d{3,})\.jpg\z", 1).try_cast("int").alias("page"))

@@ -7,8 +7,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from sectionmap import constants as K
-from sectionmap.functions import cc_doc_basename, map_name
+from sectionmap.functions import cc_doc_basename
 from sectionmap.functions._util import group, pad
+from sectionmap.functions.names import file_name
 from sectionmap.operators.ordered import running
 
 
@@ -65,7 +66,7 @@ def resize_plan(plan: DataFrame) -> DataFrame:
 def _cc_docs(cc_sheet: DataFrame, maptype: DataFrame) -> DataFrame:
     t = maptype.select(F.col("maptype").alias("_t"), "abbrev")
     c = cc_sheet.join(t, cc_sheet["maptype"] == t["_t"], "left")
-    return c.select(map_name("book", "abbrev", "page").alias("map"), cc_doc_basename("doc_number").alias("doc"),
+    return c.select(file_name("book", "abbrev", "page").alias("map"), cc_doc_basename("doc_number").alias("doc"),
                     "doc_number", "npages", F.col("abbrev").isNull().alias("_unknown"))
 
 

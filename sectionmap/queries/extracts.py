@@ -138,7 +138,7 @@ def object_listing(spark, sf_dir):
     by name and length; contents are not read."""
     root = scratch_dir(spark, "objects")
     keys = Inputs(spark, sf_dir).f_file.select("path", F.regexp_extract("path", r"^/map/(..)/", 1).alias("type"), F.regexp_extract("path", r"^/map/../(\d+)/", 1).alias("book"))
-    keys.select(F.col("path").alias("value"), "type", "book").write.partitionBy("type", "book").text(root)
+    keys.select(F.col("path").alias("value"), "type", "book").repartition("type", "book").write.partitionBy("type", "book").text(root)
     found = IO.list_files(spark, root, "part-*", leading_slash_of=root)
     return found.groupBy(F.regexp_extract("path", r"type=([^/]+)/", 1).alias("type"), F.regexp_extract("path", r"book=([^/]+)/", 1).alias("book")).agg(
         F.sum("length").alias("bytes"))

@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from sectionmap.functions import cc_doc_basename, map_name
+from sectionmap.functions import cc_doc_basename
+from sectionmap.functions.names import file_name
 from sectionmap.plans import files as FL
 from sectionmap.plans import images as IM
 from sectionmap.sources.constants import maptype
@@ -10,7 +11,7 @@ from sectionmap.sources.constants import maptype
 
 def test_names_are_padded_not_cut(spark):
     df = spark.createDataFrame([(7, "PM", 12, "2001 OR 5"), (1000, "RS", 1234, "2001 OR 12345678"), (999, "CR", 100, "2001-1234567-2")], "b int, a string, p int, d string")
-    got = [tuple(r) for r in df.select(map_name("b", "a", "p"), cc_doc_basename("d")).collect()]
+    got = [tuple(r) for r in df.select(file_name("b", "a", "p"), cc_doc_basename("d")).collect()]
     assert got == [("007pm012", "2001-or-000005"), ("1000rs1234", "2001-or-12345678"), ("999cr100", "2001-doc-1234567")]
 
 
