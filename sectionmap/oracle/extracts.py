@@ -73,7 +73,7 @@ SELECT maptype AS "MAPTYPE", book AS "BOOK", page AS "PAGE", npages AS "NPAGES",
 FROM h WHERE status = 'ok'""",
     "published_counts": _PUB,
     "xml_document": _DOC + """
-SELECT 'Surveyor' AS kind, count(*) AS records, 0 AS unreadable, arg_min("Surveyor", pos) AS first_key, arg_max("Surveyor", pos) AS last_key FROM svp
+SELECT 'Surveyor' AS kind, count(*) AS records, CAST(0 AS BIGINT) AS unreadable, arg_min("Surveyor", pos) AS first_key, arg_max("Surveyor", pos) AS last_key FROM svp
 UNION ALL SELECT 'map', count(*), 0, CAST(min(map_id) AS VARCHAR), CAST(max(map_id) AS VARCHAR) FROM mk
 UNION ALL SELECT 'TRS', count(*), 0, CAST(min(map_id) AS VARCHAR), CAST(max(map_id) AS VARCHAR) FROM r""",
     "xml_surveyors": _DOC + "\nSELECT * FROM svp",
