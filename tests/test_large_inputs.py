@@ -15,3 +15,21 @@ def _plan(df, which="optimizedPlan"):
 def test_sources_are_counted_before_the_join(spark):
     plan = _plan(E.queries()["trs_totals"](spark, SF001))
     assert plan.index("Join LeftOuter") < plan.index("Aggregate [source_id")
+
+
+def test_names_of_files_are_read_once(spark):
+    from sectionmap.plans.staging import Staging
+    pdfs = Staging(spark, SF001).pdfs
+    plan = _plan(pdfs.where("map_id IS NOT NULL").groupBy("map_id").agg(F.count_distinct("path")))
+    assert plan.count("regexp_extract(") == 3 and plan.count("concat(/pdf/") == 1
+
+
+def test_links_of_odd_names(spark):
+    from sectionmap.plans import files as FL
+    from sectionmap.sources import constants as C
+    paths = ["/map/cr/001/001cr005-002.jpg", "/map/cr/1000/1000cr005-1002.jpg", "/map/x.jpg", "", None, "/map/cr/001/00acr005-001.jpg"]
+    listing = spark.createDataFrame([(p,) for p in paths], "path string")
+    maps = spark.createDataFrame([(7, 1, 1, 5, 1), (8, 1, 1000, 5, 1)], "id int, maptype_id int, book int, page int, npages int").withColumns(
+        {c: F.lit(None).cast("string") for c in ("client", "description")}).withColumn("recdate", F.lit(None).cast("date"))
+    got = {r["path"]: (r["map_id"], r["page"]) for r in FL.link_files(listing, maps, C.maptype(spark), "map").collect()}
+    assert got == {paths[0]: (7, 2), paths[1]: (8, 1002), paths[2]: (None, None), "": (None, None), None: (None, None), paths[5]: (None, 1)}
