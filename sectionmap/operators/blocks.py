@@ -3,11 +3,16 @@
 Tags become rows with their place in the page.  Per element name a running depth is
 kept; an element ends at the tag where its depth returns, so blocks may be
 nested, of any name, and hold unbalanced inner markup of other names.  A page is one
-row's text: all windows are per page or per block of a page.
+row's text: all windows are per page or per block of a page.  ``block_rows`` reads whole
+pages in one pass of each text, without a row a tag and without a shuffle.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sectionmap import constants as K
@@ -71,3 +76,77 @@ def block_tags(tags: DataFrame, found: DataFrame, key: str) -> DataFrame:
     rows = inside.withColumn("depth", F.sum(step).over(so_far))
     child = F.when((F.col("kind") == "open") & (F.col("depth") == 2) & ~F.col("name").isin(*K.OPTIONAL_END), F.col("name"))
     return rows.withColumn("child", F.last(child, ignorenulls=True).over(so_far))
+
+
+class Tag(NamedTuple):
+    """An open tag inside a block, as ``block_tags`` has it."""
+
+    name: str
+    tag: str
+    text: str
+    depth: int
+    child: str | None
+
+
+#: ``TAG`` with its slash and its name as groups.
+_TAG = re.compile(r"""<!--.*?-->|<(/?)([A-Za-z][\w:\-]*)(?:[^<>"']++|"[^"]*+"|'[^']*+')*+>""", re.DOTALL | re.ASCII)
+
+
+def attribute_of(tag: str, name: str) -> str | None:
+    """``attribute`` of one tag."""
+    m = re.search(rf"""\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", tag, re.DOTALL | re.IGNORECASE | re.ASCII)
+    return None if m is None else "".join(g or "" for g in m.groups())
+
+
+def _has_class(tag: str, name: str) -> bool:
+    return name in tag and name in re.split(r"\s+", attribute_of(tag, "class") or "", flags=re.ASCII)
+
+
+def scan(html: str, class_name: str) -> Iterator[tuple[int, list[Tag]]]:
+    """(start, open tags) of every element of the class, by start: the elements of
+    ``blocks`` with the open tags of ``block_tags``."""
+    found = list(_TAG.finditer(html))
+    ends = [m.start() for m in found[1:]] + [len(html)]
+    # start, name, depth of its own name, depth, child, open tags
+    every, live = [], []
+    for i, m in enumerate(found):
+        slash, name = m.groups()
+        if name is None:
+            continue
+        name = name.lower()
+        if slash:
+            step = -1
+            for b in live:
+                if b[1] == name:
+                    b[2] -= 1
+            live = [b for b in live if b[2]]
+        elif html[m.end() - 2] == "/" or name in K.VOID_ELEMENTS:
+            continue
+        else:
+            step = 1
+            for b in live:
+                if b[1] == name:
+                    b[2] += 1
+            if _has_class(m[0], class_name):
+                every.append([i, name, 1, 0, None, []])
+                live.append(every[-1])
+        optional = name in K.OPTIONAL_END
+        for b in live:
+            if not optional:
+                b[3] += step
+            if step == 1:
+                if b[3] == 2 and not optional:
+                    b[4] = name
+                b[5].append(Tag(name, m[0], html[m.end():ends[i]], b[3], b[4]))
+    return ((b[0], b[5]) for b in every)
+
+
+def block_rows(pages: DataFrame, key: str, class_name: str, read: Callable[[list[Tag]], tuple], schema: str, html: str = "html") -> DataFrame:
+    """(key, start, pos, *schema): what ``read`` makes of each element of the class, numbered
+    within its page.  Pages without a key have no rows."""
+
+    def rows(text):
+        return [] if text is None else [(start, pos, *read(tags)) for pos, (start, tags) in enumerate(scan(text, class_name))]
+
+    found = F.udf(rows, f"array<struct<start: int, pos: int, {schema}>>", useArrow=False)
+    return pages.where(F.col(key).isNotNull()).select(key, F.inline(found(html)))

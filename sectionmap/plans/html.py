@@ -1,21 +1,39 @@
 """HTML map records (X3): pages with one ``hmps-map`` block per map are parsed into
-workbook rows by a balanced-tag scan (no HTML library, no per-row Python)."""
+workbook rows by a balanced-tag scan (no HTML library): each page is read once, in its
+row."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from sectionmap.constants import HEADING, LABEL
 from sectionmap.functions._util import group, pad
 from sectionmap.functions.markup import decode_entities, escape_entities
-from sectionmap.operators.blocks import attribute, block_tags, blocks, has_class, tag_rows
+from sectionmap.operators.blocks import Tag, attribute_of, block_rows
 from sectionmap.plans.files import map_keys
 
 BLOCK_CLASS = "hmps-map"
-
-
-def _first(text, cond, order="idx"):
-    return F.min_by(F.when(cond, F.col(text)), F.when(cond, F.col(order)))
+BLOCK_FIELDS = ("heading", "p1", "p2", "p3", "p4", "href")
+
+
+def read_block(tags: list[Tag]) -> tuple:
+    """(heading, p1, p2, p3, p4, href) of one block, entities as they stand."""
+    found: dict[str, str | None] = {}
+    paragraphs = 0
+    for t in tags:
+        in_div = t.child == "div"
+        # A paragraph does not open a level: it stands at the depth of its div.
+        if t.name == "p" and t.depth == 2 and in_div:
+            paragraphs += 1
+            if paragraphs > 1:
+                found.setdefault(f"p{paragraphs}", t.text)
+        elif t.name == "h4" and t.depth == 3 and in_div:
+            found.setdefault("heading", t.text)
+        elif t.name == "span" and t.depth == 3 and paragraphs == 1:
+            found.setdefault("p1", t.text)
+        elif t.name == "a" and "href" not in found and (attribute_of(t.tag, "role") or "").lower() == "button":
+            found["href"] = attribute_of(t.tag, "href")
+    return tuple(found.get(c) for c in BLOCK_FIELDS)
 
 
 def listing_pages(maps: DataFrame, maptype: DataFrame, signatures_text: DataFrame, pdfs: DataFrame) -> DataFrame:
@@ -65,22 +83,7 @@ def parse_records(pages: DataFrame) -> DataFrame:
     description, with every 'label: ' removed; the PDF is where the first link with
     the role of a button leads.  A heading that does not parse gives status
     'bad_heading' and no fields."""
-    tags = tag_rows(pages, "page_key")
-    found = blocks(tags, "page_key", has_class("tag", BLOCK_CLASS))
-    numbered = found.withColumn("pos", F.row_number().over(Window.partitionBy("page_key").orderBy("start")) - 1)
-    rows = block_tags(tags, numbered, "page_key")
-    is_open, in_div = F.col("kind") == "open", F.col("child") == "div"
-    # A paragraph does not open a level: it stands at the depth of its div.
-    paragraph = is_open & (F.col("name") == "p") & (F.col("depth") == 2) & in_div
-    so_far = Window.partitionBy("page_key", "start").orderBy("idx").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("_p", F.sum(paragraph.cast("int")).over(so_far))
-    h4 = is_open & (F.col("name") == "h4") & (F.col("depth") == 3) & in_div
-    span = is_open & (F.col("name") == "span") & (F.col("depth") == 3) & (F.col("_p") == 1)
-    button = is_open & (F.col("name") == "a") & (F.lower(attribute("tag", "role")) == "button")
-    rows = rows.withColumn("_href", attribute("tag", "href"))
-    one = rows.groupBy("page_key", "start", "pos").agg(
-        _first("text", h4).alias("heading"), _first("text", span).alias("p1"), *[_first("text", paragraph & (F.col("_p") == i)).alias(f"p{i}") for i in (2, 3, 4)],
-        _first("_href", button).alias("href"))
+    one = block_rows(pages, "page_key", BLOCK_CLASS, read_block, ", ".join(f"{c}: string" for c in BLOCK_FIELDS))
     one = one.withColumn("heading", decode_entities("heading"))
     ok = F.coalesce(F.col("heading").rlike(HEADING), F.lit(False))
     page, lastp = group(F.col("heading"), HEADING, 3).try_cast("int"), group(F.col("heading"), HEADING, 4).try_cast("int")

@@ -33,3 +33,29 @@ def test_links_of_odd_names(spark):
         {c: F.lit(None).cast("string") for c in ("client", "description")}).withColumn("recdate", F.lit(None).cast("date"))
     got = {r["path"]: (r["map_id"], r["page"]) for r in FL.link_files(listing, maps, C.maptype(spark), "map").collect()}
     assert got == {paths[0]: (7, 2), paths[1]: (8, 1002), paths[2]: (None, None), "": (None, None), None: (None, None), paths[5]: (None, 1)}
+
+
+def test_pages_are_read_without_a_shuffle(spark):
+    from sectionmap.plans import html as H
+    pages = spark.createDataFrame([("k", '<div class="hmps-map"><div><h4>4 Survey 9</h4></div></div>'), (None, '<p class="hmps-map">'), ("n", None)],
+                                  "page_key string, html string")
+    records = H.parse_records(pages)
+    assert "Exchange" not in _plan(records, "executedPlan")
+    assert [(r["page_key"], r["pos"], r["book"], r["page"]) for r in records.collect()] == [("k", 0, 4, 9)]
+
+
+def test_scan_of_a_page_agrees_with_the_windows(spark):
+    from sectionmap.operators import blocks as B
+    from tests.test_blocks import PAGES
+    more = {"mixed": "</x><ul class=x><li class='x'>a<div><DIV CLASS='x'>b</p><br/><p>c</DIV>d</ul><p class=x><!--</p>--><li>e</p>f",
+            "same": "<b class=x><b><b class=x>1</b></b></b><b>", "void": "<p class='x'/><hr class=x><a class='y x' href=\"u>v\">1</a>"}
+    pages = spark.createDataFrame(list({**PAGES, **more}.items()), "k string, html string")
+    tags = B.tag_rows(pages, "k")
+    rows = B.block_tags(tags, B.blocks(tags, "k", B.has_class("tag", "x")), "k").orderBy("k", "start", "idx").collect()
+    expected = {}
+    for r in rows:
+        found = expected.setdefault((r["k"], r["start"]), [])
+        if r["kind"] == "open":
+            found.append((r["name"], r["tag"], r["text"], r["depth"], r["child"]))
+    got = {(k, start): [tuple(t) for t in found] for k, text in {**PAGES, **more}.items() for start, found in B.scan(text, "x")}
+    assert len(got) > 12 and got == expected
