@@ -59,3 +59,22 @@ def test_scan_of_a_page_agrees_with_the_windows(spark):
             found.append((r["name"], r["tag"], r["text"], r["depth"], r["child"]))
     got = {(k, start): [tuple(t) for t in found] for k, text in {**PAGES, **more}.items() for start, found in B.scan(text, "x")}
     assert len(got) > 12 and got == expected
+
+
+def test_a_document_is_sorted_in_tasks_of_a_size(spark, tmp_path, monkeypatch):
+    from sectionmap.plans import document as D
+    monkeypatch.setattr(D, "LINES", 20)
+    rows = spark.range(1000).select(F.col("id").cast("int").alias("ID"))
+    D.write_document(spark, [D.records(rows, "map", ["ID"], F.col("ID"))], str(tmp_path / "d"), "now")
+    parts = [open(p).read().split("</map>") for p in sorted(glob.glob(f"{tmp_path}/d/part-*"))]
+    assert len(parts) >= 40 and max(map(len, parts)) < 100
+    ids = [int(x.split("<ID>")[1].split("<")[0]) for p in parts for x in p if "<ID>" in x]
+    assert ids == list(range(1000))
+
+
+def test_named_and_numbered_entities_in_one_text(spark):
+    from sectionmap.functions.markup import decode_entities
+    texts = {"&amp;lt;": "&lt;", "&lt;&amp;amp;&gt;": "<&amp;>", "&am&lt;p;": "&am<p;", "&Amp; &no; &": "&Amp; &no; &", "&#38;lt; &amp;#60;": "&lt; &#60;",
+             "&ndash;&quot;&nbsp;": "–\" "}
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", decode_entities("t").alias("d")).collect()
+    assert {r["t"]: r["d"] for r in got} == texts
