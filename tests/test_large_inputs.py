@@ -78,3 +78,11 @@ def test_named_and_numbered_entities_in_one_text(spark):
              "&ndash;&quot;&nbsp;": "–\" "}
     got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", decode_entities("t").alias("d")).collect()
     assert {r["t"]: r["d"] for r in got} == texts
+
+
+def test_the_parser_s_tasks_follow_the_maps(spark, monkeypatch):
+    from sectionmap.plans import parser as P
+    from sectionmap.sources.fixtures import Inputs
+    monkeypatch.setattr(P, "MAPS", 20)
+    inp = Inputs(spark, SF001)
+    assert P.classify(inp.f_desc, inp.f_desc_trs).rdd.getNumPartitions() >= inp.f_desc.count() // 20
