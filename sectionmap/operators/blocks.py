@@ -10,7 +10,8 @@ pages in one pass of each text, without a row a tag and without a shuffle.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Container, Iterator
+from functools import cache
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -92,9 +93,17 @@ class Tag(NamedTuple):
 _TAG = re.compile(r"""<!--.*?-->|<(/?)([A-Za-z][\w:\-]*)(?:[^<>"']++|"[^"]*+"|'[^']*+')*+>""", re.DOTALL | re.ASCII)
 
 
+_VOID, _OPTIONAL = frozenset(K.VOID_ELEMENTS), frozenset(K.OPTIONAL_END)
+
+
+@cache
+def _attribute(name: str) -> re.Pattern:
+    return re.compile(rf"""\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.DOTALL | re.IGNORECASE | re.ASCII)
+
+
 def attribute_of(tag: str, name: str) -> str | None:
     """``attribute`` of one tag."""
-    m = re.search(rf"""\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", tag, re.DOTALL | re.IGNORECASE | re.ASCII)
+    m = _attribute(name).search(tag)
     return None if m is None else "".join(g or "" for g in m.groups())
 
 
@@ -102,11 +111,10 @@ def _has_class(tag: str, name: str) -> bool:
     return name in tag and name in re.split(r"\s+", attribute_of(tag, "class") or "", flags=re.ASCII)
 
 
-def scan(html: str, class_name: str) -> Iterator[tuple[int, list[Tag]]]:
+def scan(html: str, class_name: str, names: Container[str] | None = None) -> Iterator[tuple[int, list[Tag]]]:
     """(start, open tags) of every element of the class, by start: the elements of
-    ``blocks`` with the open tags of ``block_tags``."""
+    ``blocks`` with the open tags of ``block_tags``, all or those of the ``names``."""
     found = list(_TAG.finditer(html))
-    ends = [m.start() for m in found[1:]] + [len(html)]
     # start, name, depth of its own name, depth, child, open tags
     every, live = [], []
     for i, m in enumerate(found):
@@ -114,39 +122,48 @@ def scan(html: str, class_name: str) -> Iterator[tuple[int, list[Tag]]]:
         if name is None:
             continue
         name = name.lower()
+        optional = name in _OPTIONAL
         if slash:
-            step = -1
+            ended = False
             for b in live:
                 if b[1] == name:
                     b[2] -= 1
-            live = [b for b in live if b[2]]
-        elif html[m.end() - 2] == "/" or name in K.VOID_ELEMENTS:
+                    ended = ended or not b[2]
+                if not optional:
+                    b[3] -= 1
+            if ended:
+                live = [b for b in live if b[2]]
             continue
-        else:
-            step = 1
-            for b in live:
-                if b[1] == name:
-                    b[2] += 1
-            if _has_class(m[0], class_name):
-                every.append([i, name, 1, 0, None, []])
-                live.append(every[-1])
-        optional = name in K.OPTIONAL_END
+        if name in _VOID or html[m.end() - 2] == "/":
+            continue
+        tag = m[0]
+        if class_name in tag and _has_class(tag, class_name):
+            every.append([i, name, 0, 0, None, []])
+            live.append(every[-1])
+        if not live:
+            continue
+        wanted = names is None or name in names
+        if wanted:
+            text = html[m.end():found[i + 1].start() if i + 1 < len(found) else len(html)]
         for b in live:
+            if b[1] == name:
+                b[2] += 1
             if not optional:
-                b[3] += step
-            if step == 1:
-                if b[3] == 2 and not optional:
+                b[3] += 1
+                if b[3] == 2:
                     b[4] = name
-                b[5].append(Tag(name, m[0], html[m.end():ends[i]], b[3], b[4]))
+            if wanted:
+                b[5].append(Tag(name, tag, text, b[3], b[4]))
     return ((b[0], b[5]) for b in every)
 
 
-def block_rows(pages: DataFrame, key: str, class_name: str, read: Callable[[list[Tag]], tuple], schema: str, html: str = "html") -> DataFrame:
-    """(key, start, pos, *schema): what ``read`` makes of each element of the class, numbered
-    within its page.  Pages without a key have no rows."""
+def block_rows(pages: DataFrame, key: str, class_name: str, read: Callable[[list[Tag]], tuple], schema: str, html: str = "html",
+               names: Container[str] | None = None) -> DataFrame:
+    """(key, start, pos, *schema): what ``read`` makes of the open tags (of the ``names``) of each
+    element of the class, numbered within its page.  Pages without a key have no rows."""
 
     def rows(text):
-        return [] if text is None else [(start, pos, *read(tags)) for pos, (start, tags) in enumerate(scan(text, class_name))]
+        return [] if text is None else [(start, pos, *read(tags)) for pos, (start, tags) in enumerate(scan(text, class_name, names))]
 
     found = F.udf(rows, f"array<struct<start: int, pos: int, {schema}>>", useArrow=False)
     return pages.where(F.col(key).isNotNull()).select(key, F.inline(found(html)))

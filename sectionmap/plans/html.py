@@ -83,7 +83,7 @@ def parse_records(pages: DataFrame) -> DataFrame:
     description, with every 'label: ' removed; the PDF is where the first link with
     the role of a button leads.  A heading that does not parse gives status
     'bad_heading' and no fields."""
-    one = block_rows(pages, "page_key", BLOCK_CLASS, read_block, ", ".join(f"{c}: string" for c in BLOCK_FIELDS))
+    one = block_rows(pages, "page_key", BLOCK_CLASS, read_block, ", ".join(f"{c}: string" for c in BLOCK_FIELDS), names=("p", "h4", "span", "a"))
     one = one.withColumn("heading", decode_entities("heading"))
     ok = F.coalesce(F.col("heading").rlike(HEADING), F.lit(False))
     page, lastp = group(F.col("heading"), HEADING, 3).try_cast("int"), group(F.col("heading"), HEADING, 4).try_cast("int")
