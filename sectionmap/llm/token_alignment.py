@@ -8,8 +8,9 @@ groups, and the two tokens that end there are linked.
 
 Whitespace-token anchors: where tokens marked with a space begin at one offset in A and
 in B, the tokens before them end together.  These verified ends split a text into windows
-of token ids, mostly of one word; a window's alignment depends on its ids alone, so it is
-kept under the pair of id tuples and computed once a task.
+of token ids, mostly of one word.  A window with one token of A or of B is one group; the
+others are cut at the ends that their tokens share, all windows of a text at once.
+(``Windows`` aligns them one by one and keeps each: the tests compare both.)
 
 Link counts: every task writes, beside its rows, the pair totals of each of its batches;
 Spark adds those up.  A pair's rank among the pairs of its B id follows from one maximum
@@ -163,6 +164,8 @@ class Encoders:
         self.a_size, self.b_size = np.array(self.a_sizes), np.array(self.b_sizes)
         self.a_mark = np.array([t.startswith(b" ") for t in self.a_bytes])
         self.b_mark = np.array([t.startswith(b" ") for t in self.b_bytes])
+        # The text of each id of A inside and at the end of a group, then of B.
+        self.texts = np.array([b"%d%c" % (i, mark) for n, marks in ((len(self.a_bytes), b",|"), (len(self.b_bytes), b",;")) for mark in marks for i in range(n)])
 
     def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
         """Token ids of A and B for each text, None where the joined bytes are not the text's.
@@ -218,17 +221,15 @@ def align(docs: DataFrame, a_file: bytes, b_file: bytes, keep: Sequence[str] = (
         schema = schema.add(name, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.disable()  # no cycles are made, and the kept windows would be walked again and again
+        gc.disable()  # no cycles are made
         encoders = Encoders(*files.value)
-        windows = Windows(encoders.a_sizes, encoders.b_sizes)
         number = TaskContext.get().partitionId() << 33
         arrow = pa.schema([*rows_schema, *(pa.field(f, pa.int64()) for f in ["__row", *figures]), pa.field("groups", pa.string()),
                            pa.field("pairs", pa.list_(pa.int64())), pa.field("seen", pa.list_(pa.int64()))])
         for batch in batches:
             first, totals = 0, []
             for pack in _packs(batch.column(batch.num_columns - 1)):
-                windows.trim()
-                rows = [_aligned(ids, encoders, windows, digest) for ids in encoders.encode(pack)]
+                rows = [_aligned(ids, encoders, digest) for ids in encoders.encode(pack)]
                 out = list(zip(*rows))
                 totals.append(_added([r[-2] for r in rows], [r[-1] for r in rows]))
                 ends = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in out[-1]])]).astype(np.int32))
@@ -256,18 +257,45 @@ def _added(codes: Sequence[np.ndarray], seen: Sequence[np.ndarray]) -> tuple[np.
     return added.column("code").to_numpy(), added.column("n_sum").to_numpy()
 
 
-def _aligned(ids, encoders: Encoders, windows: Windows, digest: bool) -> tuple:
+def group_ends(a: np.ndarray, b: np.ndarray, encoders: Encoders) -> tuple[np.ndarray, np.ndarray]:
+    """The last token of every group in A and in B: the last one of each window, and in a window
+    with several tokens of both those that end together before."""
+    a_ends, b_ends = np.cumsum(encoders.a_size[a]), np.cumsum(encoders.b_size[b])
+    a_first, b_first = window_starts(a_ends, b_ends, encoders.a_mark[a], encoders.b_mark[b])
+    a_count, b_count = np.diff(a_first), np.diff(b_first)
+    several = (a_count > 1) & (b_count > 1)
+    shared = np.zeros(int(a_ends[-1]) + 1, bool)
+    shared[b_ends[np.repeat(several, b_count)]] = True
+    last = np.repeat(several, a_count) & shared[a_ends]
+    last[a_first[1:] - 1] = True
+    a_last = np.flatnonzero(last)
+    return a_last, np.searchsorted(b_ends, a_ends[a_last])
+
+
+def group_text(a: np.ndarray, b: np.ndarray, a_last: np.ndarray, b_last: np.ndarray, encoders: Encoders) -> bytes:
+    """``a1,a2|b1;...``: the tokens of each group of A, then of B, from a table of their texts."""
+    n_a, n_b = len(encoders.a_bytes), len(encoders.b_bytes)
+    codes = np.empty(len(a) + len(b), np.int64)
+    # A token of A stands behind the B tokens of the groups before, one of B behind the A tokens of its group, too.
+    a_at = np.arange(len(a)) + np.repeat(np.concatenate([[0], b_last[:-1] + 1]), np.diff(a_last, prepend=-1))
+    b_at = np.arange(len(b)) + np.repeat(a_last + 1, np.diff(b_last, prepend=-1))
+    codes[a_at] = a
+    codes[a_at[a_last]] += n_a
+    codes[b_at] = b + np.int64(2 * n_a)
+    codes[b_at[b_last]] += n_b
+    return encoders.texts[codes].tobytes().translate(None, b"\0")[:-1]
+
+
+def _aligned(ids, encoders: Encoders, digest: bool) -> tuple:
     """(n_a, n_b, n_groups, n_links, groups, pairs, times) of a text's token ids."""
     if ids is None:
         return 0, 0, 0, 0, "", NONE, NONE
     a, b = ids
-    starts = window_starts(np.cumsum(encoders.a_size[a]), np.cumsum(encoders.b_size[b]), encoders.a_mark[a], encoders.b_mark[b])
-    found = list(map(windows.__getitem__, packed(a, b, *starts)))
-    links = windows.links(np.array(found))
-    pairs, seen = np.unique(links, return_counts=True)
-    groups = ";".join(map(windows.texts.__getitem__, found))
+    a_last, b_last = group_ends(a, b, encoders)
+    pairs, seen = np.unique(a[a_last].astype(np.int64) << ID_BITS | b[b_last], return_counts=True)
+    groups = group_text(a, b, a_last, b_last, encoders)
     # Tokens have at least one byte, so each shared end closes one group and links one pair.
-    return (len(a), len(b), len(links), len(links), hashlib.sha256(groups.encode()).hexdigest() if digest else groups, pairs, seen)
+    return len(a), len(b), len(a_last), len(a_last), hashlib.sha256(groups).hexdigest() if digest else groups.decode(), pairs, seen
 
 
 def link_counts(aligned: DataFrame) -> DataFrame:

@@ -160,6 +160,22 @@ def test_windows_are_forgotten(monkeypatch):
     assert len(w.old) == 4 and [w[k] for k in keys[:1]] == [0]
 
 
+def test_texts_are_cut_like_their_windows(library, texts):
+    files = tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model")
+    encoders = token_alignment.Encoders(*files)
+    windows = token_alignment.Windows(encoders.a_sizes, encoders.b_sizes)
+    several = 0
+    for ids in filter(None, encoders.encode([t or "" for t in texts])):
+        a, b = ids
+        firsts = token_alignment.window_starts(*(np.cumsum(s[i]) for s, i in ((encoders.a_size, a), (encoders.b_size, b))), encoders.a_mark[a], encoders.b_mark[b])
+        places = [windows[k] for k in token_alignment.packed(a, b, *firsts)]
+        a_last, b_last = token_alignment.group_ends(a, b, encoders)
+        assert (a[a_last].astype(np.int64) << token_alignment.ID_BITS | b[b_last]).tolist() == windows.links(np.array(places)).tolist()
+        assert token_alignment.group_text(a, b, a_last, b_last, encoders).decode() == ";".join(windows.texts[p] for p in places)
+        several += len(a_last) > len(places)
+    assert several
+
+
 def test_both_libraries_split_alike(library):
     quick = token_alignment._ranked(tokenizer_file("byte_bpe_50k.json"))
     plain = Tokenizer.from_str(tokenizer_file("byte_bpe_50k.json").decode())
