@@ -5,6 +5,7 @@ import glob
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from sectionmap.plans import trs as TR
 from tests.conftest import SF001
 
 
@@ -86,3 +87,18 @@ def test_the_parser_s_tasks_follow_the_maps(spark, monkeypatch):
     monkeypatch.setattr(P, "MAPS", 20)
     inp = Inputs(spark, SF001)
     assert P.classify(inp.f_desc, inp.f_desc_trs).rdd.getNumPartitions() >= inp.f_desc.count() // 20
+
+
+def test_section_lists_add_bits_and_list_only_odd_sections(spark):
+    rows = [(1, 1, 1, 5), (1, 1, 1, 5), (1, 1, 1, 36), (1, 1, 1, None), (2, 1, 1, None), (3, None, 1, 0), (3, None, 1, 39), (3, None, 1, 40),
+            (3, None, 1, -1), (None, None, None, 8), (None, None, None, 7), (4, 2, 2, 99), (4, 2, 2, 99), (5, 1, 1, 10), (5, 1, 1, 9)]
+    rows += [(6, 1, 1, s) for s in range(40)] + [(7, 1, 1, s) for s in range(-3, 70, 2)]
+    wanted = {}
+    for *key, sec in rows:
+        wanted.setdefault(tuple(key), set()).update([] if sec is None else [sec])
+    lists = TR.section_lists(spark.createDataFrame(rows, "map_id INT, tshp INT, rng INT, sec INT"))
+    got = lists.collect()
+    assert {tuple(r)[:3]: r["_secs"] for r in got} == {k: ",".join(map(str, sorted(v))) or None for k, v in wanted.items()}
+    assert len(got) == len(wanted)
+    # Before, every group went through two shuffles and a sorted list; now one sum of bits.
+    assert "bit_or" in lists._jdf.queryExecution().optimizedPlan().toString()
