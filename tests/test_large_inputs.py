@@ -102,3 +102,28 @@ def test_section_lists_add_bits_and_list_only_odd_sections(spark):
     assert len(got) == len(wanted)
     # Before, every group went through two shuffles and a sorted list; now one sum of bits.
     assert "bit_or" in lists._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_elements_meet_the_section_list_without_a_shuffle_on_the_section(spark):
+    from sectionmap.plans import export as X
+    trs = spark.createDataFrame([(1, 4, -1, 26, 1, 1), (1, 4, -1, 27, 1, 1), (2, 6, 0, 31, None, 1), (2, 6, 0, 31, 1, 0), (3, None, 0, 31, 1, 1)],
+                                "map_id INT, tshp INT, rng INT, sec INT, subsec INT, source_id INT")
+    found = X.qq_elements(trs, ["05N1W26", "07N1E31"])
+    plan = _plan(found, "executedPlan")
+    # Before: a sort-merge join, all rows of a listed section in one task.
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    one = trs.limit(1).select(X.legacy_qq_list("subsec")).head()[0]
+    assert sorted(map(tuple, found.collect())) == [(1, "_x0030_5N1W26", one), (2, "_x0030_7N1E31", None)]
+
+
+def test_frequent_entity_beside_others(spark):
+    from sectionmap.functions.markup import decode_entities, without_comments
+    texts = {"a &amp; b &amp;amp;": "a & b &amp;", "&a&amp;mp;": "&a&mp;", "&amp;#38; &amp; &#38;": "&#38; & &", "&amp;": "&", "a & b &amp;": "a & b &",
+             "&am&amp;p;": "&am&p;", "&l&amp;t; &gt;": "&l&t; >", "": ""}
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", decode_entities("t").alias("d")).collect()
+    assert {r["t"]: r["d"] for r in got} == texts
+    texts = {"a<!-- b -->c<!--\n-->d": "acd", "a<!-- b": "a<!-- b", "a --> b": "a --> b", "a": "a", None: None}
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", without_comments("t").alias("d"))
+    assert {r["t"]: r["d"] for r in rows.collect()} == texts
+    # Before, the pattern ran over every text.
+    assert "Contains(t" in _plan(rows)
